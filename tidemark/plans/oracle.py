@@ -319,3 +319,62 @@ def sql(final: str) -> str:
     """Prefix ``final`` with every shared CTE."""
     body = ",\n".join(f"{name} AS ({text})" for name, text in CTES.items())
     return f"WITH {body}\n{final}"
+
+
+# ---- stream feed ---------------------------------------------------------
+
+def _feed_tag(off: int) -> str:
+    return f"'\"tag' || CAST((event_id * 7 + {off}) % 12 AS VARCHAR) || '\"'"
+
+
+_FEED_TAGS = f"""CASE event_id % 4 WHEN 0 THEN '[]'
+      WHEN 1 THEN '[' || {_feed_tag(0)} || ']'
+      WHEN 2 THEN '[' || {_feed_tag(0)} || ', ' || {_feed_tag(3)} || ']'
+      ELSE '[' || {_feed_tag(0)} || ', ' || {_feed_tag(3)} || ', ' || {_feed_tag(6)} || ']' END"""
+
+CTES["feed"] = f"""
+  SELECT entity,
+         CASE entity WHEN 'posts' THEN 'post_published' WHEN 'likes' THEN 'post_liked'
+              ELSE 'comment_posted' END AS event_type,
+         'e' || CAST(event_id AS VARCHAR) AS event_id,
+         CASE WHEN entity = 'posts' THEN 's' || CAST(event_id AS VARCHAR)
+              ELSE json_extract_string(props, '$.k') END AS post_id,
+         CAST(user_id AS VARCHAR) AS user_id,
+         CASE entity WHEN 'posts' THEN 'stream post ' || CAST(event_id AS VARCHAR)
+              WHEN 'comments' THEN 'stream comment ' || CAST(event_id AS VARCHAR) END AS content,
+         CASE WHEN entity = 'posts' THEN {_case('event_id % 4', ['text', 'image', 'video', 'link'])} END AS post_type,
+         CASE WHEN entity = 'posts' THEN {_FEED_TAGS} END AS hashtags,
+         CASE WHEN entity = 'posts' THEN event_id % 4 END AS hashtag_count,
+         CASE WHEN entity = 'posts' THEN {_case('event_id % 3', ['en', 'ur', 'hi'])} END AS language,
+         CASE WHEN entity = 'likes' THEN 'l' || CAST(event_id AS VARCHAR) END AS like_id,
+         CASE WHEN entity = 'likes' THEN {_case('event_id % 5', ['like', 'love', 'laugh', 'wow', 'sad'])} END AS reaction_type,
+         CASE WHEN entity = 'comments' THEN 'c' || CAST(event_id AS VARCHAR) END AS comment_id,
+         CASE WHEN entity = 'comments' THEN
+              CASE WHEN value < 20 THEN 'negative' WHEN value < 60 THEN 'neutral' ELSE 'positive' END
+         END AS sentiment,
+         strftime(ts, {_ISO_FULL}) AS "timestamp",
+         ts AS _ts, event_id AS _seq
+  FROM (SELECT *, CASE WHEN event_type = 'view' THEN 'posts'
+                       WHEN event_type IN ('click', 'purchase') THEN 'likes'
+                       WHEN event_type IN ('signup', 'error') THEN 'comments' END AS entity
+        FROM events) e
+  WHERE entity IS NOT NULL
+"""
+
+CTES["feed_tags"] = """
+  SELECT _ts, trim(tag) AS hashtag FROM (
+    SELECT _ts, unnest(from_json(hashtags, '["varchar"]')) AS tag FROM feed WHERE entity = 'posts') t
+  WHERE trim(tag) <> ''
+"""
+
+
+def sliding(src: str, ts: str, key: str, size_s: int = 3600, slide_s: int = 30,
+            count_col: str = "n") -> str:
+    """Epoch-aligned sliding windows: every event joins size/slide windows."""
+    per = size_s // slide_s
+    return f"""
+  SELECT make_timestamp(ws) AS window_start, make_timestamp(ws + {size_s * 1000000}) AS window_end,
+         {key}, count(*) AS {count_col}
+  FROM (SELECT {key}, epoch_us({ts}) - (epoch_us({ts}) % {slide_s * 1000000}) - i * {slide_s * 1000000} AS ws
+        FROM {src}, range(0, {per}) r(i)) x
+  GROUP BY ws, {key}"""

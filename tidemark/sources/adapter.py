@@ -218,3 +218,55 @@ def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "comments": bronze_comments(spark, sf_dir),
         "likes": bronze_likes(spark, sf_dir),
     }
+
+
+# ---- stream feed ------------------------------------------------------------
+
+FEED_TAG_VOCAB = 12
+
+
+def _feed_tags(k: Column) -> Column:
+    """0-3 distinct tags per post event, JSON text with ", " separators."""
+    t = [F.concat(F.lit('"tag'), ((k * 7 + off) % FEED_TAG_VOCAB).cast("string"), F.lit('"'))
+         for off in (0, 3, 6)]
+    n = k % 4
+    return (F.when(n == 0, F.lit("[]"))
+            .when(n == 1, F.concat(F.lit("["), t[0], F.lit("]")))
+            .when(n == 2, F.concat(F.lit("["), t[0], F.lit(", "), t[1], F.lit("]")))
+            .otherwise(F.concat(F.lit("["), t[0], F.lit(", "), t[1], F.lit(", "), t[2], F.lit("]"))))
+
+
+def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event stream as one row per event, before encoding.
+
+    view -> post_published, click / purchase -> post_liked,
+    signup / error -> comment_posted; ``_ts`` is the event time and
+    ``_seq`` the original event id (arrival order).
+    """
+    e = table(spark, sf_dir, "events")
+    k, et, v = F.col("event_id"), F.col("event_type"), F.col("value")
+    entity = (F.when(et == "view", "posts").when(et.isin("click", "purchase"), "likes")
+              .when(et.isin("signup", "error"), "comments"))
+    is_post, is_like, is_comment = entity == "posts", entity == "likes", entity == "comments"
+    target = F.get_json_object("props", "$.k")
+    return e.where(entity.isNotNull()).select(
+        entity.alias("entity"),
+        F.when(is_post, "post_published").when(is_like, "post_liked")
+         .otherwise("comment_posted").alias("event_type"),
+        F.concat(F.lit("e"), k.cast("string")).alias("event_id"),
+        F.when(is_post, F.concat(F.lit("s"), k.cast("string"))).otherwise(target).alias("post_id"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.when(is_post, F.concat(F.lit("stream post "), k.cast("string")))
+         .when(is_comment, F.concat(F.lit("stream comment "), k.cast("string"))).alias("content"),
+        F.when(is_post, _case(k % 4, ["text", "image", "video", "link"])).alias("post_type"),
+        F.when(is_post, _feed_tags(k)).alias("hashtags"),
+        F.when(is_post, k % 4).alias("hashtag_count"),
+        F.when(is_post, _case(k % 3, ["en", "ur", "hi"])).alias("language"),
+        F.when(is_like, F.concat(F.lit("l"), k.cast("string"))).alias("like_id"),
+        F.when(is_like, _case(k % 5, ["like", "love", "laugh", "wow", "sad"])).alias("reaction_type"),
+        F.when(is_comment, F.concat(F.lit("c"), k.cast("string"))).alias("comment_id"),
+        F.when(is_comment, F.when(v < 20, "negative").when(v < 60, "neutral")
+               .otherwise("positive")).alias("sentiment"),
+        _iso(F.col("ts")).alias("timestamp"),
+        F.col("ts").alias("_ts"), k.alias("_seq"),
+    )

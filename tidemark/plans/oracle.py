@@ -100,13 +100,15 @@ CTES["b_posts"] = f"""
          like_count * 50 > view_count AS is_viral,
          is_deleted, is_nsfw, geo_country, post_date, ingested_at, {SRC} AS source_system,
          CAST(year(ingested_at) AS INTEGER) AS year, CAST(month(ingested_at) AS INTEGER) AS month,
-         CAST(day(ingested_at) AS INTEGER) AS day
+         CAST(day(ingested_at) AS INTEGER) AS day, _v
   FROM (
-    SELECT * EXCLUDE (_k, _d), false AS is_deleted, _d + INTERVAL 1 DAY AS ingested_at
+    SELECT * EXCLUDE (_k, _d), false AS is_deleted,
+           date_trunc('month', _d) + INTERVAL 1 MONTH AS ingested_at, 1 AS _v
     FROM b_posts_base
     UNION ALL BY NAME
     SELECT * EXCLUDE (_k, _d, like_count), like_count + 1 AS like_count,
-           _k % 100 = 0 AS is_deleted, _d + INTERVAL 2 DAY AS ingested_at
+           _k % 100 = 0 AS is_deleted,
+           date_trunc('month', _d) + INTERVAL 1 MONTH + INTERVAL 1 DAY AS ingested_at, 2 AS _v
     FROM b_posts_base WHERE _k % 20 = 0
   ) v
 """
@@ -123,16 +125,17 @@ _REACTIONS = ["like", "Love", "laugh", "WOW", "sad"]
 CTES["b_likes"] = f"""
   SELECT like_id, post_id, user_id, reaction_type, liked_at, {_iso('_ing')} AS ingested_at,
          {SRC} AS source_system, CAST(year(_ing) AS INTEGER) AS year,
-         CAST(month(_ing) AS INTEGER) AS month, CAST(day(_ing) AS INTEGER) AS day
+         CAST(month(_ing) AS INTEGER) AS month, CAST(day(_ing) AS INTEGER) AS day, _v
   FROM (
     SELECT CAST(event_id AS VARCHAR) AS like_id, json_extract_string(props, '$.k') AS post_id,
            CAST(user_id AS VARCHAR) AS user_id, {_iso('ts', 'event_id % 7 <> 0')} AS liked_at,
-           {_case('event_id % 5', _REACTIONS)} AS reaction_type, ts + INTERVAL 1 HOUR AS _ing
+           {_case('event_id % 5', _REACTIONS)} AS reaction_type, ts + INTERVAL 1 HOUR AS _ing,
+           1 AS _v
     FROM events WHERE event_type IN ('click', 'view', 'purchase')
     UNION ALL
     SELECT CAST(event_id AS VARCHAR), json_extract_string(props, '$.k'),
            CAST(user_id AS VARCHAR), {_iso('ts', 'event_id % 7 <> 0')},
-           {_case('(event_id + 1) % 5', _REACTIONS)}, ts + INTERVAL 2 HOUR
+           {_case('(event_id + 1) % 5', _REACTIONS)}, ts + INTERVAL 2 HOUR, 2
     FROM events WHERE event_type IN ('click', 'view', 'purchase') AND event_id % 25 = 0
   ) v
 """
@@ -141,7 +144,7 @@ CTES["b_comments"] = f"""
   SELECT comment_id, post_id, user_id, content, like_count, sentiment, is_deleted, commented_at,
          {_iso('_ing')} AS ingested_at, {SRC} AS source_system,
          CAST(year(_ing) AS INTEGER) AS year, CAST(month(_ing) AS INTEGER) AS month,
-         CAST(day(_ing) AS INTEGER) AS day
+         CAST(day(_ing) AS INTEGER) AS day, _v
   FROM (
     SELECT CAST(event_id AS VARCHAR) AS comment_id, json_extract_string(props, '$.k') AS post_id,
            CAST(user_id AS VARCHAR) AS user_id,
@@ -149,13 +152,13 @@ CTES["b_comments"] = f"""
            CAST(floor(value) AS BIGINT) AS like_count,
            CASE WHEN value < 20 THEN 'negative' WHEN value < 60 THEN 'Neutral' ELSE 'POSITIVE' END AS sentiment,
            {_iso('ts', 'event_id % 7 <> 0')} AS commented_at,
-           event_id % 33 = 0 AS is_deleted, ts + INTERVAL 1 HOUR AS _ing
+           event_id % 33 = 0 AS is_deleted, ts + INTERVAL 1 HOUR AS _ing, 1 AS _v
     FROM events WHERE event_type IN ('signup', 'error')
     UNION ALL
     SELECT CAST(event_id AS VARCHAR), json_extract_string(props, '$.k'), CAST(user_id AS VARCHAR),
            '  comment ' || CAST(event_id AS VARCHAR) || '  ', CAST(floor(value) AS BIGINT),
            CASE WHEN value < 20 THEN 'negative' WHEN value < 60 THEN 'Neutral' ELSE 'POSITIVE' END,
-           {_iso('ts', 'event_id % 7 <> 0')}, event_id % 80 = 0, ts + INTERVAL 2 HOUR
+           {_iso('ts', 'event_id % 7 <> 0')}, event_id % 80 = 0, ts + INTERVAL 2 HOUR, 2
     FROM events WHERE event_type IN ('signup', 'error') AND event_id % 40 = 0
   ) v
 """

@@ -84,7 +84,7 @@ def q_users(spark, d):
 
 def _load_extensions() -> None:
     # Further query groups register themselves on import.
-    from tidemark.plans import registry_more, registry_stream  # noqa: F401
+    from tidemark.plans import registry_more, registry_sources, registry_stream  # noqa: F401
 
 
 @lru_cache(maxsize=1)

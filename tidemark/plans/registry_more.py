@@ -502,13 +502,13 @@ def _checks_sql() -> list[tuple[str, str]]:
     return out
 
 
-def _report_sql(checks: tuple[str, ...] | None) -> str:
+def report_sql(checks: tuple[str, ...] | None) -> str:
     parts = [s for c, s in _checks_sql() if checks is None or c in checks]
     body = " UNION ALL ".join(parts)
     return sql(f"SELECT *, failing_rows = 0 AS passed FROM ({body}) r")
 
 
-register("quality_report", _report_sql(None))(_quality)
+register("quality_report", report_sql(None))(_quality)
 
 for _key, _checks in {
     "dq_unique": ("unique",), "dq_not_null": ("not_null",),
@@ -520,7 +520,7 @@ for _key, _checks in {
         def build(spark, d):
             return _quality(spark, d).where(F.col("check").isin(*checks))
         return build
-    register(_key, _report_sql(_checks))(_mk(_checks))
+    register(_key, report_sql(_checks))(_mk(_checks))
 
 
 @register("dq_flag_summary", sql("SELECT dq_flag, count(*) AS posts FROM s_posts GROUP BY dq_flag"))

@@ -7,8 +7,9 @@ expression both Spark and the SQL oracle evaluate identically (see
 input tables, so the pipeline's work scales with the scale factor.
 
     users    = customer (+ 2 % post-less copies) joined to nation
-    posts    = orders left-joined to per-order lineitem totals; 5 % of the
-               orders get a newer second version, 1 % of them deleted
+    posts    = orders left-joined to per-order lineitem totals, landed
+               monthly; 5 % of the orders get a newer second version, 1 % of
+               them deleted
     likes    = events of type click / view / purchase (+4 % re-ingested)
     comments = events of type signup / error (+2.5 % re-ingested)
 """
@@ -57,6 +58,13 @@ def _ymd(ts: Column) -> list[Column]:
             F.dayofmonth(ts).alias("day")]
 
 
+def _versions(frames: dict[int, DataFrame], versions: tuple[int, ...]) -> DataFrame:
+    out = None
+    for v in versions:
+        out = frames[v] if out is None else out.unionByName(frames[v])
+    return out
+
+
 def bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -110,7 +118,7 @@ def _tags_json(k: Column) -> Column:
             .otherwise(F.concat(F.lit("["), q(t1), sep, q(t2), sep, q(t3), F.lit("]"))))
 
 
-def bronze_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_posts(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     o = orders.join(_order_totals(spark, sf_dir),
@@ -139,13 +147,15 @@ def bronze_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _secs(k % 86400, F.col("o_orderdate")).alias("post_date"),
         F.col("o_orderdate").alias("_d"),
     )
-    v1 = base.withColumn("is_deleted", F.lit(False)) \
-             .withColumn("ingested_at", F.timestamp_add("DAY", F.lit(1), F.col("_d")))
+    # Posts land as monthly backfill batches: first day of the next month,
+    # the newer versions one day later.
+    landed = F.add_months(F.trunc(F.to_date("_d"), "month"), 1).cast("timestamp_ntz")
+    v1 = base.withColumn("is_deleted", F.lit(False)).withColumn("ingested_at", landed)
     v2 = (base.filter(F.col("_k") % 20 == 0)
           .withColumn("like_count", F.col("like_count") + 1)
           .withColumn("is_deleted", F.col("_k") % 100 == 0)
-          .withColumn("ingested_at", F.timestamp_add("DAY", F.lit(2), F.col("_d"))))
-    both = v1.unionByName(v2)
+          .withColumn("ingested_at", F.timestamp_add("DAY", F.lit(1), landed)))
+    both = _versions({1: v1, 2: v2}, versions)
     return both.select(
         "post_id", "user_id", "content", "post_type", "language", "media_url",
         "hashtags", "hashtag_count", "like_count", "comment_count", "repost_count",
@@ -164,7 +174,7 @@ def _events(spark: SparkSession, sf_dir: str, types: list[str]) -> DataFrame:
     return table(spark, sf_dir, "events").filter(F.col("event_type").isin(*types))
 
 
-def bronze_likes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_likes(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
     e = _events(spark, sf_dir, ["click", "view", "purchase"])
     k = F.col("event_id")
     reactions = ["like", "Love", "laugh", "WOW", "sad"]
@@ -180,13 +190,13 @@ def bronze_likes(spark: SparkSession, sf_dir: str) -> DataFrame:
     v2 = base.filter(F.col("_k") % 25 == 0).select(
         "*", _case((F.col("_k") + 1) % 5, reactions).alias("reaction_type"),
         F.timestamp_add("HOUR", F.lit(2), F.col("_ts")).alias("_ing"))
-    return v1.unionByName(v2).select(
+    return _versions({1: v1, 2: v2}, versions).select(
         "like_id", "post_id", "user_id", "reaction_type", "liked_at",
         _iso(F.col("_ing")).alias("ingested_at"),
         F.lit(SOURCE_SYSTEM).alias("source_system"), *_ymd(F.col("_ing")))
 
 
-def bronze_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_comments(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] = (1, 2)) -> DataFrame:
     e = _events(spark, sf_dir, ["signup", "error"])
     k = F.col("event_id")
     v = F.col("value")
@@ -205,7 +215,7 @@ def bronze_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     v2 = base.filter(F.col("_k") % 40 == 0).select(
         "*", (F.col("_k") % 80 == 0).alias("is_deleted"),
         F.timestamp_add("HOUR", F.lit(2), F.col("_ts")).alias("_ing"))
-    return v1.unionByName(v2).select(
+    return _versions({1: v1, 2: v2}, versions).select(
         "comment_id", "post_id", "user_id", "content", "like_count", "sentiment",
         "is_deleted", "commented_at", _iso(F.col("_ing")).alias("ingested_at"),
         F.lit(SOURCE_SYSTEM).alias("source_system"), *_ymd(F.col("_ing")))

@@ -38,6 +38,10 @@ def append_partitioned(df: DataFrame, root: str, batch_id: int,
     out = df if all(c in df.columns for c in PARTITIONS) else with_ingest_partitions(df, ingest_col)
     out = out.withColumn("batch_id", F.lit(batch_id).cast("long"))
     cols = [*PARTITIONS, "batch_id"]
+    # One writer task per partition folder instead of every task writing a
+    # file into every folder; AQE splits a hot (skewed) day over several
+    # tasks and merges tiny ones.
+    out = out.hint("rebalance", *cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(root))
     if jsonl_root:
@@ -72,7 +76,7 @@ def publish_layout(spark: SparkSession, lake_root: str, dest_root: str,
                 continue
             raise
         parts = [c for c in (*PARTITIONS, "batch_id") if c in df.columns]
-        w = df.write.mode("overwrite")
+        w = (df.hint("rebalance", *parts) if parts else df).write.mode("overwrite")
         (w.partitionBy(*parts) if parts else w).parquet(f"{dest_root}/{e}")
         done.append(e)
     return done

@@ -19,7 +19,7 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int,
     """
     out = df.orderBy(*order).limit(k)
     if rank_col:
-        out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+        out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
     return out
 
 

@@ -1,10 +1,11 @@
 """Data-quality checks (Q1-Q10) as DataFrames.
 
 Each check yields one row ``(layer, table, check, column, failing_rows,
-passed)``.  Row-predicate checks (not_null, accepted_values, ranges, enums,
-non-empty) on one table are fused into a *single* aggregation pass, then
-unpivoted; only uniqueness (a group-by per key) and relationships (an
-anti join) need their own pass.  Nothing is collected to the driver except
+passed)``.  All row-predicate checks of a table (not_null, accepted_values,
+ranges, enums, non-empty) *and* its unique / duplicate-key checks run in a
+single pass: a group-by on the key whose partial aggregation also carries
+the predicate counts, then one tiny global aggregate, then an unpivot.
+Only relationships (an anti join) need a pass of their own.  Nothing is collected to the driver except
 the gate's bounded ``limit(1)`` probe.
 """
 
@@ -72,22 +73,48 @@ class TableChecks:
     relationships: list[tuple[str, DataFrame, str]] = field(default_factory=list)
 
 
-def _row_checks(tc: TableChecks) -> DataFrame | None:
-    if not tc.rows:
-        return None
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, rc in enumerate(tc.rows):
-        if rc.check != "non_empty":
-            aggs.append(F.count(F.when(rc.failing, F.lit(1))).alias(f"__c{i}"))
-    one = tc.df.agg(*aggs)
+def _entries(tc: TableChecks, counts: dict[str, Column]) -> list[Column]:
     entries = []
     for i, rc in enumerate(tc.rows):
         failing = (F.when(F.col("__n") == 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
                    if rc.check == "non_empty" else F.col(f"__c{i}"))
-        entries.append(F.struct(F.lit(rc.check).alias("check"), F.lit(rc.column).alias("column"),
-                                failing.alias("failing_rows"),
-                                F.lit(rc.max_failing).cast("long").alias("max_failing")))
-    return (one.select(F.explode(F.array(*entries)).alias("e"))
+        entries.append((rc.check, rc.column, failing, rc.max_failing))
+    for check, col, expr in counts.values():
+        entries.append((check, col, expr, 0))
+    return [F.struct(F.lit(c).alias("check"), F.lit(col).alias("column"),
+                     e.cast("long").alias("failing_rows"),
+                     F.lit(m).cast("long").alias("max_failing"))
+            for c, col, e, m in entries]
+
+
+def _fused_checks(tc: TableChecks) -> DataFrame | None:
+    """All row-predicate checks plus unique / duplicates on the *first* key
+    column in one pass: group by the key (partial aggregation carries the
+    predicate counts), then one tiny global aggregate over the groups."""
+    key = (tc.unique or tc.duplicates or [None])[0]
+    preds = {f"__c{i}": rc.failing for i, rc in enumerate(tc.rows) if rc.check != "non_empty"}
+    if key is None:
+        if not tc.rows:
+            return None
+        one = tc.df.agg(F.count(F.lit(1)).alias("__n"),
+                        *[F.count(F.when(p, F.lit(1))).alias(c) for c, p in preds.items()])
+        counts = {}
+    else:
+        per_key = tc.df.groupBy(key).agg(
+            F.count(F.lit(1)).alias("__k"),
+            *[F.count(F.when(p, F.lit(1))).alias(c) for c, p in preds.items()])
+        dup = F.col("__k") > 1
+        one = per_key.agg(
+            F.coalesce(F.sum("__k"), F.lit(0)).alias("__n"),
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in preds],
+            F.count(F.when(dup & F.col(key).isNotNull(), F.lit(1))).alias("__uniq"),
+            F.count(F.when(dup, F.lit(1))).alias("__dups"))
+        counts = {}
+        if key in tc.unique:
+            counts["u"] = ("unique", key, F.col("__uniq"))
+        if key in tc.duplicates:
+            counts["d"] = ("duplicates", key, F.col("__dups"))
+    return (one.select(F.explode(F.array(*_entries(tc, counts))).alias("e"))
             .select(F.lit(tc.layer).alias("layer"), F.lit(tc.table).alias("table"),
                     "e.check", "e.column", "e.failing_rows",
                     (F.col("e.failing_rows") <= F.col("e.max_failing")).alias("passed")))
@@ -112,11 +139,12 @@ def _rel_check(tc: TableChecks, col: str, parent: DataFrame, pkey: str) -> DataF
 
 def table_report(tc: TableChecks) -> DataFrame:
     parts: list[DataFrame] = []
-    rc = _row_checks(tc)
-    if rc is not None:
-        parts.append(rc)
-    parts += [_dup_check(tc, c, "unique", True) for c in tc.unique]
-    parts += [_dup_check(tc, c, "duplicates", False) for c in tc.duplicates]
+    fused = _fused_checks(tc)
+    if fused is not None:
+        parts.append(fused)
+    first = (tc.unique or tc.duplicates or [None])[0]
+    parts += [_dup_check(tc, c, "unique", True) for c in tc.unique if c != first]
+    parts += [_dup_check(tc, c, "duplicates", False) for c in tc.duplicates if c != first]
     parts += [_rel_check(tc, c, p, k) for c, p, k in tc.relationships]
     out = parts[0]
     for p in parts[1:]:

@@ -10,12 +10,14 @@ from tidemark.plans.oracle import CTES, sliding, sql
 from tidemark.plans.registry import AS_OF, register
 from tidemark.session import scratch_path
 from tidemark.sources import adapter
-from tidemark.sources.sinks import write_batch_tables
+from tidemark.sources.sinks import materialize, write_batch_tables
 from tidemark.plans.silver import stage_posts
 from tidemark.functions.tags import lenient_tags
 from tidemark.streaming import events as EV
 from tidemark.streaming import jobs
-from tidemark.streaming.windows import latest_window_top, windowed_counts
+from tidemark.streaming.windows import (
+    latest_window_top, latest_window_top_events, windowed_counts,
+)
 
 PINNED = F.lit(AS_OF).cast("timestamp_ntz")
 FEED_COLS = ["entity", "event_type", "event_id", "post_id", "user_id", "content", "post_type",
@@ -116,8 +118,20 @@ def q_sentiment_windows(spark, d):
                         WHERE window_end <= (SELECT max(window_start) FROM w_tags))
     ORDER BY n DESC, hashtag LIMIT 5"""))
 def q_latest_top(spark, d):
-    return latest_window_top(windowed_counts(_tag_events(spark, d), "_ts", ["hashtag"]),
-                             "hashtag", 5)
+    return latest_window_top_events(_tag_events(spark, d), "_ts", "hashtag", 5)
+
+
+@register("latest_window_top_table", sql("""
+    SELECT window_start, window_end, hashtag, n,
+           row_number() OVER (ORDER BY n DESC, hashtag) AS rank
+    FROM w_tags
+    WHERE window_end = (SELECT max(window_end) FROM w_tags
+                        WHERE window_end <= (SELECT max(window_start) FROM w_tags))
+    ORDER BY n DESC, hashtag LIMIT 5"""))
+def q_latest_top_table(spark, d):
+    counts = windowed_counts(_tag_events(spark, d), "_ts", ["hashtag"])
+    table = materialize(counts, scratch_path(spark, "window-table"))
+    return latest_window_top(table, "hashtag", 5)
 
 
 # ---- K8: the three small batch tables -------------------------------------

@@ -87,3 +87,52 @@ def test_scan_prunes_columns(spark):
 def test_daily_mart_single_distinct_no_expand(spark):
     posts = silver.stage_posts(adapter.bronze_posts(spark, SF_SMALL))
     assert "Expand" not in _plan(gold.daily_engagement(posts, ordered=False))
+
+
+def test_salted_join_is_exact_and_spreads_hot_key(spark):
+    from tidemark.operators.joins import hot_keys, salted_join
+    big = spark.range(0, 20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("k"),
+        F.col("id").alias("v"))
+    small = spark.createDataFrame([("hot", 1)] + [(str(i), i) for i in range(50)], "k2 string, w int")
+    hot = hot_keys(big, "k", share=0.05, sample=0.2)
+    assert hot == ["hot"]
+    plain = big.join(small, big.k == small.k2, "inner")
+    salted = salted_join(big, small, "k", "k2", "inner", buckets=8, hot=hot)
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    anti = salted_join(big, small.where("k2 <> 'hot'"), "k", "k2", "left_anti", buckets=8, hot=hot)
+    assert anti.count() == big.where("k = 'hot'").count()
+    # in a shuffle join the hot key's rows are spread over several tasks
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        per_task = (salted_join(big, small, "k", "k2", "inner", buckets=8, hot=hot)
+                    .where("k = 'hot'").groupBy(F.spark_partition_id()).count().count())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert per_task > 1
+
+
+def test_quarantine_bad_casts(spark):
+    from tidemark.plans.silver import quarantine_bad_casts
+    df = spark.createDataFrame([("1", "2024-01-01T10:00:00"), ("x", "2024-01-01"), ("3", "nope"),
+                                (None, None)], "n string, t string")
+    good, bad = quarantine_bad_casts(df, {"n": "int", "t": "timestamp_ntz"})
+    assert good.count() == 2
+    assert sorted(tuple(r["bad_columns"]) for r in bad.collect()) == [("n",), ("t",)]
+
+
+def test_fractional_counter_rounds_like_reference(spark):
+    from tidemark.plans.silver import _to_int
+    df = spark.createDataFrame([(2.5,), (2.4,), (-2.5,)], "c double")
+    assert [r[0] for r in df.select(_to_int(df, "c")).collect()] == [3, 2, -3]
+
+
+def test_user_mart_has_no_exchange_before_partial_agg(spark):
+    posts = silver.stage_posts(adapter.bronze_posts(spark, SF_SMALL))
+    users = silver.stage_users(adapter.bronze_users(spark, SF_SMALL))
+    plan = gold.user_performance(users, posts)._jdf.queryExecution().sparkPlan().toString()
+    assert "RepartitionByExpression" not in plan

@@ -111,14 +111,15 @@ def user_performance(users: DataFrame, posts: DataFrame,
     Scaling the additive measures by ``m`` reproduces the reference exactly
     even if a user row is duplicated (where its join would repeat every
     post); DISTINCT counts, averages and dates are unaffected by ``m``.
-    Users are hash-partitioned on ``user_id`` once; the profile grouping
-    and the join reuse that partitioning.  The join side sizes are only
-    known at run time, so AQE decides on broadcast from measured sizes.
+    The profile grouping runs its partial aggregation map side first, so
+    even a user id repeated across a third of the rows is collapsed before
+    any shuffle.  The join side sizes are only known at run time, so AQE
+    decides on broadcast from measured sizes.
 
     ``ordered`` sorts by likes received (NULLs last); off by default since
     the user count is unbounded and table order is not kept on read.
     """
-    profiles = (users.select(*USER_COLUMNS).repartition("user_id")
+    profiles = (users.select(*USER_COLUMNS)
                 .groupBy(*USER_COLUMNS).agg(F.count(F.lit(1)).alias("_m")))
     totals = user_post_totals(posts)
     j = profiles.join(totals, "user_id", "left")

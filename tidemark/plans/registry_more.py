@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import functions as TF
 from tidemark.operators.dedup import latest_by_key
-from tidemark.operators.joins import orphans, temporal_consistency
+from tidemark.operators.joins import hot_keys, orphans, temporal_consistency
 from tidemark.operators.unnest import (
     explode_json_tags, explode_split_tags, explode_tags_lenient,
 )
@@ -202,9 +202,12 @@ def q_temporal(spark, d):
     posts = s_posts(spark, d)
     likes = s_likes(spark, d).withColumnRenamed("like_id", "event_id")
     comments = s_comments(spark, d).withColumnRenamed("comment_id", "event_id")
-    return (temporal_consistency(likes, "liked_at", posts, "like", 30, FUTURE_AS_OF)
+    # Interactions concentrate on few posts (100 posts get all of them here):
+    # flag the hot ones on a sample and salt them.
+    return (temporal_consistency(likes, "liked_at", posts, "like", 30, FUTURE_AS_OF,
+                                 hot=hot_keys(likes, "post_id"))
             .unionByName(temporal_consistency(comments, "commented_at", posts, "comment", 7,
-                                              FUTURE_AS_OF)))
+                                              FUTURE_AS_OF, hot=hot_keys(comments, "post_id"))))
 
 
 # ---- aggregates (A4-A17) ----------------------------------------------------

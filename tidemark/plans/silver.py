@@ -24,6 +24,20 @@ def _trim(c: str) -> Column:
     return F.trim(F.col(c))
 
 
+_FRACTIONAL = ("float", "double", "decimal")
+
+
+def _to_int(df: DataFrame, c: str) -> Column:
+    """CAST(x AS INTEGER) as the reference engine does it: a fractional
+    source (e.g. a merged file that made a counter floating) is rounded
+    half away from zero, where Spark's cast would truncate."""
+    dtype = df.schema[c].dataType.typeName()
+    col = F.col(c)
+    if dtype.startswith(_FRACTIONAL):
+        col = F.round(col, 0)
+    return col.cast("int")
+
+
 def stage_users(users: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """stg_users: no dedup (the reference has none), required-field filter."""
     now = as_of_col(as_of)
@@ -41,9 +55,9 @@ def stage_users(users: DataFrame, as_of: str | Column | None = None) -> DataFram
         F.lower("account_status").alias("account_status"),
         F.col("is_verified").cast("boolean").alias("is_verified"),
         F.lower("language").alias("language"),
-        F.col("follower_count").cast("int").alias("follower_count"),
-        F.col("following_count").cast("int").alias("following_count"),
-        F.col("post_count").cast("int").alias("post_count"),
+        _to_int(users, "follower_count").alias("follower_count"),
+        _to_int(users, "following_count").alias("following_count"),
+        _to_int(users, "post_count").alias("post_count"),
         TF.influencer_tier("follower_count").alias("influencer_tier"),
         TF.is_influencer("follower_count").alias("is_influencer"),
         TF.follower_ratio("follower_count", "following_count").alias("follower_ratio"),
@@ -76,11 +90,11 @@ def stage_posts(posts: DataFrame, as_of: str | Column | None = None,
         F.lower("language").alias("language"),
         "media_url",
         "hashtags",
-        F.col("hashtag_count").cast("int").alias("hashtag_count"),
-        F.col("like_count").cast("int").alias("like_count"),
-        F.col("comment_count").cast("int").alias("comment_count"),
-        F.col("repost_count").cast("int").alias("repost_count"),
-        F.col("view_count").cast("int").alias("view_count"),
+        _to_int(kept, "hashtag_count").alias("hashtag_count"),
+        _to_int(kept, "like_count").alias("like_count"),
+        _to_int(kept, "comment_count").alias("comment_count"),
+        _to_int(kept, "repost_count").alias("repost_count"),
+        _to_int(kept, "view_count").alias("view_count"),
         TF.engagement_score().alias("engagement_score"),
         TF.engagement_tier("raw_engagement_score").alias("engagement_tier"),
         F.col("is_viral").cast("boolean").alias("is_viral"),
@@ -112,7 +126,7 @@ def stage_comments(comments: DataFrame, as_of: str | Column | None = None,
     return kept.select(
         "comment_id", "post_id", "user_id",
         _trim("content").alias("content"),
-        F.col("like_count").cast("int").alias("like_count"),
+        _to_int(kept, "like_count").alias("like_count"),
         F.lower("sentiment").alias("sentiment"),
         F.col("is_deleted").cast("boolean").alias("is_deleted"),
         ca.alias("commented_at"),
@@ -139,3 +153,17 @@ def stage_likes(likes: DataFrame, as_of: str | Column | None = None,
         "source_system",
         now.alias("transformed_at"),
     )
+
+
+def quarantine_bad_casts(df: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Split rows whose text does not cast (the reference engine raises on
+    them, as does Spark's ANSI cast).  Returns ``(good, bad)``; ``bad``
+    carries a ``bad_columns`` array naming the failed casts, so one bad
+    value parks its row instead of failing a 100 TB job.  Both sides come
+    from one predicate evaluated per row (``try_cast``); no extra pass."""
+    failed = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c))
+              for c, t in casts.items()]
+    marked = df.withColumn("bad_columns", F.filter(F.array(*failed), lambda x: x.isNotNull()))
+    bad = marked.where(F.size("bad_columns") > 0)
+    good = marked.where(F.size("bad_columns") == 0).drop("bad_columns")
+    return good, bad

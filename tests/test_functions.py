@@ -118,3 +118,12 @@ def test_avg_fixed_is_partition_independent(spark):
     base = spark.createDataFrame([(v,) for v in vals], "x double")
     got = {base.repartition(n).agg(avg_fixed("x", 4, 4)).first()[0] for n in (1, 3, 7)}
     assert got == {0.2797}
+
+
+def test_malformed_tags_policy(spark):
+    from tidemark.operators.unnest import explode_json_tags, malformed_tag_count
+    df = spark.createDataFrame([('["a"]', 1), ("oops", 1), ('{"x": 1}', 1)], "hashtags string, hashtag_count int")
+    assert malformed_tag_count(df).first()[0] == 2
+    assert [r["hashtag"] for r in explode_json_tags(df).collect()] == ["a"]
+    with pytest.raises(Exception):
+        explode_json_tags(df, fail_on_malformed=True).collect()

@@ -112,3 +112,25 @@ def test_streamed_posts_reach_silver(spark):
     root = jobs.stream_to_bronze_lake(spark, src, scratch_path(spark, "b"), scratch_path(spark, "c"))
     posts = bronze.read_facts(spark, root, "posts")
     assert stage_posts(posts).count() == feed.where(F.col("entity") == "posts").count()
+
+
+def test_nanosecond_timestamp_files(spark, tmp_dir):
+    import os
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    folder = f"{tmp_dir}/posts/year=2024/month=1/day=2"
+    os.makedirs(folder, exist_ok=True)
+    ts = pa.array([1704189600123456789], type=pa.timestamp("ns"))
+    pq.write_table(pa.table({"post_id": ["p1"], "post_date": ts}), f"{folder}/part.parquet",
+                   version="2.6", coerce_timestamps=None)
+    got = bronze.read_facts(spark, tmp_dir, "posts", nanos_columns=["post_date"]).first()
+    assert str(got["post_date"]) == "2024-01-02 10:00:00.123456"
+
+
+def test_missing_column_defaults_but_null_stays_null(spark):
+    from tidemark.plans.reports import reaction_counts
+    old = spark.createDataFrame([("l1",)], "like_id string")
+    new = spark.createDataFrame([("l2", None), ("l3", "wow")], "like_id string, reaction_type string")
+    pin = F.lit("2002-01-01").cast("timestamp_ntz")
+    assert [r[0] for r in reaction_counts(old, pin).collect()] == ["like"]
+    assert sorted((r[0] or "") for r in reaction_counts(new, pin).collect()) == ["", "wow"]

@@ -162,3 +162,20 @@ def q_published_files(spark, d):
 def q_pipeline(spark, d):
     res = run_batch(spark, lake(spark, d), scratch_path(spark, "run"), AS_OF)
     return res.report
+
+
+# ---- S9: SQL over registered bronze views ------------------------------------
+
+@register("bronze_views_sql", sql("""
+    SELECT 'users' AS entity, count(*) AS row_count FROM b_users
+    UNION ALL SELECT 'posts', count(*) FROM l_posts
+    UNION ALL SELECT 'comments', count(*) FROM l_comments
+    UNION ALL SELECT 'likes', count(*) FROM l_likes"""))
+def q_views_sql(spark, d):
+    root = lake(spark, d)
+    views = bronze.register_views({
+        "users": bronze.read_snapshot(spark, root, "users"),
+        **{e: bronze.read_facts(spark, root, e) for e in ("posts", "comments", "likes")}})
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{v.removeprefix('bronze_')}' AS entity, count(*) AS row_count FROM {v}"
+        for v in views))

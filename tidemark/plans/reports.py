@@ -156,14 +156,27 @@ def trending_hashtags(posts: DataFrame, window_end: Column) -> DataFrame:
             .withColumn("window_end", window_end))
 
 
+# The counters' defaults for a record that lacks the field.
+DEFAULT_REACTION = "like"
+DEFAULT_SENTIMENT = "neutral"
+
+
+def _with_default(df: DataFrame, col: str, default: str) -> DataFrame:
+    """Fill only a *missing column* (older files without the field); a
+    present NULL stays NULL and is counted as its own group."""
+    return df if col in df.columns else df.withColumn(col, F.lit(default))
+
+
 def reaction_counts(likes: DataFrame, window_end: Column) -> DataFrame:
     """NULL reactions stay a group of their own."""
+    likes = _with_default(likes, "reaction_type", DEFAULT_REACTION)
     return (likes.groupBy("reaction_type").agg(F.count(F.lit(1)).alias("reaction_count"))
             .withColumn("window_end", window_end))
 
 
 def comment_sentiment(comments: DataFrame, window_end: Column) -> DataFrame:
     """A15."""
+    comments = _with_default(comments, "sentiment", DEFAULT_SENTIMENT)
     return (comments.groupBy("sentiment").agg(F.count(F.lit(1)).alias("comment_count"))
             .withColumn("window_end", window_end))
 

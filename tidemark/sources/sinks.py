@@ -42,11 +42,18 @@ def append_partitioned(df: DataFrame, root: str, batch_id: int,
     # file into every folder; AQE splits a hot (skewed) day over several
     # tasks and merges tiny ones.
     out = out.hint("rebalance", *cols)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*cols).parquet(root))
     if jsonl_root:
+        # the same batch lands twice (Parquet + JSONL): compute it once
+        out = out.persist()
+    try:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*cols).json(jsonl_root))
+         .partitionBy(*cols).parquet(root))
+        if jsonl_root:
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*cols).json(jsonl_root))
+    finally:
+        if jsonl_root:
+            out.unpersist()
     return root
 
 

@@ -134,3 +134,43 @@ def test_missing_column_defaults_but_null_stays_null(spark):
     pin = F.lit("2002-01-01").cast("timestamp_ntz")
     assert [r[0] for r in reaction_counts(old, pin).collect()] == ["like"]
     assert sorted((r[0] or "") for r in reaction_counts(new, pin).collect()) == ["", "wow"]
+
+
+def test_latest_window_top_events_equals_table_form(spark):
+    from tidemark.streaming.windows import latest_window_top, latest_window_top_events
+    f = adapter.feed_events(spark, SF_SMALL).where(F.col("entity") == "posts")
+    ev = f.select("_ts", F.explode(lenient_tags("hashtags")).alias("hashtag"))
+    a = latest_window_top(windowed_counts(ev, "_ts", ["hashtag"]), "hashtag", 5)
+    b = latest_window_top_events(ev, "_ts", "hashtag", 5)
+    cols = ["window_start", "window_end", "hashtag", "n", "rank"]
+    assert [tuple(r) for r in a.select(cols).collect()] == [tuple(r) for r in b.select(cols).collect()]
+
+
+def test_long_running_bronze_writer_and_progress(spark):
+    feed = adapter.feed_events(spark, SF_SMALL)
+    src = jobs.write_feed(feed, scratch_path(spark, "feed"), parts=2)
+    q = jobs.stream_to_bronze_lake(spark, src, scratch_path(spark, "b"), scratch_path(spark, "c"),
+                                   every="1 second")
+    try:
+        q.processAllAvailable()
+        totals = jobs.progress_totals(q)
+    finally:
+        q.stop()
+    assert totals["input_rows"] == feed.count() and totals["batches"] >= 2
+
+
+def test_pipeline_run_and_gate(spark, tmp_dir):
+    from tidemark.plans.pipeline import run_batch
+    from tidemark.sources.lake import build_lake
+    from tidemark.plans.quality import quality_gate
+    lake = build_lake(spark, SF_SMALL, root=f"{tmp_dir}/lake")
+    res = run_batch(spark, lake, f"{tmp_dir}/run", "2002-01-01 00:00:00")
+    rows = res.report.collect()
+    assert len(rows) == 48 and res.gold["mart_daily_engagement"].count() > 0
+    failed = [r for r in rows if not r["passed"]]
+    try:
+        quality_gate(res.report)
+        raised = False
+    except AssertionError:
+        raised = True
+    assert raised == bool(failed)

@@ -4,26 +4,51 @@ users    -> snapshot (Parquet + JSONL)
 posts    -> batch 1 = first versions, batch 2 = newer versions written
             *without* ``is_nsfw`` (an evolving schema for union-by-name)
 comments, likes -> batch 1 / batch 2 likewise
-Everything lands under the session's shared folder.  A lake is built once
-per application and scale-factor folder.
+Everything lands under the session's shared folder, at a path derived from
+the input folder and ``LAYOUT_VERSION`` (bump it whenever the adapter's
+rules change), and is reused by later sessions sharing that folder.
 """
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from tidemark.session import scratch_path
+from tidemark.session import shared_root
 from tidemark.sources import adapter
 from tidemark.sources.sinks import append_partitioned, snapshot_replace
 
+LAYOUT_VERSION = 3
 _LAKES: dict[tuple[str, str], str] = {}
 
 
+def _complete(spark: SparkSession, root: str, sf_dir: str) -> bool:
+    """A lake is reusable once its marker (written last) names the input."""
+    try:
+        row = spark.read.parquet(f"{root}/_lake_complete").first()
+    except AnalysisException:
+        return False
+    return row is not None and row["sf_dir"] == sf_dir and row["version"] == LAYOUT_VERSION
+
+
 def build_lake(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """Land the bronze lake for ``sf_dir`` (or reuse a complete one).
+
+    The default location is deterministic under the shared folder, so a
+    later session with the same ``spark.checkpoint.dir`` reuses the lake
+    instead of rewriting it; a partly written lake has no marker and is
+    rebuilt (every write below overwrites its own target)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if root is None and key in _LAKES:
         return _LAKES[key]
-    root = root or scratch_path(spark, "lake")
+    if root is None:
+        digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+        root = f"{shared_root(spark)}/tidemark/lake-v{LAYOUT_VERSION}-{digest}"
+        if _complete(spark, root, sf_dir):
+            _LAKES[key] = root
+            return root
     snapshot_replace(adapter.bronze_users(spark, sf_dir), f"{root}/users",
                      jsonl_path=f"{root}/jsonl/users")
     facts = {"posts": adapter.bronze_posts, "comments": adapter.bronze_comments,
@@ -35,5 +60,7 @@ def build_lake(spark: SparkSession, sf_dir: str, root: str | None = None) -> str
                 df = df.drop("is_nsfw")
             append_partitioned(df, f"{root}/{entity}", batch,
                                jsonl_root=f"{root}/jsonl/{entity}")
+    spark.createDataFrame([(sf_dir, LAYOUT_VERSION)], "sf_dir string, version int") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{root}/_lake_complete")
     _LAKES[key] = root
     return root

@@ -137,7 +137,7 @@ def q_append(spark, d):
         df = adapter.bronze_posts(spark, d, versions=(batch,))
         append_partitioned(df, root, batch)
     append_partitioned(adapter.bronze_posts(spark, d, versions=(2,)), root, 2)  # re-run: idempotent
-    out = spark.read.option("basePath", root).parquet(root)
+    out = bronze.read_facts(spark, root.rsplit("/", 1)[0], root.rsplit("/", 1)[1])
     return out.groupBy("year", "month", "day", "batch_id").agg(F.count(F.lit(1)).alias("rows"))
 
 

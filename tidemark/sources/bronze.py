@@ -42,7 +42,8 @@ def read_facts(spark: SparkSession, root: str, entity: str,
     path = f"{root}/{entity}"
     if nanos_columns:
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
+    df = _typed_partitions(
+        spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path))
     if start or end:
         day = F.make_date("year", "month", "day")
         if start:
@@ -54,14 +55,22 @@ def read_facts(spark: SparkSession, root: str, entity: str,
     return df
 
 
+def _typed_partitions(df: DataFrame) -> DataFrame:
+    """Partition discovery infers INT for batch ids written as BIGINT."""
+    if "batch_id" in df.columns:
+        df = df.withColumn("batch_id", F.col("batch_id").cast("long"))
+    return df
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
                corrupt_col: str = "_corrupt_record") -> DataFrame:
     """JSONL bronze with a fixed schema; unparsable lines are kept in
     ``corrupt_col`` (PERMISSIVE) instead of failing the job."""
     full = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
-    return (spark.read.schema(full).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", corrupt_col)
-            .option("basePath", path).json(path))
+    return _typed_partitions(
+        spark.read.schema(full).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", corrupt_col)
+        .option("basePath", path).json(path))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,

@@ -174,3 +174,44 @@ def test_pipeline_run_and_gate(spark, tmp_dir):
     except AssertionError:
         raised = True
     assert raised == bool(failed)
+
+
+def test_decode_keeps_raw_for_malformed_and_routes(spark):
+    from tidemark.streaming.events import decode_events, encode_events, route_events
+    feed = adapter.feed_events(spark, SF_SMALL)
+    msgs = encode_events(feed).unionByName(
+        spark.createDataFrame([("k", "{not json", "social.likes")], "key string, value string, topic string"))
+    dec = decode_events(msgs)
+    bad = dec.where(F.col("event_id").isNull()).collect()
+    assert len(bad) == 1 and bad[0]["raw"] == "{not json" and bad[0]["entity"] == "likes"
+    routed = route_events(dec)
+    by_entity = {e: df.count() for e, df in routed.items()}
+    want = {r[0]: r[1] for r in feed.groupBy("entity").count().collect()}
+    want["likes"] += 1
+    assert by_entity == want
+
+
+def test_publish_skips_missing_and_lists_files(spark, tmp_dir):
+    from tidemark.sources.sinks import publish_layout, published_files
+    df = adapter.bronze_likes(spark, SF_SMALL)
+    append_partitioned(df, f"{tmp_dir}/lake/likes", 1, jsonl_root=f"{tmp_dir}/lake/jsonl/likes")
+    done = publish_layout(spark, f"{tmp_dir}/lake", f"{tmp_dir}/pub")
+    assert done == ["likes"]
+    files = published_files(spark, f"{tmp_dir}/pub").collect()
+    assert files and all(r["path"].endswith(".parquet") and r["length"] > 0 for r in files)
+    assert bronze.read_facts(spark, f"{tmp_dir}/pub", "likes").count() == df.count()
+
+
+def test_external_tables_and_sql_views(spark, tmp_dir):
+    import uuid
+    from tidemark.sources.sinks import snapshot_replace
+    users = adapter.bronze_users(spark, SF_SMALL)
+    posts = adapter.bronze_posts(spark, SF_SMALL)
+    snapshot_replace(users, f"{tmp_dir}/users")
+    append_partitioned(posts, f"{tmp_dir}/posts", 1)
+    db = "t_" + uuid.uuid4().hex[:8]
+    tp, tu = bronze.create_external_tables(spark, db, tmp_dir, f"{tmp_dir}/catalog")
+    assert spark.table(tp).count() == posts.count()
+    assert set(spark.table(tu).columns) == {n for n, _ in bronze.EXTERNAL_USERS}
+    names = bronze.register_views({"users": users})
+    assert spark.sql(f"SELECT count(*) FROM {names[0]}").first()[0] == users.count()

@@ -85,10 +85,14 @@ def hashtag_performance(posts: DataFrame, as_of: str | Column | None = None,
     return out.orderBy(F.col("trending_score").desc_nulls_last()) if ordered else out
 
 
-def user_post_totals(posts: DataFrame) -> DataFrame:
-    """Per-author aggregates, partial-aggregated before the shuffle."""
+def user_post_totals(posts: DataFrame, unique_posts: bool = True) -> DataFrame:
+    """Per-author aggregates, partial-aggregated before the shuffle.
+
+    Silver posts are unique on ``post_id`` (checked by the quality report),
+    so the DISTINCT post count is a plain count: one shuffle keyed by
+    author instead of a second one keyed by (author, post)."""
     return posts.groupBy("user_id").agg(
-        F.count_distinct("post_id").alias("_posts"),
+        (F.count(F.lit(1)) if unique_posts else F.count_distinct("post_id")).alias("_posts"),
         F.sum(F.col("like_count").cast("long")).alias("_likes"),
         F.sum(F.col("comment_count").cast("long")).alias("_comments"),
         F.sum(F.col("repost_count").cast("long")).alias("_reposts"),
@@ -102,7 +106,7 @@ def user_post_totals(posts: DataFrame) -> DataFrame:
 
 def user_performance(users: DataFrame, posts: DataFrame,
                      as_of: str | Column | None = None,
-                     ordered: bool = False) -> DataFrame:
+                     ordered: bool = False, unique_posts: bool = True) -> DataFrame:
     """mart_user_performance: users LEFT JOIN posts, grouped by 10 user columns.
 
     Plan: aggregate posts per ``user_id`` first (a hot author is cut to
@@ -121,7 +125,7 @@ def user_performance(users: DataFrame, posts: DataFrame,
     """
     profiles = (users.select(*USER_COLUMNS)
                 .groupBy(*USER_COLUMNS).agg(F.count(F.lit(1)).alias("_m")))
-    totals = user_post_totals(posts)
+    totals = user_post_totals(posts, unique_posts)
     j = profiles.join(totals, "user_id", "left")
     m = F.col("_m")
     span = F.datediff(F.to_date("last_post_date"), F.to_date("first_post_date")).cast("long")

@@ -136,3 +136,13 @@ def test_user_mart_has_no_exchange_before_partial_agg(spark):
     users = silver.stage_users(adapter.bronze_users(spark, SF_SMALL))
     plan = gold.user_performance(users, posts)._jdf.queryExecution().sparkPlan().toString()
     assert "RepartitionByExpression" not in plan
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+    root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    code = ("import __spark_entry__ as E; q = E.queries(); o = E.oracle_sql(); "
+            "assert len(q) >= 80 and set(o) <= set(q), (len(q), len(o))")
+    r = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]

@@ -39,22 +39,66 @@ def register(name: str, oracle_sql: str | None, note: str = ""):
     return deco
 
 
-# ---- shared silver frames ---------------------------------------------------
+# ---- shared base frames -----------------------------------------------------
+# DataFrames are immutable lazy plans: the bronze/silver/gold frames every
+# query starts from are built (and analysed) once per session and input
+# folder and the plan objects are reused.  No data is cached; each query
+# still executes its whole computation from the input tables.
 
+_FRAMES: dict[tuple, DataFrame] = {}
+
+
+def shared_frame(fn):
+    def build(spark, d):
+        key = (fn.__qualname__, fn.__module__, spark.sparkContext.applicationId, d)
+        df = _FRAMES.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = _FRAMES[key] = fn(spark, d)
+        return df
+    build.__name__ = fn.__name__
+    build.__qualname__ = fn.__qualname__
+    build.__doc__ = fn.__doc__
+    return build
+
+
+@shared_frame
+def b_users(spark, d):
+    return adapter.bronze_users(spark, d)
+
+
+@shared_frame
+def b_posts(spark, d):
+    return adapter.bronze_posts(spark, d)
+
+
+@shared_frame
+def b_comments(spark, d):
+    return adapter.bronze_comments(spark, d)
+
+
+@shared_frame
+def b_likes(spark, d):
+    return adapter.bronze_likes(spark, d)
+
+
+@shared_frame
 def s_users(spark, d):
-    return silver.stage_users(adapter.bronze_users(spark, d), AS_OF)
+    return silver.stage_users(b_users(spark, d), AS_OF)
 
 
+@shared_frame
 def s_posts(spark, d):
-    return silver.stage_posts(adapter.bronze_posts(spark, d), AS_OF)
+    return silver.stage_posts(b_posts(spark, d), AS_OF)
 
 
+@shared_frame
 def s_comments(spark, d):
-    return silver.stage_comments(adapter.bronze_comments(spark, d), AS_OF)
+    return silver.stage_comments(b_comments(spark, d), AS_OF)
 
 
+@shared_frame
 def s_likes(spark, d):
-    return silver.stage_likes(adapter.bronze_likes(spark, d), AS_OF)
+    return silver.stage_likes(b_likes(spark, d), AS_OF)
 
 
 # ---- silver -----------------------------------------------------------------

@@ -15,40 +15,30 @@ from tidemark.plans import gold, quality, reports
 from tidemark.plans.oracle import AS_OF as SQL_AS_OF
 from tidemark.plans.oracle import avg4, sql
 from tidemark.plans.registry import (
-    AS_OF, register, s_comments, s_likes, s_posts, s_users,
+    AS_OF, b_comments, b_likes, b_posts, b_users, register, s_comments, s_likes, s_posts,
+    s_users, shared_frame,
 )
 from tidemark.session import scratch_path
 from tidemark.sources.sinks import materialize
 from tidemark.sources import adapter
 
-PINNED = F.lit(AS_OF).cast("timestamp_ntz")
+def pinned():
+    """``as_of`` as a column (built lazily: importing needs no session)."""
+    return F.lit(AS_OF).cast("timestamp_ntz")
 FUTURE_AS_OF = "2025-01-01 00:00:00"
 
 
-def b_users(spark, d):
-    return adapter.bronze_users(spark, d)
-
-
-def b_posts(spark, d):
-    return adapter.bronze_posts(spark, d)
-
-
-def b_comments(spark, d):
-    return adapter.bronze_comments(spark, d)
-
-
-def b_likes(spark, d):
-    return adapter.bronze_likes(spark, d)
-
-
+@shared_frame
 def g_daily(spark, d):
     return gold.daily_engagement(s_posts(spark, d), AS_OF, ordered=False)
 
 
+@shared_frame
 def g_tags(spark, d):
     return gold.hashtag_performance(s_posts(spark, d), AS_OF, ordered=False)
 
 
+@shared_frame
 def g_users(spark, d):
     return gold.user_performance(s_users(spark, d), s_posts(spark, d), AS_OF)
 
@@ -206,10 +196,13 @@ def q_temporal(spark, d):
     comments = s_comments(spark, d).withColumnRenamed("comment_id", "event_id")
     # Interactions concentrate on few posts (100 posts get all of them here):
     # flag the hot ones on a sample and salt them.
+    # (detected on the bronze input, which skips the dedup; the salting is
+    # exact whatever the list holds)
     return (temporal_consistency(likes, "liked_at", posts, "like", 30, FUTURE_AS_OF,
-                                 hot=hot_keys(likes, "post_id"))
+                                 hot=hot_keys(b_likes(spark, d), "post_id"))
             .unionByName(temporal_consistency(comments, "commented_at", posts, "comment", 7,
-                                              FUTURE_AS_OF, hot=hot_keys(comments, "post_id"))))
+                                              FUTURE_AS_OF,
+                                              hot=hot_keys(b_comments(spark, d), "post_id"))))
 
 
 # ---- aggregates (A4-A17) ----------------------------------------------------
@@ -308,21 +301,21 @@ _LENIENT = """(SELECT trim(tag) AS hashtag FROM (
     SELECT hashtag, count(*) AS post_count, {SQL_AS_OF} AS window_end
     FROM {_LENIENT} x GROUP BY hashtag"""))
 def q_trending(spark, d):
-    return reports.trending_hashtags(b_posts(spark, d), PINNED)
+    return reports.trending_hashtags(b_posts(spark, d), pinned())
 
 
 @register("reaction_counts", sql(f"""
     SELECT reaction_type, count(*) AS reaction_count, {SQL_AS_OF} AS window_end
     FROM b_likes GROUP BY reaction_type"""))
 def q_reactions(spark, d):
-    return reports.reaction_counts(b_likes(spark, d), PINNED)
+    return reports.reaction_counts(b_likes(spark, d), pinned())
 
 
 @register("comment_sentiment", sql(f"""
     SELECT sentiment, count(*) AS comment_count, {SQL_AS_OF} AS window_end
     FROM b_comments GROUP BY sentiment"""))
 def q_sentiment(spark, d):
-    return reports.comment_sentiment(b_comments(spark, d), PINNED)
+    return reports.comment_sentiment(b_comments(spark, d), pinned())
 
 
 @register("batch_stats", sql("""
@@ -400,9 +393,9 @@ def q_top_split(spark, d):
       ORDER BY n DESC, sentiment NULLS LAST LIMIT 1)"""))
 def q_top3(spark, d):
     return reports.top_tags_reaction_sentiment(
-        reports.trending_hashtags(b_posts(spark, d), PINNED),
-        reports.reaction_counts(b_likes(spark, d), PINNED),
-        reports.comment_sentiment(b_comments(spark, d), PINNED)).drop("rank")
+        reports.trending_hashtags(b_posts(spark, d), pinned()),
+        reports.reaction_counts(b_likes(spark, d), pinned()),
+        reports.comment_sentiment(b_comments(spark, d), pinned())).drop("rank")
 
 
 # ---- quality (Q1-Q10) -------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import reports
 from tidemark.plans.oracle import CTES, sliding, sql
-from tidemark.plans.registry import AS_OF, register
+from tidemark.plans.registry import AS_OF, b_comments, b_likes, b_posts, register, shared_frame
 from tidemark.session import scratch_path
 from tidemark.sources import adapter
 from tidemark.sources.sinks import materialize, write_batch_tables
@@ -19,12 +19,15 @@ from tidemark.streaming.windows import (
     latest_window_top, latest_window_top_events, windowed_counts,
 )
 
-PINNED = F.lit(AS_OF).cast("timestamp_ntz")
+def pinned():
+    """``as_of`` as a column (built lazily: importing needs no session)."""
+    return F.lit(AS_OF).cast("timestamp_ntz")
 FEED_COLS = ["entity", "event_type", "event_id", "post_id", "user_id", "content", "post_type",
              "hashtags", "hashtag_count", "language", "like_id", "reaction_type", "comment_id",
              "sentiment", "timestamp"]
 
 
+@shared_frame
 def feed(spark, d):
     return adapter.feed_events(spark, d)
 
@@ -78,7 +81,7 @@ def q_route(spark, d):
     FROM feed WHERE entity = 'posts'"""))
 def q_to_bronze(spark, d):
     dec = EV.decode_events(EV.encode_events(feed(spark, d)))
-    return EV.to_bronze(dec, "posts", consumed_at=PINNED)
+    return EV.to_bronze(dec, "posts", consumed_at=pinned())
 
 
 # ---- windows: batch twins (T1-T3, T8) ---------------------------------------
@@ -147,9 +150,9 @@ def q_latest_top_table(spark, d):
     FROM b_comments GROUP BY sentiment"""))
 def q_batch_tables(spark, d):
     tables = {
-        "trending_hashtags": reports.trending_hashtags(adapter.bronze_posts(spark, d), PINNED),
-        "reaction_counts": reports.reaction_counts(adapter.bronze_likes(spark, d), PINNED),
-        "comment_sentiment": reports.comment_sentiment(adapter.bronze_comments(spark, d), PINNED),
+        "trending_hashtags": reports.trending_hashtags(b_posts(spark, d), pinned()),
+        "reaction_counts": reports.reaction_counts(b_likes(spark, d), pinned()),
+        "comment_sentiment": reports.comment_sentiment(b_comments(spark, d), pinned()),
     }
     root = write_batch_tables(tables, scratch_path(spark, "gold-streaming"))
     value = {"trending_hashtags": ("hashtag", "post_count"),

@@ -19,7 +19,7 @@ from tidemark.plans.registry import (
     s_users, shared_frame,
 )
 from tidemark.session import scratch_path
-from tidemark.sources.sinks import materialize
+from tidemark.sources.sinks import materialize_all
 from tidemark.sources import adapter
 
 def pinned():
@@ -405,8 +405,9 @@ def _quality(spark, d):
     # relationship and all three marts) and users two: compute each once,
     # written as Parquet in the shared folder (a lineage cut that is
     # computed once; Dataset.checkpoint would compute it twice).
-    su = materialize(s_users(spark, d), scratch_path(spark, "stg_users"))
-    sp = materialize(s_posts(spark, d), scratch_path(spark, "stg_posts"))
+    m = materialize_all({"stg_users": s_users(spark, d), "stg_posts": s_posts(spark, d)},
+                        scratch_path(spark, "silver"))
+    su, sp = m["stg_users"], m["stg_posts"]
     return quality.quality_report(quality.standard_checks(
         su, sp, s_comments(spark, d), s_likes(spark, d),
         gold.daily_engagement(sp, AS_OF, ordered=False),

@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from tidemark.session import shared_root
 from tidemark.sources import adapter
-from tidemark.sources.sinks import append_partitioned, snapshot_replace
+from tidemark.sources.sinks import append_partitioned, run_parallel, snapshot_replace
 
 LAYOUT_VERSION = 3
 _LAKES: dict[tuple[str, str], str] = {}
@@ -49,17 +49,23 @@ def build_lake(spark: SparkSession, sf_dir: str, root: str | None = None) -> str
         if _complete(spark, root, sf_dir):
             _LAKES[key] = root
             return root
-    snapshot_replace(adapter.bronze_users(spark, sf_dir), f"{root}/users",
-                     jsonl_path=f"{root}/jsonl/users")
     facts = {"posts": adapter.bronze_posts, "comments": adapter.bronze_comments,
              "likes": adapter.bronze_likes}
-    for entity, make in facts.items():
+
+    def land(entity: str) -> None:
+        # batches of one entity share a root: land them in order
         for batch in (1, 2):
-            df = make(spark, sf_dir, versions=(batch,))
+            df = facts[entity](spark, sf_dir, versions=(batch,))
             if entity == "posts" and batch == 2:
                 df = df.drop("is_nsfw")
             append_partitioned(df, f"{root}/{entity}", batch,
                                jsonl_root=f"{root}/jsonl/{entity}")
+
+    # entities are independent folders: land them concurrently
+    run_parallel({
+        "users": lambda: snapshot_replace(adapter.bronze_users(spark, sf_dir), f"{root}/users",
+                                          jsonl_path=f"{root}/jsonl/users"),
+        **{e: (lambda e=e: land(e)) for e in facts}})
     spark.createDataFrame([(sf_dir, LAYOUT_VERSION)], "sf_dir string, version int") \
         .coalesce(1).write.mode("overwrite").parquet(f"{root}/_lake_complete")
     _LAKES[key] = root

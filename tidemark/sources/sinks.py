@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,25 @@ def materialize(df: DataFrame, path: str, sort_within: Sequence[str] = ()) -> Da
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_all(frames: dict[str, DataFrame], root: str,
+                    max_parallel: int = 4) -> dict[str, DataFrame]:
+    """K3 for independent tables of one layer: their write jobs are
+    submitted together, so the scheduler fills slots one job leaves idle
+    (small tables, stage tails) with tasks of the others."""
+    return run_parallel({k: (lambda k=k, v=v: materialize(v, f"{root}/{k}"))
+                         for k, v in frames.items()}, max_parallel)
+
+
+def run_parallel(actions: dict[str, Callable], max_parallel: int = 4) -> dict:
+    """Run independent Spark actions from a small thread pool (each Python
+    thread drives its own jobs); the first failure is re-raised."""
+    if len(actions) <= 1 or max_parallel <= 1:
+        return {k: f() for k, f in actions.items()}
+    with ThreadPoolExecutor(max_workers=min(max_parallel, len(actions))) as pool:
+        futures = {k: pool.submit(f) for k, f in actions.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def publish_layout(spark: SparkSession, lake_root: str, dest_root: str,
                    entities: Sequence[str] = ("users", "posts", "comments", "likes")) -> list[str]:
     """K6: copy the Parquet lake (never the JSONL) to another store with the

@@ -159,8 +159,8 @@ def test_long_running_bronze_writer_and_progress(spark):
     assert totals["input_rows"] == feed.count() and totals["batches"] >= 2
 
 
-def test_pipeline_run_and_gate(spark, tmp_dir):
-    from tidemark.plans.pipeline import run_batch
+def test_batch_run_and_gate(spark, tmp_dir):
+    from tidemark.plans.batch_run import run_batch
     from tidemark.sources.lake import build_lake
     from tidemark.plans.quality import quality_gate
     lake = build_lake(spark, SF_SMALL, root=f"{tmp_dir}/lake")

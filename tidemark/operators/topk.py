@@ -21,11 +21,3 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int,
     if rank_col:
         out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
     return out
-
-
-def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
-                    k: int, rank_col: str = "rank") -> DataFrame:
-    """k best rows per group; row_number <= k gets a Partial WindowGroupLimit
-    below the shuffle, so hot groups are cut to k rows per map task."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)

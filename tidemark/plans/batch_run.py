@@ -1,4 +1,4 @@
-"""The batch pipeline: bronze lake -> silver -> gold -> quality gate.
+"""The batch run: bronze lake -> silver -> gold -> quality gate.
 
 Each layer is materialised as Parquet in the shared folder (K3) and read
 back, so the three marts share one silver scan instead of recomputing the

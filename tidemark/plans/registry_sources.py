@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import reports
 from tidemark.plans.oracle import CTES, sql
-from tidemark.plans.pipeline import run_batch
+from tidemark.plans.batch_run import run_batch
 from tidemark.plans.registry import AS_OF, register
 from tidemark.plans.registry_more import report_sql
 from tidemark.session import scratch_path
@@ -158,8 +158,8 @@ def q_published_files(spark, d):
 
 # ---- the whole batch pipeline -------------------------------------------------
 
-@register("pipeline_quality_report", report_sql(None))
-def q_pipeline(spark, d):
+@register("batch_run_quality_report", report_sql(None))
+def q_batch_run(spark, d):
     res = run_batch(spark, lake(spark, d), scratch_path(spark, "run"), AS_OF)
     return res.report
 

@@ -222,15 +222,6 @@ def bronze_comments(spark: SparkSession, sf_dir: str, versions: tuple[int, ...]
         F.lit(SOURCE_SYSTEM).alias("source_system"), *_ymd(F.col("_ing")))
 
 
-def bronze_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "users": bronze_users(spark, sf_dir),
-        "posts": bronze_posts(spark, sf_dir),
-        "comments": bronze_comments(spark, sf_dir),
-        "likes": bronze_likes(spark, sf_dir),
-    }
-
-
 # ---- stream feed ------------------------------------------------------------
 
 FEED_TAG_VOCAB = 12

@@ -179,3 +179,16 @@ def q_views_sql(spark, d):
     return spark.sql(" UNION ALL ".join(
         f"SELECT '{v.removeprefix('bronze_')}' AS entity, count(*) AS row_count FROM {v}"
         for v in views))
+
+
+# ---- small-file compaction (survey §4) ----------------------------------------
+
+@register("compact_bronze", sql("SELECT * FROM l_likes"))
+def q_compact(spark, d):
+    """Compact every ingest day of a published copy of the likes, then read
+    the entity back: the layout changes, the content does not."""
+    from tidemark.sources.sinks import compact
+    dest = scratch_path(spark, "compact")
+    publish_layout(spark, lake(spark, d), dest, entities=("likes",))
+    compact(spark, f"{dest}/likes", scratch_path(spark, "staging"))
+    return bronze.read_facts(spark, dest, "likes")

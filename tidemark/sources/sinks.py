@@ -129,19 +129,26 @@ def write_batch_tables(tables: dict[str, DataFrame], root: str) -> str:
     return root
 
 
-def compact_partition(spark: SparkSession, root: str, staging: str, year: int, month: int,
-                      day: int, files: int = 1) -> int:
-    """Rewrite one ingest-date partition of a fact entity into ``files``
-    files (the stream writer leaves one small file per flush).
-
-    Reading and overwriting the same folder in one job is unsafe, so the
-    partition is first written to ``staging`` and then swapped in with a
-    dynamic partition overwrite.  Returns the row count moved.
+def compact(spark: SparkSession, root: str, staging: str,
+            start: str | None = None, end: str | None = None) -> int:
+    """Rewrite the ingest-date partitions of a fact entity in [start, end]
+    (all by default) into few, well-sized files — the stream writer leaves
+    one small file per flush.
+
+    Two jobs whatever the number of days: the REBALANCE hint gives each
+    partition folder its own writer task (AQE splits a hot day into
+    several), the result lands in ``staging`` and is then swapped in with
+    a dynamic partition overwrite (reading and overwriting one folder in a
+    single job is unsafe).  Returns the row count moved.
     """
-    src = (spark.read.option("basePath", root).parquet(root)
-           .where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)))
+    src = spark.read.option("basePath", root).parquet(root)
+    day = F.make_date("year", "month", "day")
+    if start:
+        src = src.where(day >= F.lit(start).cast("date"))
+    if end:
+        src = src.where(day <= F.lit(end).cast("date"))
     parts = [c for c in (*PARTITIONS, "batch_id") if c in src.columns]
-    src.repartition(files).write.mode("overwrite").partitionBy(*parts).parquet(staging)
+    src.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(staging)
     staged = spark.read.option("basePath", staging).parquet(staging)
     n = staged.count()
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

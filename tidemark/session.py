@@ -28,6 +28,24 @@ BASE_CONF = {
 }
 
 
+# Extra settings for a real cluster (not applied to local[...] sessions,
+# where the data is small and parallelism matters more than task size).
+CLUSTER_CONF = {
+    # coalesce shuffle partitions to ~128 MB instead of to the core count
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # split a skewed join partition once it is 5x the median and > 256 MB
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # bounded output files (~128 MB at typical row widths) for downstream scans
+    "spark.sql.files.maxRecordsPerFile": "5000000",
+    # lost executors: keep shuffle files reachable and retry fetches
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20,
                            minimum: int = 8) -> int:
     """Initial shuffle partition count for an input size: ~128 MB per task.
@@ -53,6 +71,8 @@ def build_session(master: str | None = None, app: str = "tidemark",
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not (master and master.startswith("local")):
+        conf.update(CLUSTER_CONF)
     if master and master.startswith("local"):
         conf.setdefault("spark.ui.enabled", "false")
         conf.setdefault("spark.ui.showConsoleProgress", "false")

@@ -69,10 +69,15 @@ def _version_array(has_second: Column, versions: tuple[int, ...]) -> Column:
 def bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    extra = (cust.filter(F.col("c_custkey") % 50 == 0)
-             .withColumn("c_custkey", F.col("c_custkey") + NO_POST_USER_OFFSET))
+    # every 50th customer also appears as a post-less user (key + offset);
+    # generated in the same scan with explode
+    copies = F.when(F.col("c_custkey") % 50 == 0, F.array(F.lit(0), F.lit(1))) \
+              .otherwise(F.array(F.lit(0)))
+    both = (cust.withColumn("__copy", F.explode(copies))
+            .withColumn("c_custkey", F.col("c_custkey") + F.col("__copy") * NO_POST_USER_OFFSET)
+            .drop("__copy"))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    u = cust.unionByName(extra).join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    u = both.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     k = F.col("c_custkey")
     b = F.greatest(F.floor("c_acctbal").cast("long"), F.lit(0))
     joined = _secs(k * 7919 % 346896000, _ts("1990-01-01 00:00:00"))

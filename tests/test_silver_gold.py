@@ -89,3 +89,32 @@ def test_invariants_on_small_scale(spark):
     tag_rows = gold.explode_json_tags(posts).count()
     sizes = posts.where("hashtag_count > 0").agg(F.sum(F.size(F.from_json("hashtags", "array<string>")))).first()[0]
     assert tag_rows == sizes
+
+
+def test_report_daily_takes_oldest_days_as_text(spark):
+    from datetime import datetime, timedelta
+    from tidemark.plans.reports import report_daily
+    rows = [(datetime(2024, 1, 1) + timedelta(days=i), 1, 2, 0, 12.34565) for i in range(40)]
+    daily = spark.createDataFrame(rows, "date timestamp_ntz, total_posts long, total_likes long, "
+                                        "viral_posts long, platform_engagement_rate double")
+    out = [r["date"] for r in report_daily(daily, 30).collect()]
+    assert len(out) == 30 and out[0] == "2024-01-01 00:00:00" and out[-1] == "2024-01-30 00:00:00"
+
+
+def test_report_users_nulls_last_and_unique_ties(spark):
+    from tidemark.plans.reports import report_users
+    mart = spark.createDataFrame(
+        [("u3", "c", "nano", 1, None, 0), ("u2", "b", "nano", 1, 5, 0), ("u1", "a", "nano", 1, 5, 0),
+         ("u4", "d", "nano", 1, 9, 1)],
+        "user_id string, username string, influencer_tier string, total_posts long, "
+        "total_likes_received long, viral_posts long")
+    got = [(r["rank"], r["username"]) for r in report_users(mart, 4).collect()]
+    assert got == [(1, "d"), (2, "a"), (3, "b"), (4, "c")]
+
+
+def test_top_tags_split_counts_leading_space_separately(spark):
+    from tidemark.plans.reports import top_tags_split
+    posts = spark.createDataFrame([('["a", "b"]', 2), ('["b"]', 1), ('[]', 0)],
+                                  "hashtags string, hashtag_count int")
+    got = {r["hashtag_tag"]: r["post_count"] for r in top_tags_split(posts).collect()}
+    assert got == {"a": 1, " b": 1, "b": 1}

@@ -20,7 +20,6 @@ from tidemark.plans.registry import (
 )
 from tidemark.session import scratch_path
 from tidemark.sources.sinks import materialize_all
-from tidemark.sources import adapter
 
 def pinned():
     """``as_of`` as a column (built lazily: importing needs no session)."""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import op2_exact
+from tidemark.llm import op1_urls, op2_exact
+from tidemark.llm import op9_warc as op9_warc_io
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,42 @@ FROM d JOIN g USING (h)
 """)
 def op2_exact_dedup(spark, d):
     return op2_exact.exact_dedup(table(spark, d, "documents")).drop("uid")
+
+
+@register("op1_url_filters", r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN position('://' IN coalesce(url, '')) > 0
+                       THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(rhost, rpath, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+m AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+         arg_max(r.verdict, length(rhost || rpath)) AS verdict
+  FROM h JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN m USING (page_id)
+""")
+def op1_url_filters(spark, d):
+    rules = spark.createDataFrame([("com", "/", "allow"), ("example.com", "/en/", "block"),
+                                   ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+                                   ("net", "/fr/", "block")], "host string, path string, verdict string")
+    return op1_urls.judge(table(spark, d, "pages"), rules)
+
+
+@register("op9_warc", r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS top FROM p GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM p JOIN g USING (payload_digest)
+""")
+def op9_warc(spark, d):
+    index = op9_warc_io.write_archives(table(spark, d, "pages"))
+    return (op9_warc_io.read_records(index, payloads=False)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import op1_urls, op2_exact
+import public_tokenizers
+
+from tidemark.llm import op1_urls, op2_exact, op6_bpe, op8_licenses
 from tidemark.llm import op9_warc as op9_warc_io
 from tidemark.llm.common import table
 
@@ -77,3 +79,14 @@ def op9_warc(spark, d):
     index = op9_warc_io.write_archives(table(spark, d, "pages"))
     return (op9_warc_io.read_records(index, payloads=False)
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+@register("op6_byte_bpe")
+def op6_byte_bpe(spark, d):
+    return op6_bpe.round_trip(table(spark, d, "documents"),
+                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register("op8_license_scan")
+def op8_license_scan(spark, d):
+    return op8_licenses.scan(table(spark, d, "documents"))

@@ -79,15 +79,14 @@ def _sweep(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         if best is None or len(hit[0]) > len(best[0]):
                             best = hit
                         break
-            ids.append(rid)
+            ids.append(None if pd.isna(rid) else int(rid))
             hosts.append(host)
             paths.append(path)
             rules.append(best and best[0])
             verdicts.append(best and best[1])
         if ids:
-            yield pd.DataFrame({"rid": pd.array(ids, dtype="Int64"), "host": hosts, "path": paths,
-                                "rule": pd.Series(rules, dtype=object),
-                                "verdict": pd.Series(verdicts, dtype=object)})
+            yield pd.DataFrame({"rid": ids, "host": hosts, "path": paths, "rule": rules, "verdict": verdicts},
+                               dtype=object)
 
 
 def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -95,8 +95,7 @@ def _writer(root: str, date: str, limit: int):
                     rows.append((pid, url, f"{root}/{name}", at, len(member), len(payload), digest,
                                  "response" if ref is None else "revisit", ref))
                     at += len(member)
-                yield pd.DataFrame(rows, columns=[x.split()[0] for x in INDEX.split(", ")]).astype(
-                    {"page_id": "Int64", "refers_to": "Int64"})
+                yield pd.DataFrame(rows, columns=[x.split()[0] for x in INDEX.split(", ")], dtype=object)
         finally:
             if out:
                 out.close()
@@ -162,8 +161,7 @@ def _reader(payloads: bool):
         last, handle, got, size = None, None, [], 0
 
         def frame():
-            return pd.DataFrame(got, columns=[x.split()[0] for x in READ.split(", ")]).astype(
-                {"page_id": "Int64", "refers_to": "Int64"})
+            return pd.DataFrame(got, columns=[x.split()[0] for x in READ.split(", ")], dtype=object)
         for file, run in _ranges(rows(), GAP_BYTES, READ_BYTES):
             if file != last:
                 if handle:

@@ -116,6 +116,8 @@ def census(sets: DataFrame, ranges: int) -> DataFrame:
         for pdf in batches:
             for batch, data in zip(pdf["batch"], pdf["hashes"]):
                 uniq, count = np.unique(np.frombuffer(data, dtype=np.uint64), return_counts=True)
+                if not len(uniq):
+                    continue
                 part = _ranges_of(uniq, ranges)
                 cut = np.flatnonzero(np.diff(part, prepend=-1))
                 edge = np.append(cut, len(uniq))

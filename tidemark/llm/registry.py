@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op1_urls, op2_exact, op6_bpe, op8_licenses
+from tidemark.llm import op1_urls, op2_exact, op6_bpe, op8_licenses, op10_ngram_join as op10
 from tidemark.llm import op9_warc as op9_warc_io
 from tidemark.llm.common import table
 
@@ -90,3 +90,8 @@ def op6_byte_bpe(spark, d):
 @register("op8_license_scan")
 def op8_license_scan(spark, d):
     return op8_licenses.scan(table(spark, d, "documents"))
+
+
+@register("op10_ngram_jaccard")
+def op10_ngram_jaccard(spark, d):
+    return op10.jaccard_components(table(spark, d, "documents"))

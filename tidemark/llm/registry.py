@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op1_urls, op2_exact, op6_bpe, op8_licenses, op10_ngram_join as op10
+from tidemark.llm import op1_urls, op2_exact, op6_bpe, op7_decontaminate, op8_licenses
+from tidemark.llm import op10_ngram_join as op10
 from tidemark.llm import op9_warc as op9_warc_io
 from tidemark.llm.common import table
 
@@ -95,3 +96,9 @@ def op8_license_scan(spark, d):
 @register("op10_ngram_jaccard")
 def op10_ngram_jaccard(spark, d):
     return op10.jaccard_components(table(spark, d, "documents"))
+
+
+@register("op7_decontamination")
+def op7_decontamination(spark, d):
+    return (op7_decontaminate.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))
+            .select("doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").alias("n_tiles")))

@@ -55,7 +55,7 @@ PERCENT, WIDTH = 75, 5
 #: the first census counts one in so many shingles
 UNIVERSE = 3
 #: characters of text in a batch; shingles in a hash range and in a part of a block
-BATCH_CHARS, RANGE_SHINGLES, BLOCK_SHINGLES = 8 << 20, 4_000_000, 4_000_000
+BATCH_CHARS, RANGE_SHINGLES, BLOCK_SHINGLES = 2 << 20, 4_000_000, 4_000_000
 #: weight of a probe against a merged entry when lists are divided
 PROBE = 0.0085
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from tidemark.llm import op1_urls, op2_exact, op6_bpe, op7_decontaminate, op8_licenses
+from tidemark.llm import op5_toxicity as op5_crf
 from tidemark.llm import op10_ngram_join as op10
 from tidemark.llm import op9_warc as op9_warc_io
 from tidemark.llm.common import table
@@ -102,3 +103,9 @@ def op10_ngram_jaccard(spark, d):
 def op7_decontamination(spark, d):
     return (op7_decontaminate.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))
             .select("doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").alias("n_tiles")))
+
+
+@register("op5_toxicity")
+def op5_toxicity(spark, d):
+    return (op5_crf.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+            .withColumn("n_spans", F.size("spans")).drop("spans"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op1_urls, op2_exact, op6_bpe, op7_decontaminate, op8_licenses
+from tidemark.llm import op1_urls, op2_exact, op3_pii as op3, op6_bpe, op7_decontaminate, op8_licenses
 from tidemark.llm import op5_toxicity as op5_crf
 from tidemark.llm import op10_ngram_join as op10
 from tidemark.llm import op9_warc as op9_warc_io
@@ -109,3 +109,8 @@ def op7_decontamination(spark, d):
 def op5_toxicity(spark, d):
     return (op5_crf.classify(table(spark, d, "documents"), table(spark, d, "labels"))
             .withColumn("n_spans", F.size("spans")).drop("spans"))
+
+
+@register("op3_pii")
+def op3_pii(spark, d):
+    return op3.digest_columns(op3.find(table(spark, d, "documents")))

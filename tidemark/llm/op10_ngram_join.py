@@ -46,6 +46,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.census import RANGE_HASHES, census, totals
 from tidemark.llm.common import (c, join_spreading_hot, materialize, pieces_of, shingle_sets,
                                  shuffle_width, text_of)
 from tidemark.llm.graph import components
@@ -54,8 +55,8 @@ from tidemark.llm.graph import components
 PERCENT, WIDTH = 75, 5
 #: the first census counts one in so many shingles
 UNIVERSE = 3
-#: characters of text in a batch; shingles in a hash range and in a part of a block
-BATCH_CHARS, RANGE_SHINGLES, BLOCK_SHINGLES = 2 << 20, 4_000_000, 4_000_000
+#: characters of text in a batch; shingles in a part of a block
+BATCH_CHARS, BLOCK_SHINGLES = 2 << 20, 4_000_000
 #: weight of a probe against a merged entry when lists are divided
 PROBE = 0.0085
 
@@ -98,57 +99,9 @@ def _class_sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             "sizes": [sizes], "hashes": [np.concatenate([s for _, s in own]).tobytes()]})
 
 
-def _ranges_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
-    """The hash range of each shingle, non-decreasing in the hash."""
-    return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-
-
-def census(sets: DataFrame, ranges: int) -> DataFrame:
-    """How many documents hold each shingle of each batch.
-
-    ``sets`` has ``BATCH`` rows.  Each batch sends its distinct shingles with
-    their counts to the shingles' ranges and gets the totals back, as
-    ``(batch, part, df)`` in the order of the batch's distinct shingles.
-    Within a range 32 bits tell shingles apart, so a total may come out too
-    large (about once in a thousand shingles), never too small.
-    """
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for batch, data in zip(pdf["batch"], pdf["hashes"]):
-                uniq, count = np.unique(np.frombuffer(data, dtype=np.uint64), return_counts=True)
-                if not len(uniq):
-                    continue
-                part = _ranges_of(uniq, ranges)
-                cut = np.flatnonzero(np.diff(part, prepend=-1))
-                edge = np.append(cut, len(uniq))
-                key = uniq.astype(np.uint32)
-                count = count.astype(np.uint32)
-                yield pd.DataFrame({
-                    "batch": [batch] * len(cut), "part": part[cut],
-                    "keys": [key[a:b].tobytes() for a, b in zip(edge, edge[1:])],
-                    "counts": [count[a:b].tobytes() for a, b in zip(edge, edge[1:])]})
-
-    def total(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.frombuffer(b"".join(pdf["keys"]), dtype=np.uint32)
-        counts = np.frombuffer(b"".join(pdf["counts"]), dtype=np.uint32)
-        uniq, at = np.unique(keys, return_inverse=True)
-        df = np.bincount(at, weights=counts, minlength=len(uniq))[at]
-        df = np.minimum(df, 65535).astype(np.uint16)
-        edge = np.concatenate(([0], np.cumsum([len(k) // 4 for k in pdf["keys"]])))
-        return pd.DataFrame({"batch": pdf["batch"], "part": pdf["part"],
-                             "df": [df[a:b].tobytes() for a, b in zip(edge, edge[1:])]})
-
-    sent = sets.select("batch", "hashes").mapInPandas(send, "batch string, part long, keys binary, counts binary")
-    return sent.groupBy("part").applyInPandas(total, "batch string, part long, df binary")
-
-
 def _frequencies(row, replies: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A batch's shingles, their document frequencies, and which document each is of."""
-    hashes = np.frombuffer(row.hashes, dtype=np.uint64)
-    uniq, at = np.unique(hashes, return_inverse=True)
-    df = np.frombuffer(b"".join(replies.sort_values("part")["df"]), dtype=np.uint16)
-    assert len(df) == len(uniq)
-    return hashes, df[at], np.repeat(np.arange(len(row.sizes)), row.sizes)
+    return *totals(row.hashes, replies), np.repeat(np.arange(len(row.sizes)), row.sizes)
 
 
 def _maybe_linked(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -335,7 +288,7 @@ def search_blocks(near: DataFrame, blocks: DataFrame, bound: int = BLOCK_SHINGLE
 
 def _ranges(sets: DataFrame, column: str) -> int:
     total = sets.select(F.sum(F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    return max(shuffle_width(sets.sparkSession), -(-total // RANGE_SHINGLES))
+    return max(shuffle_width(sets.sparkSession), -(-total // RANGE_HASHES))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

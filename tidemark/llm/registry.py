@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from tidemark.llm import op1_urls, op2_exact, op3_pii as op3, op6_bpe, op7_decontaminate, op8_licenses
+from tidemark.llm import op4_suffix as op4
 from tidemark.llm import op5_toxicity as op5_crf
 from tidemark.llm import op10_ngram_join as op10
 from tidemark.llm import op9_warc as op9_warc_io
@@ -114,3 +115,8 @@ def op5_toxicity(spark, d):
 @register("op3_pii")
 def op3_pii(spark, d):
     return op3.digest_columns(op3.find(table(spark, d, "documents")))
+
+
+@register("op4_suffix_dedup")
+def op4_suffix_dedup(spark, d):
+    return op4.remove_repeats(table(spark, d, "documents"))

@@ -1,21 +1,68 @@
-"""The corpus pipeline: documents through the training-data operators, stage by stage."""
+"""The corpus pipeline: ``documents`` through five operators, stage by stage.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns what it keeps, with the
+columns of its input (the last one returns the tokens).  Stages match rows by
+``doc_id``, null ids among themselves: rows that repeat an id share its fate,
+and of rows that repeat an id and a text the exact dedup keeps one.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import op2_exact
-from tidemark.llm.common import c, materialize, table
+from tidemark.llm import op2_exact, op5_toxicity, op6_bpe, op7_decontaminate, op10_ngram_join
+from tidemark.llm.common import materialize, table, text_of
+
+TOKENS = "byte_bpe_50k.tiktoken"
+
+
+def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` whose id is (semi) or is not (anti) among ``ids``."""
+    ids = ids.select(F.col("doc_id").alias("_id"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), how)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the toxicity operator rejects."""
+    scored = op5_toxicity.classify(docs, table(spark, sf_dir, "labels"))
+    return _only(docs, materialize(scored.where("predicted = 1").select("doc_id"), "toxic"), "left_anti")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of equal texts."""
-    kept = op2_exact.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    kept = _only(docs, materialize(op2_exact.exact_dedup(docs).where("kept").select("doc_id").distinct(), "unique"), "left_semi")
+    again = materialize(kept.groupBy("doc_id", op2_exact.digest_of(text_of("text")).alias("digest"))
+                        .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id").distinct(), "again")
+    if again.isEmpty():
+        return kept
+    once = (_only(kept, again, "left_semi").withColumn("_digest", op2_exact.digest_of(text_of("text")))
+            .dropDuplicates(["doc_id", "_digest"]).drop("_digest"))
+    return _only(kept, again, "left_anti").unionByName(once)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, the smallest id, of each group that n-gram links connect."""
+    found = op10_ngram_join.jaccard_components(docs)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return _only(docs, materialize(first, "first"), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that contain a benchmark item."""
+    found = op7_decontaminate.contained(docs, table(spark, sf_dir, "benchmark"))
+    return _only(docs, materialize(found.select("doc_id").distinct(), "leaks"), "left_anti")
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every document that is left, checked by decoding them again:
+    ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``."""
+    return op6_bpe.round_trip(docs, public_tokenizers.path(TOKENS), public_tokenizers.PATTERN)
 
 
-STAGES = [("exact dedup", exact_dedup)]
+STAGES = [("toxicity", toxicity), ("exact dedup", exact_dedup), ("n-gram Jaccard join", near_dedup),
+          ("benchmark decontamination", decontamination), ("byte-level BPE", tokenize)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,4 +73,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
+#: the conditional random field, the tilings and the tokens are beyond SQL
 ORACLE_SQL = None

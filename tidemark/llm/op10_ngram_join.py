@@ -308,8 +308,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = src.join(reps.select("digest", "uid", F.col("doc_id").alias("_id")),
                      src["doc_id"].eqNullSafe(F.col("_id"))).select("uid", "digest", "text")
     again = materialize(texts.mapInPandas(_class_sets, BATCH), "class_shingles")
-    totals = census(again, _ranges(again, "sizes"))
-    near = materialize(again.groupBy("batch").cogroup(totals.groupBy("batch")).applyInPandas(
+    counts = census(again, _ranges(again, "sizes"))
+    near = materialize(again.groupBy("batch").cogroup(counts.groupBy("batch")).applyInPandas(
         _rarest_first, "node long, n int, shingles array<long>, prefix array<long>, weight long"), "near")
 
     met = materialize(near.select("node", F.explode("prefix").alias("s")), "prefixes")

@@ -14,6 +14,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import gold, oracle, silver
+from tidemark.session import input_fingerprint
 from tidemark.sources import adapter
 
 AS_OF = "2002-01-01 00:00:00"
@@ -43,14 +44,16 @@ def register(name: str, oracle_sql: str | None, note: str = ""):
 # DataFrames are immutable lazy plans: the bronze/silver/gold frames every
 # query starts from are built (and analysed) once per session and input
 # folder and the plan objects are reused.  No data is cached; each query
-# still executes its whole computation from the input tables.
+# still executes its whole computation from the input tables.  A plan freezes
+# its list of input files, so a changed input gets new plans.
 
 _FRAMES: dict[tuple, DataFrame] = {}
 
 
 def shared_frame(fn):
     def build(spark, d):
-        key = (fn.__qualname__, fn.__module__, spark.sparkContext.applicationId, d)
+        files = input_fingerprint(spark, *(f"{d.rstrip('/')}/{t}.parquet" for t in adapter.TABLES))
+        key = (fn.__qualname__, fn.__module__, spark.sparkContext.applicationId, d, files)
         df = _FRAMES.get(key)
         if df is None or df.sparkSession is not spark:
             df = _FRAMES[key] = fn(spark, d)

@@ -1,5 +1,5 @@
 """Streaming queries: codec, normaliser, routing, windows (batch twins with
-SQL oracles) and the Structured Streaming jobs themselves (rows-only)."""
+SQL oracles) and the Structured Streaming jobs themselves."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from tidemark.plans import reports
 from tidemark.plans.oracle import CTES, sliding, sql
 from tidemark.plans.registry import AS_OF, b_comments, b_likes, b_posts, register, shared_frame
 from tidemark.session import scratch_path
-from tidemark.sources import adapter
-from tidemark.sources.sinks import materialize, write_batch_tables
+from tidemark.sources import adapter, bronze, schemas
+from tidemark.sources.sinks import append_partitioned, materialize, write_batch_tables
 from tidemark.plans.silver import stage_posts
 from tidemark.functions.tags import lenient_tags
 from tidemark.streaming import events as EV
@@ -77,13 +77,31 @@ def q_route(spark, d):
            false AS is_viral, false AS is_deleted, false AS is_nsfw,
            CAST(NULL AS VARCHAR) AS geo_country, CAST("timestamp" AS TIMESTAMP) AS post_date,
            TIMESTAMP '{AS_OF}' AS ingested_at, 'kafka_stream' AS source_system, event_id,
-           2002 AS year, 1 AS month, 1 AS day
+           TIMESTAMP '{AS_OF}' AS consumed_at, 2002 AS year, 1 AS month, 1 AS day
     FROM feed WHERE entity = 'posts'"""))
 def q_to_bronze(spark, d):
     dec = EV.decode_events(EV.encode_events(feed(spark, d)))
     return EV.to_bronze(dec, "posts", consumed_at=pinned())
 
 
+def _arm(entity: str, cols: str) -> str:
+    return sql(f"""
+    SELECT {cols}, '2002-01-01T00:00:00.000000' AS ingested_at, 'kafka_stream' AS source_system, event_id,
+           TIMESTAMP '{AS_OF}' AS consumed_at, 2002 AS year, 1 AS month, 1 AS day
+    FROM feed WHERE entity = '{entity}'""")
+
+
+@register("stream_to_bronze_likes", _arm("likes", 'like_id, post_id, user_id, reaction_type, "timestamp" AS liked_at'))
+def q_to_bronze_likes(spark, d):
+    return EV.to_bronze(EV.decode_events(EV.encode_events(feed(spark, d))), "likes", consumed_at=pinned())
+
+
+@register("stream_to_bronze_comments", _arm("comments", """comment_id, post_id, user_id, content,
+    CAST(0 AS BIGINT) AS like_count, sentiment, false AS is_deleted, "timestamp" AS commented_at"""))
+def q_to_bronze_comments(spark, d):
+    return EV.to_bronze(EV.decode_events(EV.encode_events(feed(spark, d))), "comments", consumed_at=pinned())
+
+
 # ---- windows: batch twins (T1-T3, T8) ---------------------------------------
 
 def _tag_events(spark, d):
@@ -167,38 +185,101 @@ def q_batch_tables(spark, d):
     return out
 
 
-# ---- Structured Streaming jobs (rows-only checks) ---------------------------
+# ---- Structured Streaming jobs ----------------------------------------------
+# The feed's files are read one per trigger, so that watermarks and state
+# pass through several micro-batches.
 
-def _feed_dir(spark, d, replay=None):
-    return jobs.write_feed(feed(spark, d), scratch_path(spark, "feed"), parts=4, replay=replay)
+def _messages(spark, d, replay=None):
+    path = jobs.write_feed(feed(spark, d), scratch_path(spark, "feed"), parts=4, replay=replay)
+    return jobs.read_messages(spark, path, files_per_trigger=1)
 
 
-@register("trending_windows_stream", None, "stream result holds back still-open windows")
+def _closed(windows: str, events: str) -> str:
+    """Windows that the watermark has passed when the feed ends."""
+    return sql(f"""SELECT * FROM ({windows}) w
+    WHERE window_end <= (SELECT max(_ts) FROM {events}) - INTERVAL 10 MINUTE""")
+
+
+def _naive(windows):
+    """Session-zone (UTC) timestamps as the plain ones of the batch twins."""
+    return windows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@register("trending_windows_stream", _closed("SELECT * FROM w_tags", "feed_tags"))
 def q_trending_stream(spark, d):
-    src = _feed_dir(spark, d)
-    return jobs.stream_window_counts(spark, src, scratch_path(spark, "sink"),
-                                     scratch_path(spark, "ckpt"), "posts", "hashtag")
+    return _naive(jobs.stream_window_counts(_messages(spark, d), scratch_path(spark, "sink"),
+                                            scratch_path(spark, "ckpt"), "posts", "hashtag"))
 
 
-@register("late_events_dropped", None, "late replays are dropped by the watermark")
+@register("late_events_dropped", _closed(
+    sliding("(SELECT * FROM feed WHERE entity = 'likes') l", "_ts", "reaction_type", 600, 600),
+    "(SELECT * FROM feed WHERE entity = 'likes') l"))
 def q_late(spark, d):
-    src = _feed_dir(spark, d, replay="late")
-    return jobs.stream_window_counts(spark, src, scratch_path(spark, "sink"),
-                                     scratch_path(spark, "ckpt"), "likes", "reaction_type",
-                                     size="10 minutes", slide="10 minutes")
+    return _naive(jobs.stream_window_counts(_messages(spark, d, replay="late"), scratch_path(spark, "sink"),
+                                            scratch_path(spark, "ckpt"), "likes", "reaction_type",
+                                            size="10 minutes", slide="10 minutes"))
 
 
-@register("stream_dedup", None, "duplicates within the watermark are dropped")
+@register("stream_dedup", sql("SELECT entity, event_id, post_id, _ts AS event_time FROM feed"))
 def q_stream_dedup(spark, d):
-    src = _feed_dir(spark, d, replay="dup")
-    return jobs.stream_dedup(spark, src, scratch_path(spark, "sink"), scratch_path(spark, "ckpt"))
+    out = jobs.stream_dedup(_messages(spark, d, replay="dup"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt"))
+    return out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
-@register("stream_bronze_writer", None, "streamed posts reach silver")
+@register("stream_bronze_writer", sql("""
+    SELECT post_id, user_id, trim(content) AS content, post_type, language, CAST(NULL AS VARCHAR) AS media_url,
+           hashtags, CAST(hashtag_count AS INTEGER) AS hashtag_count, event_id,
+           CAST("timestamp" AS TIMESTAMP) AS post_date, 'low' AS engagement_tier, 'ok' AS dq_flag
+    FROM feed WHERE entity = 'posts'"""))
 def q_stream_bronze(spark, d):
-    src = _feed_dir(spark, d)
-    root = jobs.stream_to_bronze_lake(spark, src, scratch_path(spark, "bronze"),
-                                      scratch_path(spark, "ckpt"))
-    posts = (spark.read.option("mergeSchema", "true").option("basePath", f"{root}/posts")
-             .parquet(f"{root}/posts"))
-    return stage_posts(posts, AS_OF).drop("transformed_at")
+    """Streamed posts, re-sent ones dropped, reach silver; the clock columns
+    are left out, and the event ids come from bronze."""
+    root = jobs.stream_to_bronze_lake(_messages(spark, d, replay="dup"), scratch_path(spark, "bronze"),
+                                      scratch_path(spark, "ckpt"), dedup="10 minutes")
+    posts = bronze.read_facts(spark, root, "posts", schema=schemas.schema_of("posts", streamed=True))
+    silver = stage_posts(posts, AS_OF).select(
+        "post_id", "user_id", "content", "post_type", "language", "media_url", "hashtags",
+        "hashtag_count", "post_date", "engagement_tier", "dq_flag")
+    return silver.join(posts.select("post_id", "event_id"), "post_id")
+
+
+@register("stream_totals", sql("""
+    SELECT entity, count(*) AS rows, true AS several_batches FROM feed GROUP BY entity"""))
+def q_stream_totals(spark, d):
+    root = jobs.stream_to_bronze_lake(_messages(spark, d), scratch_path(spark, "bronze"), scratch_path(spark, "ckpt"))
+    return jobs.stream_totals(spark, root).select("entity", "rows", (F.col("batches") > 1).alias("several_batches"))
+
+
+@register("stream_quarantine", sql(f"""
+    SELECT 'social.stories' AS topic, value AS raw, 'unknown topic' AS reason
+    FROM ({_encode_sql()}) m WHERE value LIKE '%0"}}'
+    UNION ALL SELECT topic, left(value, 30), 'malformed' FROM ({_encode_sql()}) m WHERE value LIKE '%5"}}'"""))
+def q_quarantine(spark, d):
+    """Messages of an unknown topic and cut-off ones, added to the feed."""
+    good = EV.encode_events(feed(spark, d))
+    stray = good.where(F.col("value").endswith('0"}')).withColumn("topic", F.lit("social.stories"))
+    cut = good.where(F.col("value").endswith('5"}')).withColumn("value", F.substring("value", 1, 30))
+    path = scratch_path(spark, "feed")
+    good.unionByName(stray).unionByName(cut).write.json(path)
+    return jobs.stream_quarantine(jobs.read_messages(spark, path), scratch_path(spark, "sink"), scratch_path(spark, "ckpt"))
+
+
+@register("stream_and_batch_lake", sql("""
+    SELECT 'batch' AS origin, count(*) AS rows FROM b_posts WHERE _v = 1
+    UNION ALL SELECT 'stream', count(*) FROM feed WHERE entity = 'posts'
+    UNION ALL SELECT 'second stream', count(*) FROM feed WHERE entity = 'posts'"""))
+def q_stream_and_batch(spark, d):
+    """A batch and two streams of one day on one lake: none replaces another's rows."""
+    root = scratch_path(spark, "lake")
+    today = F.current_timestamp().cast("timestamp_ntz")
+    rows = adapter.bronze_posts(spark, d, versions=(1,)).drop("year", "month", "day").withColumn("ingested_at", today)
+    append_partitioned(rows, f"{root}/posts", 0)
+    ids = []
+    for _ in range(2):
+        checkpoint = scratch_path(spark, "ckpt")
+        jobs.stream_to_bronze_lake(_messages(spark, d), root, checkpoint)
+        ids.append(jobs.run_number(spark, checkpoint))
+    posts = bronze.read_facts(spark, root, "posts", schema=schemas.schema_of("posts", streamed=True))
+    run = F.floor(-(F.col("batch_id") + 1) / F.lit(1 << 31))
+    return posts.groupBy(F.when(F.col("batch_id") >= 0, "batch").when(run == ids[0], "stream")
+                         .otherwise("second stream").alias("origin")).agg(F.count(F.lit(1)).alias("rows"))

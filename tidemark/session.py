@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import hashlib
+import re
 import tempfile
 import uuid
 
@@ -20,6 +21,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # files with nanosecond timestamps load those columns as LONG instead of
+    # failing; ``bronze.read_facts(nanos_columns=...)`` converts them
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     # Streaming state (window panes, dedup keys) lives in RocksDB off-heap,
     # not in executor heap; changelog checkpointing uploads only deltas.
     "spark.sql.streaming.stateStore.providerClass":
@@ -89,12 +93,14 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, taken from ``spark.checkpoint.dir``.
 
     On a cluster this is a distributed file system path every executor can
-    reach.  Only when nothing is configured (tests, local runs) do we make a
-    private folder and register it as the checkpoint dir.
+    reach; off-local a missing setting is an error.  Only in a local session
+    (tests) do we make a private folder and register it as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -109,5 +115,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def bench_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+def input_fingerprint(spark: SparkSession, *paths: str) -> str:
+    """Names, sizes and times of the files under ``paths`` in one digest: what
+    was derived from an input is reused only while this stays the same."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for p in paths:
+        root = jvm.org.apache.hadoop.fs.Path(p)
+        store = root.getFileSystem(conf)
+        for st in store.globStatus(root) or []:
+            files = [st] if st.isFile() else list(store.listStatus(st.getPath()))
+            found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+    return hashlib.sha1(repr(sorted(found)).encode()).hexdigest()[:16]

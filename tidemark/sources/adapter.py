@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.rounding import round_half_away
 
 SOURCE_SYSTEM = "tpch_adapter"
+#: the tables that bronze frames are derived from
+TABLES = ("customer", "nation", "orders", "lineitem", "events")
 NO_POST_USER_OFFSET = 10_000_000
 
 

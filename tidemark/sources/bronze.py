@@ -10,51 +10,53 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ENTITIES = ("users", "posts", "comments", "likes")
-FACTS = ("posts", "comments", "likes")
+from tidemark.sources import schemas
+from tidemark.sources.schemas import ENTITIES, FACTS  # noqa: F401
 
 
 def read_snapshot(spark: SparkSession, root: str, entity: str = "users",
                   schema: T.StructType | None = None) -> DataFrame:
     """The latest snapshot of a dimension."""
-    r = spark.read.schema(schema) if schema is not None else spark.read
-    return r.parquet(f"{root}/{entity}")
+    return schemas.read(spark, root, entity, schema)
 
 
 def read_facts(spark: SparkSession, root: str, entity: str,
                start: str | None = None, end: str | None = None,
-               nanos_columns: Sequence[str] = ()) -> DataFrame:
+               nanos_columns: Sequence[str] = (), schema: T.StructType | None = None) -> DataFrame:
     """All batches of a fact entity, union-by-name across files.
 
-    ``mergeSchema`` unions evolving file schemas (a column missing from an
-    older batch reads as NULL); partition discovery yields year/month/day.
-    ``start`` / ``end`` (``yyyy-MM-dd``, ingest date) become partition
-    filters, so only matching folders are listed and read.
+    The declared schema (``schemas.schema_of``, or ``schema`` for a lake with
+    more columns) is the union: a column that a batch lacks reads as NULL,
+    and no file footer is opened to find out.  ``start`` / ``end``
+    (``yyyy-MM-dd``, ingest date) become filters on the partition columns.
 
     ``nanos_columns``: files written with nanosecond timestamps cannot be
-    read as timestamps; with ``spark.sql.legacy.parquet.nanosAsLong`` they
-    load as LONG and are converted here.
+    read as timestamps; tidemark sessions load them as LONG
+    (``spark.sql.legacy.parquet.nanosAsLong``) and they are converted here.
     """
-    path = f"{root}/{entity}"
+    schema = schema or schemas.schema_of(entity)
     if nanos_columns:
-        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = _typed_partitions(
-        spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path))
+        schema = T.StructType([T.StructField(f.name, T.LongType()) if f.name in nanos_columns else f
+                               for f in schema.fields])
+    df = schemas.read(spark, root, entity, schema)
     if start or end:
-        day = F.make_date("year", "month", "day")
-        if start:
-            df = df.where(day >= F.lit(start).cast("date"))
-        if end:
-            df = df.where(day <= F.lit(end).cast("date"))
+        df = df.where(schemas.ingested_between(start, end))
     for c in nanos_columns:
-        df = df.withColumn(c, F.timestamp_micros(F.floor(F.col(c) / 1000)).cast("timestamp_ntz"))
+        df = df.withColumn(c, micros_of_nanos(F.col(c)))
     return df
 
 
+def micros_of_nanos(nanos: Column) -> Column:
+    """Nanoseconds since the epoch as a timestamp, cut to microseconds
+    towards the past, in whole numbers throughout."""
+    micros = F.call_function("div", nanos - F.pmod(nanos, F.lit(1000)), F.lit(1000))
+    return F.timestamp_micros(micros).cast("timestamp_ntz")
+
+
 def _typed_partitions(df: DataFrame) -> DataFrame:
     """Partition discovery infers INT for batch ids written as BIGINT."""
     if "batch_id" in df.columns:
@@ -85,11 +87,6 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
         raise
 
 
-def input_file_count(df: DataFrame) -> int:
-    """Number of files behind a scan (file listing metadata only)."""
-    return len(df.inputFiles())
-
-
 def register_views(frames: dict[str, DataFrame], prefix: str = "bronze_") -> list[str]:
     """Expose frames to SQL as ``bronze_<entity>`` temp views."""
     names = []
@@ -131,13 +128,6 @@ def create_external_tables(spark: SparkSession, database: str, root: str,
     return f"{database}.posts", f"{database}.users"
 
 
-def id_lookup(df: DataFrame, cols: Sequence[str], key: str, limit: int | None = None) -> DataFrame:
-    """S3: column-pruned id scan (only ``cols`` reach the reader); with
-    ``limit`` the first ids by key (a bounded top-k, not a full sort)."""
-    out = df.select(*cols)
-    return out.orderBy(key).limit(limit) if limit else out
-
-
-def bounded_sample(df: DataFrame, key: str, n: int = 2000) -> DataFrame:
-    """At most ``n`` rows, deterministic (first by key)."""
-    return df.orderBy(key).limit(n)
+def id_lookup(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """S3: column-pruned scan of all ids (only ``cols`` reach the reader)."""
+    return df.select(*cols)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PARTITIONS = ("year", "month", "day")
+from tidemark.sources import schemas
+from tidemark.sources.schemas import PARTITIONS
 
 
 def with_ingest_partitions(df: DataFrame, ingest_col: str = "ingested_at") -> DataFrame:
@@ -34,27 +36,26 @@ def append_partitioned(df: DataFrame, root: str, batch_id: int,
     The batch id is a partition column, and the write uses dynamic
     partition overwrite: re-running a batch replaces exactly that batch's
     folders (idempotent) while other batches stay untouched.  Task retries
-    after a lost executor are covered by the file commit protocol.
+    after a lost executor are covered by the file commit protocol.  Ids are
+    not negative; the stream writer uses the negative ones.
     """
+    if batch_id < 0:
+        raise ValueError("negative batch ids belong to the stream writer")
     out = df if all(c in df.columns for c in PARTITIONS) else with_ingest_partitions(df, ingest_col)
     out = out.withColumn("batch_id", F.lit(batch_id).cast("long"))
     cols = [*PARTITIONS, "batch_id"]
     # One writer task per partition folder instead of every task writing a
     # file into every folder; AQE splits a hot (skewed) day over several
     # tasks and merges tiny ones.
-    out = out.hint("rebalance", *cols)
+    (out.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*cols).parquet(root))
     if jsonl_root:
-        # the same batch lands twice (Parquet + JSONL): compute it once
-        out = out.persist()
-    try:
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*cols).parquet(root))
-        if jsonl_root:
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*cols).json(jsonl_root))
-    finally:
-        if jsonl_root:
-            out.unpersist()
+        # the raw copy is made from what was just landed (partition pruning
+        # reads this batch only): nothing is computed twice or cached
+        landed = (df.sparkSession.read.schema(out.schema).option("basePath", root).parquet(root)
+                  .where(F.col("batch_id") == batch_id))
+        (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*cols).json(jsonl_root))
     return root
 
 
@@ -90,20 +91,21 @@ def run_parallel(actions: dict[str, Callable], max_parallel: int = 4) -> dict:
 
 
 def publish_layout(spark: SparkSession, lake_root: str, dest_root: str,
-                   entities: Sequence[str] = ("users", "posts", "comments", "likes")) -> list[str]:
+                   entities: Sequence[str] = schemas.ENTITIES) -> list[str]:
     """K6: copy the Parquet lake (never the JSONL) to another store with the
-    same relative layout; entities missing from the lake are skipped."""
+    same relative layout; entities missing from the lake are skipped.  What
+    left the lake also leaves the copy (the whole entity is replaced)."""
     done = []
     for e in entities:
-        src = f"{lake_root}/{e}"
         try:
-            df = spark.read.option("mergeSchema", "true").option("basePath", src).parquet(src)
-        except Exception as ex:  # noqa: BLE001 - a missing entity is skipped
-            if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
+            df = schemas.read(spark, lake_root, e)
+        except AnalysisException as ex:  # a missing entity is skipped
+            if ex.getCondition() == "PATH_NOT_FOUND":
                 continue
             raise
         parts = [c for c in (*PARTITIONS, "batch_id") if c in df.columns]
         w = (df.hint("rebalance", *parts) if parts else df).write.mode("overwrite")
+        w = w.option("partitionOverwriteMode", "static")
         (w.partitionBy(*parts) if parts else w).parquet(f"{dest_root}/{e}")
         done.append(e)
     return done
@@ -115,17 +117,11 @@ def published_files(spark: SparkSession, root: str) -> DataFrame:
             .option("pathGlobFilter", "*.parquet").load(root).select("path", "length"))
 
 
-# Tables whose key domain is a fixed enumeration may be written as one file.
-BOUNDED_TABLES = ("reaction_counts", "comment_sentiment")
-
-
 def write_batch_tables(tables: dict[str, DataFrame], root: str) -> str:
-    """K8: write the small aggregate tables.  Enum-keyed ones (5 reactions,
-    3 sentiments) are coalesced to one file; tag counts grow with the tag
-    vocabulary, so they keep their partitioning."""
+    """K8: write the aggregate tables, each in as few files as its size asks
+    for (the REBALANCE hint merges small partitions whatever the table)."""
     for name, df in tables.items():
-        out = df.coalesce(1) if name in BOUNDED_TABLES else df
-        out.write.mode("overwrite").parquet(f"{root}/{name}")
+        df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}")
     return root
 
 
@@ -141,15 +137,16 @@ def compact(spark: SparkSession, root: str, staging: str,
     a dynamic partition overwrite (reading and overwriting one folder in a
     single job is unsafe).  Returns the row count moved.
     """
-    src = spark.read.option("basePath", root).parquet(root)
-    day = F.make_date("year", "month", "day")
-    if start:
-        src = src.where(day >= F.lit(start).cast("date"))
-    if end:
-        src = src.where(day <= F.lit(end).cast("date"))
+    # maintenance reads every footer: a column that only some files carry
+    # must survive, whether it is declared or not
+    src = spark.read.option("mergeSchema", "true").option("basePath", root).parquet(root)
+    src = src.where(schemas.ingested_between(start, end))
     parts = [c for c in (*PARTITIONS, "batch_id") if c in src.columns]
     src.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    staged = spark.read.option("basePath", staging).parquet(staging)
+    staged = spark.read.option("mergeSchema", "true").option("basePath", staging).parquet(staging)
+    lost = set(src.columns) - set(staged.columns)
+    if lost:
+        raise ValueError(f"compaction of {root} would lose columns: {sorted(lost)}")
     n = staged.count()
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(root))

@@ -55,7 +55,7 @@ def entity_of(topic: Column) -> Column:
 def encode_events(events: DataFrame, entity_col: str = "entity") -> DataFrame:
     """K5: one message per event, JSON with only the entity's fields.
 
-    Ready for ``.write.format("kafka").option("kafka.acks", "all")``.
+    ``publish_events`` sends the result.
     """
     ent = F.col(entity_col)
     value = None
@@ -78,6 +78,22 @@ def decode_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                            raw.alias("raw"), parsed.alias("e")).select(*keep, "entity", "raw", "e.*")
 
 
+def _reason(topic_known: Column) -> Column:
+    """Why a decoded message cannot become a bronze row; NULL when it can."""
+    return (F.when(~F.coalesce(topic_known, F.lit(False)), "unknown topic")
+            .when(F.col("event_id").isNull() | F.col("timestamp").isNull(), "malformed"))
+
+
+def good_messages(decoded: DataFrame) -> DataFrame:
+    return decoded.where(_reason(F.col("entity").isin(*ENTITIES)).isNull())
+
+
+def bad_messages(decoded: DataFrame) -> DataFrame:
+    """``(topic, raw, reason)`` of the messages that ``good_messages`` leaves out."""
+    return (decoded.withColumn("reason", _reason(F.col("entity").isin(*ENTITIES)))
+            .where(F.col("reason").isNotNull()).select("topic", "raw", "reason"))
+
+
 def route_events(decoded: DataFrame) -> dict[str, DataFrame]:
     """One subscription, three entity frames."""
     return {e: decoded.where(F.col("entity") == e) for e in ENTITIES}
@@ -112,20 +128,22 @@ def to_bronze(decoded: DataFrame, entity: str, consumed_at: Column | None = None
             F.lit(False).alias("is_nsfw"), F.lit(None).cast("string").alias("geo_country"),
             F.col("timestamp").cast("timestamp_ntz").alias("post_date"),
             ing.alias("ingested_at"), F.lit(source_system).alias("source_system"),
-            "event_id", *_ymd(ing))
+            "event_id", ing.alias("consumed_at"), *_ymd(ing))
     elif entity == "likes":
         out = d.select(
             "like_id", "post_id", "user_id", "reaction_type",
             F.col("timestamp").alias("liked_at"),
             F.date_format(ing, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingested_at"),
-            F.lit(source_system).alias("source_system"), "event_id", *_ymd(ing))
+            F.lit(source_system).alias("source_system"), "event_id",
+            ing.alias("consumed_at"), *_ymd(ing))
     elif entity == "comments":
         out = d.select(
             "comment_id", "post_id", "user_id", "content", zero.alias("like_count"),
             "sentiment", F.lit(False).alias("is_deleted"),
             F.col("timestamp").alias("commented_at"),
             F.date_format(ing, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingested_at"),
-            F.lit(source_system).alias("source_system"), "event_id", *_ymd(ing))
+            F.lit(source_system).alias("source_system"), "event_id",
+            ing.alias("consumed_at"), *_ymd(ing))
     else:
         raise ValueError(f"unknown entity {entity!r}")
     return out
@@ -145,6 +163,8 @@ def kafka_source(spark, bootstrap: str, topics: tuple[str, ...] = tuple(TOPIC_PR
     return r.load()
 
 
-def kafka_sink_options(bootstrap: str) -> dict[str, str]:
-    """K5 sink settings: acks=all and retries as the producer used."""
-    return {"kafka.bootstrap.servers": bootstrap, "kafka.acks": "all", "kafka.retries": "3"}
+def publish_events(events: DataFrame, bootstrap: str) -> None:
+    """K5: encode and send events to their topics, acknowledged by all
+    replicas and retried (needs the Kafka connector on the classpath)."""
+    (encode_events(events).write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+     .option("kafka.acks", "all").option("kafka.retries", "3").save())

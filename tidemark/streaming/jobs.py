@@ -1,25 +1,34 @@
 """Structured Streaming jobs over the event feed.
 
-Sources are file streams of ``(key, value, topic)`` JSON messages (the
-same frame a Kafka source yields; see ``events.kafka_source``).  Each job
-keeps its offsets and state in a checkpoint under the shared folder, so a
-restarted job resumes where it stopped (T6); file sinks are exactly-once,
-and the ``foreachBatch`` bronze writer is made idempotent by overwriting
-exactly the partitions of its own ``batch_id``.
+Every job takes a streaming frame of ``(key, value, topic)`` messages:
+``read_messages`` makes one from JSON files, ``events.kafka_source`` from
+Kafka.  Each job keeps its offsets and state in a checkpoint under the shared
+folder, so a restarted job resumes where it stopped (T6); file sinks are
+exactly-once, and the ``foreachBatch`` bronze writer is idempotent: a batch
+replaces exactly its own partitions, in a range of batch ids of its own.
 """
 
 from __future__ import annotations
 
+import json
 import time
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.tags import lenient_tags
-from tidemark.streaming.events import ENTITIES, decode_events, encode_events, to_bronze
+from tidemark.sources.bronze import read_or_empty
+from tidemark.sources.schemas import PARTITIONS
+from tidemark.streaming.events import (
+    ENTITIES, TOPIC_PREFIX, bad_messages, decode_events, encode_events, good_messages, to_bronze,
+)
 from tidemark.streaming.windows import windowed_counts
 
+TOTALS_SCHEMA = "entity string, rows bigint, batch_id bigint"
+QUARANTINE_SCHEMA = "topic string, raw string, reason string"
+RAW_SCHEMA = "entity string, raw string, consumed_at string, batch_id bigint"
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -55,7 +64,8 @@ def write_feed(feed: DataFrame, path: str, parts: int = 4,
     return path
 
 
-def read_messages(spark: SparkSession, path: str, files_per_trigger: int | None = 1) -> DataFrame:
+def read_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """JSON message files as a stream; by default a trigger takes all that is there."""
     r = spark.readStream.schema(MESSAGE_SCHEMA)
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(files_per_trigger))
@@ -82,7 +92,7 @@ def _run(query_writer, wait: bool = True, every: str | None = None):
 
 # ---- T1-T4: windowed counts with watermark --------------------------------
 
-def stream_window_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
+def stream_window_counts(messages: DataFrame, sink: str, checkpoint: str,
                          entity: str = "posts", key: str = "hashtag",
                          size: str = "1 hour", slide: str = "30 seconds",
                          watermark: str = "10 minutes") -> DataFrame:
@@ -92,7 +102,7 @@ def stream_window_counts(spark: SparkSession, src: str, sink: str, checkpoint: s
     windows are emitted once the watermark passes their end, so the newest
     still-open windows stay in state until more data arrives.
     """
-    dec = _event_time(decode_events(read_messages(spark, src)))
+    dec = _event_time(decode_events(messages))
     ev = dec.where(F.col("entity") == entity)
     if key == "hashtag":
         ev = ev.select("event_time", F.explode(lenient_tags("hashtags")).alias("hashtag"))
@@ -102,61 +112,97 @@ def stream_window_counts(spark: SparkSession, src: str, sink: str, checkpoint: s
     counts = windowed_counts(ev, "event_time", [key], size, slide)
     _run(counts.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", sink))
-    return spark.read.parquet(sink)
+    return messages.sparkSession.read.parquet(sink)
 
 
 # ---- T5: dedup by event id ------------------------------------------------
 
-def stream_dedup(spark: SparkSession, src: str, sink: str, checkpoint: str,
-                 watermark: str = "10 minutes") -> DataFrame:
+def drop_resent(decoded: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Drop re-sent events: same ``event_id`` within the watermark delay."""
-    dec = _event_time(decode_events(read_messages(spark, src)))
-    uniq = (dec.withWatermark("event_time", watermark)
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .select("entity", "event_id", "post_id", "event_time"))
+    return (_event_time(decoded).withWatermark("event_time", watermark)
+            .dropDuplicatesWithinWatermark(["event_id"]))
+
+
+def stream_dedup(messages: DataFrame, sink: str, checkpoint: str, watermark: str = "10 minutes") -> DataFrame:
+    """The decoded events without re-sent ones, as Parquet."""
+    uniq = drop_resent(decode_events(messages), watermark).select("entity", "event_id", "post_id", "event_time")
     _run(uniq.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", sink))
-    return spark.read.parquet(sink)
+    return messages.sparkSession.read.parquet(sink)
+
+
+# ---- messages that cannot become bronze rows ---------------------------------
+
+def stream_quarantine(messages: DataFrame, sink: str, checkpoint: str) -> DataFrame:
+    """Malformed messages and those of unknown topics, with the reason, as Parquet."""
+    _run(bad_messages(decode_events(messages, keep=("topic",))).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).option("path", sink))
+    return messages.sparkSession.read.schema(QUARANTINE_SCHEMA).parquet(sink)
 
 
 # ---- K4: stream -> bronze --------------------------------------------------
 
-def bronze_batch_writer(root: str):
-    """``foreachBatch`` body: tag consume time, route by entity, normalise to
-    the bronze shape and write each entity partitioned by ingest date.
+def run_number(spark: SparkSession, checkpoint: str) -> int:
+    """A number for the query that a checkpoint belongs to (its permanent id)."""
+    text = spark.read.text(f"{checkpoint}/metadata").first()["value"]
+    return zlib.crc32(json.loads(text)["id"].encode())
+
+
+def bronze_batch_writer(root: str, checkpoint: str):
+    """``foreachBatch`` body: land the messages as raw JSONL (``_raw``), then
+    normalise them to the bronze shape, each entity partitioned by ingest
+    date, with per-entity totals beside them (``_totals``).
 
     foreachBatch is at-least-once; a replayed batch rewrites exactly the
-    partitions tagged with its ``batch_id`` (dynamic overwrite), so a retry
-    replaces its own output instead of duplicating it.
+    partitions of its ``batch_id`` (dynamic overwrite).  That id is negative
+    and made of the query's permanent id and the micro-batch number, so
+    streams and landed batches never share a partition, nor do two
+    checkpoints.  The consume time comes with the rows (the micro-batch's
+    own time, the same on a replay), so a replay lands in the same folder.
+    The stream is computed once: what follows reads the raw record.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = decode_events(batch).withColumn(
-            "__consumed", F.current_timestamp().cast("timestamp_ntz"))
-        stamped.persist()
-        try:
-            for e in ENTITIES:
-                rows = to_bronze(stamped, e, consumed_at=F.col("__consumed"))
-                (rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("year", "month", "day", "batch_id").parquet(f"{root}/{e}"))
-        finally:
-            stamped.unpersist()
+    def put(rows: DataFrame, name: str, fmt: str, *by: str) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*by).format(fmt).save(f"{root}/{name}"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        tag = F.lit(-(run_number(spark, checkpoint) * (1 << 31) + number + 1)).cast("long").alias("batch_id")
+        put(batch.select("entity", "raw", F.col("consumed_at").cast("string").alias("consumed_at"), tag),
+            "_raw", "json", "batch_id")
+        landed = (spark.read.schema(RAW_SCHEMA).option("basePath", f"{root}/_raw").json(f"{root}/_raw")
+                  .where(F.col("batch_id") == tag))
+        decoded = decode_events(landed.select(
+            F.col("raw").alias("value"), F.concat(F.lit(TOPIC_PREFIX), "entity").alias("topic"),
+            F.col("consumed_at").cast("timestamp_ntz").alias("consumed_at")), keep=("consumed_at",))
+        for e in ENTITIES:
+            rows = to_bronze(decoded, e, consumed_at=F.col("consumed_at"))
+            put(rows.select("*", tag).hint("rebalance", *PARTITIONS), e, "parquet", *PARTITIONS, "batch_id")
+        put(landed.groupBy("entity").agg(F.count(F.lit(1)).alias("rows")).select("*", tag).coalesce(1),
+            "_totals", "parquet", "batch_id")
     return write
 
 
-def stream_to_bronze_lake(spark: SparkSession, src: str, root: str, checkpoint: str,
-                          every: str | None = None, files_per_trigger: int | None = 1):
+def stream_to_bronze_lake(messages: DataFrame, root: str, checkpoint: str,
+                          every: str | None = None, dedup: str | None = None):
     """K4: messages -> bronze entities.  With ``every`` the query keeps
     running (flush per trigger, e.g. "1 second") and is returned; otherwise
-    it drains the source and the bronze root is returned."""
-    q = _run(read_messages(spark, src, files_per_trigger).writeStream
-             .foreachBatch(bronze_batch_writer(root))
+    it drains the source and the bronze root is returned.  ``dedup`` (a
+    watermark delay) drops re-sent events before they are written.  Messages
+    that ``stream_quarantine`` takes are left out."""
+    decoded = good_messages(decode_events(messages))
+    if dedup:
+        decoded = drop_resent(decoded, dedup).drop("event_time")
+    # in a streaming plan this is the micro-batch's time, kept with its offsets
+    decoded = decoded.withColumn("consumed_at", F.current_timestamp().cast("timestamp_ntz"))
+    q = _run(decoded.writeStream.foreachBatch(bronze_batch_writer(root, checkpoint))
              .option("checkpointLocation", checkpoint), every=every)
     return q if every else root
 
 
-def progress_totals(query) -> dict[str, int]:
-    """Running totals of a query from its progress reports (rows read,
-    batches), replacing hand-kept counters."""
-    rows = sum(p.get("numInputRows", 0) for p in query.recentProgress)
-    return {"batches": len(query.recentProgress), "input_rows": rows}
+def stream_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Running totals of all bronze writers on ``root``: ``(entity, batches, rows)``.
+    Written batch by batch, so they are complete over any number of batches
+    and restarts, and a replayed batch counts once."""
+    rows = read_or_empty(spark, f"{root}/_totals", TOTALS_SCHEMA)
+    return rows.groupBy("entity").agg(F.count_distinct("batch_id").alias("batches"), F.sum("rows").alias("rows"))

@@ -42,7 +42,7 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
         return big.join(small, big[big_key] == small[small_key], how)
     sb, ss = SALT + "_b", SALT + "_s"
     salted_big = big.withColumn(
-        sb, F.when(F.col(big_key).isin(hot), F.abs(F.xxhash64(*big.columns)) % buckets)
+        sb, F.when(F.col(big_key).isin(hot), F.pmod(F.xxhash64(*big.columns), F.lit(buckets)))
         .otherwise(F.lit(0)).cast("long"))
     reps = (F.when(F.col(small_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1)))
             .otherwise(F.array(F.lit(0))))
@@ -55,14 +55,13 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-NULL ``key`` has no parent (left-anti join).
 
-    NULL keys are not orphans (declarative ``relationships`` test semantics).  The
-    parent side is reduced to its distinct keys first, so a parent with
-    repeated keys does not fan out, and the anti join only needs to know
-    key existence; AQE turns it into a broadcast when the measured key set
-    is small and splits skewed child partitions otherwise.
+    NULL keys are not orphans (declarative ``relationships`` test semantics).
+    An anti join only asks whether a key exists, so a parent with repeated
+    keys needs no distinct; without an aggregate between the join and its
+    shuffles, AQE splits a hot child key over many tasks.
     """
     pk = parent_key or key
-    keys = parent.select(F.col(pk).alias("__pk")).where(F.col("__pk").isNotNull()).distinct()
+    keys = parent.select(F.col(pk).alias("__pk")).where(F.col("__pk").isNotNull())
     return (child.where(F.col(key).isNotNull())
             .join(keys, F.col(key) == F.col("__pk"), "left_anti"))
 

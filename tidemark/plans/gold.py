@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rounding import avg_fixed, round_half_away
 from tidemark.functions.scores import weighted_interactions
-from tidemark.operators.unnest import explode_json_tags
+from tidemark.functions.tags import json_tags
 from tidemark.plans.silver import as_of_col
 
 USER_COLUMNS = ("user_id", "username", "display_name", "location", "account_type",
@@ -51,28 +51,32 @@ def daily_engagement(posts: DataFrame, as_of: str | Column | None = None,
 
 
 def hashtag_performance(posts: DataFrame, as_of: str | Column | None = None,
-                        ordered: bool = True) -> DataFrame:
-    """mart_hashtag_performance: explode strict-JSON tags, aggregate per tag.
-
-    A post may repeat a tag, so posts are counted DISTINCT while the sums
-    run over exploded rows (a repeated tag counts its post twice), as in
-    the reference.  The single DISTINCT is planned as a partial aggregate
-    on (hashtag, post_id) before the shuffle, so a hot tag is spread over
-    tasks by post.
+                        ordered: bool = True, unique_posts: bool = True) -> DataFrame:
+    """mart_hashtag_performance: strict-JSON tags, aggregated per tag.
+
+    A post may repeat a tag: it is one post of the tag, but its measures
+    count as often as the tag stands there, as in the reference.  So each
+    post gives its *distinct* tags with their multiplicity, posts are
+    counted plainly (silver posts are unique) and sums are weighted: one
+    shuffle of one pre-aggregated row per tag and task, whatever the number
+    of posts of a hot tag.  ``unique_posts=False`` counts DISTINCT posts.
     """
-    tagged = explode_json_tags(
-        posts.select("post_id", "post_day", "like_count", "comment_count", "repost_count",
-                     "view_count", "engagement_score", "is_viral", "hashtags",
-                     "hashtag_count"))
+    parsed = posts.where(F.col("hashtag_count") > 0).withColumn("_tags", json_tags("hashtags"))
+    tagged = (parsed.withColumn("hashtag", F.explode(F.array_distinct("_tags")))
+              .withColumn("_m", F.size(F.filter("_tags", lambda t: t.eqNullSafe(F.col("hashtag")))).cast("long")))
+    m = F.col("_m")
+    units = F.round(F.col("engagement_score") * F.lit(10000.0), 0).cast("long")
+    scored = F.sum(F.when(F.col("engagement_score").isNotNull(), m))
+    mean = F.sum(units * m).cast("double") / (scored * F.lit(10000)).cast("double")
     out = tagged.groupBy("hashtag").agg(
-        F.count_distinct("post_id").alias("total_posts"),
-        F.sum(F.col("like_count").cast("long")).alias("total_likes"),
-        F.sum(F.col("comment_count").cast("long")).alias("total_comments"),
-        F.sum(F.col("repost_count").cast("long")).alias("total_reposts"),
-        F.sum(F.col("view_count").cast("long")).alias("total_views"),
-        avg_fixed("engagement_score", 4, 4).alias("avg_engagement"),
-        _count_if(F.col("is_viral")).alias("viral_posts"),
-        F.sum(weighted_interactions()).alias("_weighted"),
+        (F.count(F.lit(1)) if unique_posts else F.count_distinct("post_id")).alias("total_posts"),
+        F.sum(F.col("like_count").cast("long") * m).alias("total_likes"),
+        F.sum(F.col("comment_count").cast("long") * m).alias("total_comments"),
+        F.sum(F.col("repost_count").cast("long") * m).alias("total_reposts"),
+        F.sum(F.col("view_count").cast("long") * m).alias("total_views"),
+        F.when(scored > 0, round_half_away(mean, 4)).alias("avg_engagement"),
+        F.coalesce(F.sum(F.when(F.col("is_viral"), m)), F.lit(0).cast("long")).alias("viral_posts"),
+        F.sum(weighted_interactions() * m).alias("_weighted"),
         F.min("post_day").alias("first_seen"),
         F.max("post_day").alias("last_seen"),
     )

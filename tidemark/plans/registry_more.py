@@ -12,6 +12,7 @@ from tidemark.operators.unnest import (
     explode_json_tags, explode_split_tags, explode_tags_lenient,
 )
 from tidemark.plans import gold, quality, reports
+from tidemark.plans.batch_run import run_batch
 from tidemark.plans.oracle import AS_OF as SQL_AS_OF
 from tidemark.plans.oracle import avg4, sql
 from tidemark.plans.registry import (
@@ -19,6 +20,7 @@ from tidemark.plans.registry import (
     s_users, shared_frame,
 )
 from tidemark.session import scratch_path
+from tidemark.sources.lake import build_lake
 from tidemark.sources.sinks import materialize_all
 
 def pinned():
@@ -234,7 +236,8 @@ def q_profile_users(spark, d):
     SELECT count(*) AS total_posts, CAST(sum(CAST(is_viral AS INTEGER)) AS BIGINT) AS viral_posts,
            count(DISTINCT post_type) AS post_types,
            {avg4('like_count', 1, 0)} AS avg_likes,
-           {avg4('raw_engagement_score')} AS avg_engagement
+           round(CAST(sum(CAST(raw_engagement_score AS DECIMAL(28,12))) AS DOUBLE)
+                 / count(raw_engagement_score), 4) AS avg_engagement
     FROM b_posts"""))
 def q_profile_posts(spark, d):
     return reports.profile_posts(b_posts(spark, d))
@@ -267,12 +270,10 @@ _LAYERS = [("bronze", "users", "b_users"), ("bronze", "posts", "b_posts"),
     f"SELECT '{layer}' AS layer, '{name}' AS \"table\", count(*) AS row_count FROM {cte}"
     for layer, name, cte in _LAYERS)))
 def q_layer_counts(spark, d):
-    builders = {"b_users": b_users, "b_posts": b_posts, "b_comments": b_comments,
-                "b_likes": b_likes, "s_users": s_users, "s_posts": s_posts,
-                "s_comments": s_comments, "s_likes": s_likes, "g_daily": g_daily,
-                "g_hashtags": g_tags, "g_users": g_users}
-    return reports.layer_row_counts({(layer, name): builders[cte](spark, d)
-                                     for layer, name, cte in _LAYERS})
+    """Counted on a run's materialised layers: file metadata, nothing is rebuilt."""
+    run = run_batch(spark, build_lake(spark, d), scratch_path(spark, "run"), AS_OF)
+    tables = run.bronze | run.silver | run.gold
+    return reports.layer_row_counts({(layer, name): tables[name] for layer, name, _ in _LAYERS})
 
 
 @register("engagement_by_type", sql("""
@@ -399,6 +400,12 @@ def q_top3(spark, d):
 
 # ---- quality (Q1-Q10) -------------------------------------------------------
 
+def _declared(su, sp, sc, sl):
+    return quality.standard_checks(
+        su, sp, sc, sl, gold.daily_engagement(sp, AS_OF, ordered=False),
+        gold.hashtag_performance(sp, AS_OF, ordered=False), gold.user_performance(su, sp, AS_OF))
+
+
 def _quality(spark, d):
     # Silver posts feed five of the check passes (its own checks, the
     # relationship and all three marts) and users two: compute each once,
@@ -406,12 +413,7 @@ def _quality(spark, d):
     # computed once; Dataset.checkpoint would compute it twice).
     m = materialize_all({"stg_users": s_users(spark, d), "stg_posts": s_posts(spark, d)},
                         scratch_path(spark, "silver"))
-    su, sp = m["stg_users"], m["stg_posts"]
-    return quality.quality_report(quality.standard_checks(
-        su, sp, s_comments(spark, d), s_likes(spark, d),
-        gold.daily_engagement(sp, AS_OF, ordered=False),
-        gold.hashtag_performance(sp, AS_OF, ordered=False),
-        gold.user_performance(su, sp, AS_OF)))
+    return quality.quality_report(_declared(m["stg_users"], m["stg_posts"], s_comments(spark, d), s_likes(spark, d)))
 
 
 def _q_sql(layer, table, cte, check, column, failing_sql):
@@ -515,6 +517,14 @@ def report_sql(checks: tuple[str, ...] | None) -> str:
 
 register("quality_report", report_sql(None))(_quality)
 
+
+@register("quality_summary", report_sql(None).replace("SELECT *, failing_rows = 0 AS passed", """
+    SELECT count(*) FILTER (failing_rows = 0) AS passed, count(*) FILTER (failing_rows > 0) AS failed,
+           count(*) AS total, count(*) FILTER (failing_rows > 0) = 0 AS all_passed"""))
+def q_quality_summary(spark, d):
+    return quality.quality_summary(_quality(spark, d))
+
+
 for _key, _checks in {
     "dq_unique": ("unique",), "dq_not_null": ("not_null",),
     "dq_accepted_values": ("accepted_values",), "dq_relationships": ("relationships",),
@@ -523,7 +533,10 @@ for _key, _checks in {
 }.items():
     def _mk(checks):
         def build(spark, d):
-            return _quality(spark, d).where(F.col("check").isin(*checks))
+            # only the checks asked for; nothing is written, and identical
+            # exchanges below the marts are run once (exchange reuse)
+            tables = _declared(s_users(spark, d), s_posts(spark, d), s_comments(spark, d), s_likes(spark, d))
+            return quality.quality_report(quality.only(tables, checks))
         return build
     register(_key, report_sql(_checks))(_mk(_checks))
 

@@ -69,38 +69,45 @@ def report_users(user_mart: DataFrame, k: int = 10) -> DataFrame:
 # ---- bronze profiles ------------------------------------------------------
 
 def profile_users(users: DataFrame) -> DataFrame:
-    """A6."""
+    """One DISTINCT per aggregate (two in one would double every row)."""
     return users.agg(
         F.count(F.lit(1)).alias("total_users"),
         F.sum(_int("is_verified").cast("long")).alias("verified"),
-        F.count_distinct("account_type").alias("account_types"),
-        F.count_distinct("location").alias("countries"))
+        F.count_distinct("account_type").alias("account_types")).select(
+        "*", _distinct(users, "location").alias("countries"))
+
+
+def _distinct(df: DataFrame, col: str) -> Column:
+    """The number of distinct values as a scalar subquery (one row)."""
+    return df.agg(F.count_distinct(col)).scalar()
 
 
 def profile_posts(posts: DataFrame) -> DataFrame:
-    """Averages are exact (order-independent), then rounded."""
+    """Averages are exact (order-independent), then rounded.  Bronze scores
+    may carry any number of decimals, so they are summed as decimals."""
     return posts.agg(
         F.count(F.lit(1)).alias("total_posts"),
         F.sum(_int("is_viral").cast("long")).alias("viral_posts"),
         F.count_distinct("post_type").alias("post_types"),
         avg_fixed("like_count", 0, 1).alias("avg_likes"),
-        avg_fixed("raw_engagement_score", 4, 4).alias("avg_engagement"))
+        round_half_away(F.sum(F.col("raw_engagement_score").cast("decimal(28,12)")).cast("double")
+                        / F.nullif(F.count("raw_engagement_score"), F.lit(0)), 4).alias("avg_engagement"))
 
 
 def profile_comments(comments: DataFrame) -> DataFrame:
     """A8."""
     return comments.agg(
         F.count(F.lit(1)).alias("total_comments"),
-        F.count_distinct("post_id").alias("unique_posts_commented"),
-        F.count_distinct("sentiment").alias("sentiments"))
+        F.count_distinct("post_id").alias("unique_posts_commented")).select(
+        "*", _distinct(comments, "sentiment").alias("sentiments"))
 
 
 def profile_likes(likes: DataFrame) -> DataFrame:
     """A9."""
     return likes.agg(
         F.count(F.lit(1)).alias("total_likes"),
-        F.count_distinct("post_id").alias("unique_posts_liked"),
-        F.count_distinct("reaction_type").alias("reaction_types"))
+        F.count_distinct("post_id").alias("unique_posts_liked")).select(
+        "*", _distinct(likes, "reaction_type").alias("reaction_types"))
 
 
 def layer_row_counts(frames: dict[tuple[str, str], DataFrame]) -> DataFrame:

@@ -3,11 +3,14 @@
 A 1 h window sliding every 30 s puts every event in 120 windows.  Expanding
 raw events 120-fold multiplies the shuffle by 120; instead events are first
 counted in tumbling *panes* of gcd(size, slide) (partial aggregation runs
-map side), and only the pane counts are expanded into the sliding windows.
-Every sliding window starts on a pane boundary, so a window contains a
-whole pane or none of it and the pane totals add up exactly.  The same
-code runs in batch and in Structured Streaming (chained time-window
-aggregations keyed on ``window_time``).
+map side).  Every sliding window starts on a pane boundary, so a window
+contains a whole pane or none of it and the pane totals add up exactly.
+
+In batch the second shuffle carries panes, not windows: the starts of the
+windows that hold a pane lie in at most two stretches of one window size, so
+a pane goes to (key, stretch) twice at most, and only behind that exchange it
+is expanded into its windows; a key is spread over its stretches.  In
+Structured Streaming the two aggregations are chained on ``window_time``.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.topk import top_k
@@ -42,12 +45,32 @@ def windowed_counts(df: DataFrame, ts: str, keys: list[str], size: str = "1 hour
         pane = f"{math.gcd(_seconds(size), _seconds(slide))} seconds"
         panes = df.groupBy(F.window(ts, pane).alias("p"), *keys).agg(
             F.count(F.lit(1)).alias("__c"))
-        out = panes.groupBy(F.window(F.window_time("p"), size, slide).alias("w"), *keys).agg(
-            F.sum("__c").alias(count_col))
+        if df.isStreaming:
+            out = panes.groupBy(F.window(F.window_time("p"), size, slide).alias("w"), *keys).agg(
+                F.sum("__c").alias(count_col))
+        else:
+            out = _windows_of_panes(panes, keys, size, slide, count_col)
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       *keys, count_col)
 
 
+def _windows_of_panes(panes: DataFrame, keys: list[str], size: str, slide: str, count_col: str) -> DataFrame:
+    size_s, slide_s = _seconds(size), _seconds(slide)
+    kind = panes.schema["p"].dataType["start"].dataType.simpleString()
+    epoch = F.lit("1970-01-01 00:00:00").cast(kind)
+
+    def stretch(start: Column) -> Column:
+        return F.floor(F.timestamp_diff("SECOND", epoch, start) / F.lit(size_s))
+    first = F.timestamp_add("SECOND", F.lit(slide_s - size_s), F.col("p.start"))
+    # window starts follow the epoch's grid, the pane's own start included
+    dealt = (panes.withColumn("__s", F.explode(F.array_distinct(F.array(stretch(first), stretch(F.col("p.start"))))))
+             .repartition(*keys, "__s"))
+    opened = dealt.select(*keys, "__s", "__c", F.window(F.window_time("p"), size, slide).alias("w"))
+    # grouping by more than the exchange was dealt by needs no other exchange
+    return (opened.where(stretch(F.col("w.start")) == F.col("__s"))
+            .groupBy(*keys, "__s", "w").agg(F.sum("__c").alias(count_col)))
+
+
 def latest_window_top(counts: DataFrame, key: str, n: int = 5, count_col: str = "n") -> DataFrame:
     """T8 over a window-count table: top-n keys in the newest closed window.
 

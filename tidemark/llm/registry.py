@@ -95,7 +95,25 @@ def op8_license_scan(spark, d):
     return op8_licenses.scan(table(spark, d, "documents"))
 
 
-@register("op10_ngram_jaccard")
+@register("op10_ngram_jaccard", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+           range(1, greatest(len(ws) - 3, 2)), lambda i: array_to_string(ws[i:i + 4], ' ')))) END AS sh FROM w),
+c AS (SELECT sh, min(doc_id) AS id, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
+u AS (SELECT id, n, unnest(sh) AS x FROM c),
+often AS (SELECT x FROM u GROUP BY x HAVING count(*) > 1),
+v AS (SELECT id, n, x FROM u SEMI JOIN often USING (x)),
+link AS (
+  SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.x = b.x AND a.id <> b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a AS id, least(a, min(b)) AS component FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(least.component, c.id, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN least ON least.id = c.id
+""")
 def op10_ngram_jaccard(spark, d):
     return op10.jaccard_components(table(spark, d, "documents"))
 

@@ -63,32 +63,20 @@ def q_account_age(spark, d):
     return s_users(spark, d).select("user_id", "joined_at", "account_age_days")
 
 
-@register("engagement_score", sql("""
-    SELECT post_id, ingested_at,
-           least(round((like_count * 1.0 + comment_count * 2.0 + repost_count * 3.0)
-                       / nullif(view_count, 0) * 100, 4), 100.0) AS engagement_score
-    FROM b_posts"""))
+@register("engagement_score", sql("SELECT post_id, ingested_at, engagement_score FROM measured_posts"))
 def q_engagement_score(spark, d):
     return b_posts(spark, d).select("post_id", "ingested_at",
                                     TF.engagement_score().alias("engagement_score"))
 
 
-@register("raw_engagement_score", sql("""
-    SELECT post_id, ingested_at,
-           round(CAST(like_count + 2 * comment_count + 3 * repost_count AS DOUBLE)
-                 / greatest(view_count, 1) * 100, 4) AS raw_score
-    FROM b_posts"""))
+@register("raw_engagement_score", sql("SELECT post_id, ingested_at, raw_score FROM measured_posts"))
 def q_raw_score(spark, d):
     return b_posts(spark, d).select("post_id", "ingested_at",
                                     TF.raw_engagement_score().alias("raw_score"))
 
 
-@register("engagement_tier", sql("""
-    SELECT post_id, ingested_at, raw_engagement_score,
-           CASE WHEN raw_engagement_score >= 5.0 THEN 'viral'
-                WHEN raw_engagement_score >= 1.0 THEN 'high'
-                WHEN raw_engagement_score >= 0.1 THEN 'medium' ELSE 'low' END AS engagement_tier
-    FROM b_posts"""))
+@register("engagement_tier", sql(
+    "SELECT post_id, ingested_at, raw_engagement_score, engagement_tier FROM measured_posts"))
 def q_engagement_tier(spark, d):
     return b_posts(spark, d).select("post_id", "ingested_at", "raw_engagement_score",
                                     TF.engagement_tier().alias("engagement_tier"))
@@ -102,23 +90,15 @@ def q_time_features(spark, d):
                                     "post_month", "hour_of_day", "day_of_week", "is_weekend")
 
 
-@register("dq_flag", sql("""
-    SELECT post_id, ingested_at, like_count, view_count,
-           CASE WHEN view_count < like_count THEN 'anomaly: likes exceed views'
-                WHEN like_count < 0 OR view_count < 0 THEN 'anomaly: negative counts'
-                ELSE 'ok' END AS dq_flag
-    FROM b_posts"""))
+@register("dq_flag", sql("SELECT post_id, ingested_at, like_count, view_count, dq_flag FROM measured_posts"))
 def q_dq_flag(spark, d):
     return b_posts(spark, d).select("post_id", "ingested_at", "like_count", "view_count",
                                     TF.dq_flag().alias("dq_flag"))
 
 
-@register("latest_by_key", sql("""
-    SELECT post_id, ingested_at, is_deleted, like_count FROM (
-      SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY ingested_at DESC) AS rn
-      FROM b_posts) t WHERE rn = 1"""))
+@register("latest_by_key", sql("SELECT post_id, ingested_at, is_deleted, like_count FROM newest_posts"))
 def q_latest_by_key(spark, d):
-    return latest_by_key(b_posts(spark, d), "post_id", "ingested_at").select(
+    return latest_by_key(b_posts(spark, d), "post_id", "ingested_at", tie_break=["content"]).select(
         "post_id", "ingested_at", "is_deleted", "like_count")
 
 
@@ -156,9 +136,10 @@ def q_explode_lenient(spark, d):
     FROM s_users u LEFT JOIN s_posts p ON u.user_id = p.user_id GROUP BY u.user_id"""))
 def q_user_left_join(spark, d):
     totals = gold.user_post_totals(s_posts(spark, d))
-    return (s_users(spark, d).select("user_id").join(totals, "user_id", "left")
+    users = s_users(spark, d).groupBy("user_id").agg(F.count(F.lit(1)).alias("_m"))  # an id may come twice
+    return (users.join(totals, "user_id", "left")
             .select("user_id", F.coalesce("_posts", F.lit(0).cast("long")).alias("posts"),
-                    F.col("_likes").alias("likes")))
+                    (F.col("_likes") * F.col("_m")).alias("likes")))
 
 
 @register("orphan_posts", sql("""

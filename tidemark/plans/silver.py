@@ -71,7 +71,7 @@ def stage_users(users: DataFrame, as_of: str | Column | None = None) -> DataFram
 
 
 def stage_posts(posts: DataFrame, as_of: str | Column | None = None,
-                tie_break: Sequence[str] = ()) -> DataFrame:
+                tie_break: Sequence[str] = ("content",)) -> DataFrame:
     """stg_posts: newest version first, then the row filter (tombstones win).
 
     ``is_deleted = false`` drops NULL too (three-valued logic).  Scores use

@@ -6,7 +6,7 @@ expression both Spark and the SQL oracle evaluate identically (see
 ``tidemark.plans.oracle`` for the twin SQL), and every frame grows with the
 input tables, so the pipeline's work scales with the scale factor.
 
-    users    = customer (+ 2 % post-less copies) joined to nation
+    users    = customer (+ post-less and faulty copies) joined to nation
     posts    = orders left-joined to per-order lineitem totals, landed
                monthly; 5 % of the orders get a newer second version, 1 % of
                them deleted
@@ -25,6 +25,12 @@ SOURCE_SYSTEM = "tpch_adapter"
 #: the tables that bronze frames are derived from
 TABLES = ("customer", "nation", "orders", "lineitem", "events")
 NO_POST_USER_OFFSET = 10_000_000
+# Added rows: code -> every how many keys one is made.  They exist so that each
+# quality check has something to find; nothing is ever taken away for them.
+USER_FAULTS = {1: 50, 2: 41, 3: 43, 4: 47, 5: 53}
+POST_FAULTS = {1: 61, 2: 67, 3: 71, 4: 73, 5: 79, 6: 83, 7: 89}
+EVENT_FAULTS = {1: 59, 2: 61}
+NO_VIEWS_DAY = "2001-11-11 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +66,12 @@ def _ymd(ts: Column) -> list[Column]:
             F.dayofmonth(ts).alias("day")]
 
 
+def _added(key: str, faults: dict[int, int]) -> Column:
+    """Codes of the rows that a key makes: 0 always, each fault at its keys."""
+    codes = [F.when(F.col(key) % every == 0, F.lit(code)) for code, every in faults.items()]
+    return F.filter(F.array(F.lit(0), *codes), lambda x: x.isNotNull())
+
+
 def _version_array(has_second: Column, versions: tuple[int, ...]) -> Column:
     """Versions a record exists in: always 1, and 2 when ``has_second``."""
     one = [F.lit(1)] if 1 in versions else []
@@ -71,29 +83,28 @@ def _version_array(has_second: Column, versions: tuple[int, ...]) -> Column:
 def bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    # every 50th customer also appears as a post-less user (key + offset);
-    # generated in the same scan with explode
-    copies = F.when(F.col("c_custkey") % 50 == 0, F.array(F.lit(0), F.lit(1))) \
-              .otherwise(F.array(F.lit(0)))
-    both = (cust.withColumn("__copy", F.explode(copies))
-            .withColumn("c_custkey", F.col("c_custkey") + F.col("__copy") * NO_POST_USER_OFFSET)
-            .drop("__copy"))
+    # added rows, generated in the same scan with explode: post-less users (1)
+    # and faulty ones: unlisted enum values (2), no name (3), an id that
+    # comes twice (4), no id (5)
+    copy = F.col("__copy")
+    both = (cust.withColumn("__copy", F.explode(_added("c_custkey", USER_FAULTS)))
+            .withColumn("c_custkey", F.col("c_custkey") + F.when(copy == 4, 0).otherwise(copy) * NO_POST_USER_OFFSET))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     u = both.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     k = F.col("c_custkey")
     b = F.greatest(F.floor("c_acctbal").cast("long"), F.lit(0))
     joined = _secs(k * 7919 % 346896000, _ts("1990-01-01 00:00:00"))
     return u.select(
-        k.cast("string").alias("user_id"),
-        F.concat(F.lit("  User_"), k.cast("string"), F.lit(" ")).alias("username"),
+        F.when(copy != 5, k.cast("string")).alias("user_id"),
+        F.when(copy != 3, F.concat(F.lit("  User_"), k.cast("string"), F.lit(" "))).alias("username"),
         F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("display_name"),
         F.concat(F.lit("  User"), k.cast("string"), F.lit("@Mail.Example ")).alias("email"),
         F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" buyer ")).alias("bio"),
         F.concat(F.col("n_name"), F.lit(" ")).alias("location"),
         F.when(k % 5 != 0, F.concat(F.lit("https://u"), k.cast("string"), F.lit(".example.org"))).alias("website"),
         F.concat(F.lit("https://img.example.org/"), k.cast("string"), F.lit(".png")).alias("profile_image_url"),
-        _case(k % 4, ["Personal", "business", "CREATOR", "news"]).alias("account_type"),
-        _case(k % 3, ["active", "Suspended", "inactive"]).alias("account_status"),
+        F.when(copy == 2, "Robot").otherwise(_case(k % 4, ["Personal", "business", "CREATOR", "news"])).alias("account_type"),
+        F.when(copy == 2, "gone").otherwise(_case(k % 3, ["active", "Suspended", "inactive"])).alias("account_status"),
         (k % 33 == 0).alias("is_verified"),
         _case(F.col("c_nationkey") % 6, ["EN", "ur", "hi", "de", "Fr", "pt"]).alias("language"),
         # b^3 < 2^53 and the quotient's fraction is a multiple of 2e-6, so the
@@ -155,13 +166,36 @@ def bronze_posts(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] = (
         _secs(k % 86400, F.col("o_orderdate")).alias("post_date"),
         F.col("o_orderdate").alias("_d"),
     )
+    # added rows: an author nobody knows and an unlisted type (1), negative
+    # counts (2), no id (3), a day without views (4), a null tag (5), a
+    # repeated tag and one of its own (6), another row of the same id and
+    # ingest time (7)
+    base = base.withColumn("_f", F.explode(_added("_k", POST_FAULTS)))
+    f, key = F.col("_f"), F.col("_k").cast("string")
+    base = (base
+            .withColumn("post_id", F.when(f == 3, None).when(f.isin(0, 7), F.col("post_id"))
+                        .otherwise(F.concat(F.lit("f"), f.cast("string"), F.lit("-"), key)))
+            .withColumn("user_id", F.when(f == 1, F.concat(F.lit("ghost"), key)).otherwise(F.col("user_id")))
+            .withColumn("post_type", F.when(f == 1, "Poll").otherwise(F.col("post_type")))
+            .withColumn("content", F.when(f == 7, F.concat(F.lit("  tied "), key)).otherwise(F.col("content")))
+            .withColumn("like_count", F.when(f == 2, F.lit(-5)).otherwise(F.col("like_count")).cast("long"))
+            .withColumn("comment_count", F.when(f == 2, F.lit(0)).otherwise(F.col("comment_count")).cast("long"))
+            .withColumn("repost_count", F.when(f == 2, F.lit(0)).otherwise(F.col("repost_count")).cast("long"))
+            .withColumn("view_count", F.when(f == 2, F.lit(3)).when(f == 4, F.lit(0))
+                        .otherwise(F.col("view_count")).cast("long"))
+            .withColumn("post_date", F.when(f == 4, _secs(F.col("_k") % 86400, _ts(NO_VIEWS_DAY)))
+                        .otherwise(F.col("post_date")))
+            .withColumn("hashtags", F.when(f == 5, '["a", null]')
+                        .when(f == 6, F.concat(F.lit('["u'), key, F.lit('", "a", "a"]'))).otherwise(F.col("hashtags")))
+            .withColumn("hashtag_count", F.when(f == 5, F.lit(2)).when(f == 6, F.lit(3))
+                        .otherwise(F.col("hashtag_count")).cast("long")))
     # Posts land as monthly backfill batches: first day of the next month.
     # 5 % of the orders get a second, newer version one day later (1 % of
     # them deleted).  Versions are generated in one pass with ``explode``, so
     # the orders scan and the line-total join run once for both.
     landed = F.add_months(F.trunc(F.to_date("_d"), "month"), 1).cast("timestamp_ntz")
     v = F.col("_v")
-    both = (base.withColumn("_v", F.explode(_version_array(F.col("_k") % 20 == 0, versions)))
+    both = (base.withColumn("_v", F.explode(_version_array((F.col("_k") % 20 == 0) & (F.col("_f") == 0), versions)))
             .withColumn("like_count", F.col("like_count") + F.when(v == 2, 1).otherwise(0))
             .withColumn("is_deleted", (v == 2) & (F.col("_k") % 100 == 0))
             .withColumn("ingested_at", F.timestamp_add("DAY", v - 1, landed)))
@@ -193,10 +227,12 @@ def bronze_likes(spark: SparkSession, sf_dir: str, versions: tuple[int, ...] = (
         F.get_json_object("props", "$.k").alias("post_id"),
         F.col("user_id").cast("string").alias("user_id"),
         _iso(F.col("ts"), k % 7 != 0).alias("liked_at"),
-    )
+    ).withColumn("_f", F.explode(_added("_k", EVENT_FAULTS)))
+    f = F.col("_f")  # added rows: an unlisted reaction (1), no id (2)
+    base = base.withColumn("like_id", F.when(f == 1, F.concat(F.lit("f"), "like_id")).when(f == 0, F.col("like_id")))
     v = F.col("_v")
-    both = (base.withColumn("_v", F.explode(_version_array(F.col("_k") % 25 == 0, versions)))
-            .withColumn("reaction_type", _case((F.col("_k") + v - 1) % 5, reactions))
+    both = (base.withColumn("_v", F.explode(_version_array((F.col("_k") % 25 == 0) & (f == 0), versions)))
+            .withColumn("reaction_type", F.when(f == 1, "Angry").otherwise(_case((F.col("_k") + v - 1) % 5, reactions)))
             .withColumn("_ing", F.timestamp_add("HOUR", v, F.col("_ts"))))
     return both.select(
         "like_id", "post_id", "user_id", "reaction_type", "liked_at",
@@ -217,9 +253,14 @@ def bronze_comments(spark: SparkSession, sf_dir: str, versions: tuple[int, ...]
         F.floor(v).cast("long").alias("like_count"),
         F.when(v < 20, "negative").when(v < 60, "Neutral").otherwise("POSITIVE").alias("sentiment"),
         _iso(F.col("ts"), k % 7 != 0).alias("commented_at"),
-    )
+    ).withColumn("_f", F.explode(_added("_k", EVENT_FAULTS)))
+    f = F.col("_f")  # added rows: an unlisted sentiment (1), no post (2)
+    base = (base.withColumn("comment_id", F.when(f == 0, F.col("comment_id"))
+                            .otherwise(F.concat(F.lit("f"), f.cast("string"), F.lit("-"), "comment_id")))
+            .withColumn("sentiment", F.when(f == 1, "Mixed").otherwise(F.col("sentiment")))
+            .withColumn("post_id", F.when(f != 2, F.col("post_id"))))
     v = F.col("_v")
-    both = (base.withColumn("_v", F.explode(_version_array(F.col("_k") % 40 == 0, versions)))
+    both = (base.withColumn("_v", F.explode(_version_array((F.col("_k") % 40 == 0) & (f == 0), versions)))
             .withColumn("is_deleted", F.when(v == 1, F.col("_k") % 33 == 0)
                         .otherwise(F.col("_k") % 80 == 0))
             .withColumn("_ing", F.timestamp_add("HOUR", v, F.col("_ts"))))

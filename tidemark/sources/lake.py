@@ -19,7 +19,7 @@ from tidemark.session import input_fingerprint, shared_root
 from tidemark.sources import adapter
 from tidemark.sources.sinks import append_partitioned, run_parallel, snapshot_replace
 
-LAYOUT_VERSION = 4
+LAYOUT_VERSION = 5
 _LAKES: dict[tuple[str, str], str] = {}
 
 

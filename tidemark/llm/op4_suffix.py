@@ -50,7 +50,7 @@ from tidemark.session import scratch_path
 
 SPAN, GRAM = 400, 32
 #: bytes hashed together; positions within must fit ``_PLACE``
-UNIT = 1 << 20
+UNIT = 1 << 18
 #: texts of a batch, bytes sorted together, bytes of an anchor's classes in one task
 BATCH_BYTES, CHUNK_BYTES, GROUP_BYTES = 8 << 20, 2 << 20, 2 << 20
 _PLACE = np.uint64(UNIT - 1)

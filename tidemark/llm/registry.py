@@ -135,6 +135,23 @@ def op3_pii(spark, d):
     return op3.digest_columns(op3.find(table(spark, d, "documents")))
 
 
-@register("op4_suffix_dedup")
+@register("op4_suffix_dedup", r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT k, p, md5_number(substr(h, 2 * p + 1, 800)) AS m
+      FROM (SELECT k, h, unnest(range(0, greatest(length(h) // 2 - 399, 0))) AS p FROM d)),
+r AS (SELECT k, p FROM w SEMI JOIN (SELECT m FROM w GROUP BY m HAVING count(*) > 1) often USING (m)),
+island AS (SELECT k, p, sum(CASE WHEN p <= before + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY p) AS g
+           FROM (SELECT k, p, lag(p) OVER (PARTITION BY k ORDER BY p) AS before FROM r)),
+span AS (SELECT k, min(p) AS a, max(p) + 400 AS b FROM island GROUP BY k, g),
+cut AS (SELECT k, a, b, lag(b, 1, 0) OVER (PARTITION BY k ORDER BY a) AS last,
+               row_number() OVER (PARTITION BY k ORDER BY a DESC) = 1 AS final FROM span),
+kept AS (SELECT k, count(*) AS n_spans, sum(b - a) AS n_removed,
+                sha256(unhex(string_agg(substr(h, 2 * last + 1, 2 * (a - last))
+                                        || CASE WHEN final THEN substr(h, 2 * b + 1) ELSE '' END, '' ORDER BY a))) AS sha
+         FROM cut JOIN d USING (k) GROUP BY k)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, coalesce(sha, sha256(unhex(h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (k)
+""")
 def op4_suffix_dedup(spark, d):
     return op4.remove_repeats(table(spark, d, "documents"))

@@ -146,3 +146,63 @@ def test_entry_module_imports_without_a_session():
             "assert len(q) >= 80 and set(o) <= set(q), (len(q), len(o))")
     r = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
     assert r.returncode == 0, r.stderr[-2000:]
+
+
+def test_orphan_join_splits_a_hot_key(spark):
+    from tidemark.operators.joins import orphans
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        child = (spark.range(0, 300000, 1, 8)
+                 .select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("string").alias("k"),
+                         F.sha2(F.col("id").cast("string"), 256).alias("payload")))
+        parent = spark.range(0, 300000, 2).select(F.col("id").cast("string").alias("k"))
+        out = orphans(child, "k", parent)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 100000 + sum(1 for i in range(300000) if i % 3 and i % 2)
+    assert "skew=true" in plan
+
+
+def test_windows_expand_behind_the_exchange(spark):
+    from tidemark.streaming.windows import windowed_counts
+    f = adapter.feed_events(spark, SF_SMALL).where(F.col("entity") == "likes")
+    plan = windowed_counts(f, "_ts", ["reaction_type"])._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2
+    # the second one deals panes by (key, stretch); no exchange is keyed by window
+    assert "__s" in exchanges[0] and not any(" w#" in line for line in exchanges)
+
+
+def test_gate_names_every_failure_and_summary_counts(spark):
+    from tidemark.plans.quality import quality_gate, quality_summary
+    rows = [("gold", "t", "not_null", f"c{i}", i % 9, i % 9 == 0) for i in range(20)]
+    report = spark.createDataFrame(rows, "layer string, table string, check string, column string, "
+                                         "failing_rows int, passed boolean")
+    try:
+        quality_gate(report)
+        raise RuntimeError("no failure")
+    except AssertionError as e:
+        assert str(e).count("not_null") == 17 and str(e).startswith("17 ")
+    assert tuple(quality_summary(report).first()) == (3, 17, 20, False)
+    quality_gate(report.where("passed"))
+
+
+def test_each_kind_of_check_finds_something(spark):
+    from tidemark.plans.registry import all_queries
+    found = {}
+    for r in all_queries()["quality_report"].build(spark, SF_SMALL).collect():
+        found[r["check"]] = found.get(r["check"], 0) + r["failing_rows"]
+    for kind in ("unique", "not_null", "accepted_values", "relationships", "duplicates", "non_negative", "enum"):
+        assert found[kind] > 0, kind
+    flags = {r["dq_flag"] for r in all_queries()["dq_flag_summary"].build(spark, SF_SMALL).collect()}
+    assert len(flags) == 3

@@ -77,16 +77,19 @@ def test_duplicated_user_row_doubles_sums_like_the_join(spark):
 
 
 def test_invariants_on_small_scale(spark):
+    from tidemark.operators.unnest import explode_json_tags
     posts = silver.stage_posts(adapter.bronze_posts(spark, SF_SMALL), AS_OF)
     users = silver.stage_users(adapter.bronze_users(spark, SF_SMALL), AS_OF)
     daily = gold.daily_engagement(posts, AS_OF)
     mart = gold.user_performance(users, posts, AS_OF)
     total = posts.agg(F.sum("like_count")).first()[0]
     assert daily.agg(F.sum("total_likes")).first()[0] == total
-    assert mart.agg(F.sum("total_likes_received")).first()[0] == total   # no orphan posts
+    # each user row receives its posts' likes: orphans none, a user id that comes twice twice
+    joined = users.select("user_id").join(posts.select("user_id", "like_count"), "user_id")
+    assert mart.agg(F.sum("total_likes_received")).first()[0] == joined.agg(F.sum("like_count")).first()[0]
     per_tier = posts.groupBy("engagement_tier").agg(F.count("*").alias("n")).agg(F.sum("n")).first()[0]
     assert per_tier == posts.count()
-    tag_rows = gold.explode_json_tags(posts).count()
+    tag_rows = explode_json_tags(posts).count()
     sizes = posts.where("hashtag_count > 0").agg(F.sum(F.size(F.from_json("hashtags", "array<string>")))).first()[0]
     assert tag_rows == sizes
 
@@ -118,3 +121,26 @@ def test_top_tags_split_counts_leading_space_separately(spark):
                                   "hashtags string, hashtag_count int")
     got = {r["hashtag_tag"]: r["post_count"] for r in top_tags_split(posts).collect()}
     assert got == {"a": 1, " b": 1, "b": 1}
+
+
+def test_hashtag_mart_repeated_and_null_tags(spark):
+    rows = [("p1", "2024-01-01", 10, 0, 0, 100, 10.0, True, '["a", "a", null]', 3),
+            ("p2", "2024-01-02", 5, 1, 0, 50, None, False, '["a", "b", null, null]', 4),
+            ("p3", "2024-01-03", 7, 0, 0, 70, 10.0, True, '[]', 0)]
+    posts = spark.createDataFrame(rows, "post_id string, post_day string, like_count int, comment_count int, "
+                                  "repost_count int, view_count int, engagement_score double, is_viral boolean, "
+                                  "hashtags string, hashtag_count int")
+    for unique in (True, False):
+        got = {r["hashtag"]: r for r in gold.hashtag_performance(posts, AS_OF, unique_posts=unique).collect()}
+        assert set(got) == {"a", "b", None}
+        a, b, none = got["a"], got["b"], got[None]
+        assert (a["total_posts"], a["total_likes"], a["viral_posts"], a["avg_engagement"]) == (2, 25, 2, 10.0)
+        assert (b["total_posts"], b["total_likes"], b["avg_engagement"], b["viral_posts"]) == (1, 5, None, 0)
+        assert (none["total_posts"], none["total_likes"], none["viral_posts"]) == (2, 20, 1)
+        assert a["trending_score"] == round((20 + 7) / 2, 2)
+
+
+def test_hashtag_mart_has_one_shuffle(spark):
+    posts = silver.stage_posts(adapter.bronze_posts(spark, SF_SMALL), AS_OF)
+    count = lambda df: df._jdf.queryExecution().sparkPlan().toString().count("count(distinct")
+    assert count(gold.hashtag_performance(posts, AS_OF, ordered=False)) == 0

@@ -56,19 +56,29 @@ def windowed_counts(df: DataFrame, ts: str, keys: list[str], size: str = "1 hour
 
 def _windows_of_panes(panes: DataFrame, keys: list[str], size: str, slide: str, count_col: str) -> DataFrame:
     size_s, slide_s = _seconds(size), _seconds(slide)
-    kind = panes.schema["p"].dataType["start"].dataType.simpleString()
-    epoch = F.lit("1970-01-01 00:00:00").cast(kind)
-
-    def stretch(start: Column) -> Column:
-        return F.floor(F.timestamp_diff("SECOND", epoch, start) / F.lit(size_s))
-    first = F.timestamp_add("SECOND", F.lit(slide_s - size_s), F.col("p.start"))
-    # window starts follow the epoch's grid, the pane's own start included
-    dealt = (panes.withColumn("__s", F.explode(F.array_distinct(F.array(stretch(first), stretch(F.col("p.start"))))))
+    start = F.col("p.start")
+    if panes.schema["p"].dataType["start"].dataType.typeName() == "timestamp":
+        seconds = F.unix_seconds
+    else:
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        seconds = lambda c: F.timestamp_diff("SECOND", epoch, c)
+    # newest window start of a pane, in seconds on the epoch's grid
+    at = seconds(start)
+    newest = at - F.pmod(at, F.lit(slide_s))
+    oldest = newest - (-(-size_s // slide_s) - 1) * slide_s
+    stretches = F.array_distinct(F.array(F.floor(oldest / size_s), F.floor(newest / size_s)))
+    dealt = (panes.select(*keys, "__c", start.alias("__p"), at.alias("__at"), newest.alias("__w"),
+                          F.explode(stretches).alias("__s"))
              .repartition(*keys, "__s"))
-    opened = dealt.select(*keys, "__s", "__c", F.window(F.window_time("p"), size, slide).alias("w"))
-    # grouping by more than the exchange was dealt by needs no other exchange
-    return (opened.where(stretch(F.col("w.start")) == F.col("__s"))
-            .groupBy(*keys, "__s", "w").agg(F.sum("__c").alias(count_col)))
+    # a generator keeps the partitioning, so grouping by more than the
+    # exchange was dealt by needs no other exchange
+    opened = dealt.select("*", F.explode(F.sequence(F.lit(0), F.lit(-(-size_s // slide_s) - 1))).alias("__k"))
+    begin = F.col("__w") - F.col("__k") * slide_s
+    opened = opened.where((F.floor(begin / size_s) == F.col("__s")) & (begin + size_s > F.col("__at")))
+    w = F.timestamp_add("SECOND", begin - F.col("__at"), F.col("__p"))
+    counted = (opened.withColumn("__b", w).groupBy(*keys, "__s", "__b").agg(F.sum("__c").alias(count_col)))
+    return counted.select(*keys, count_col, F.struct(
+        F.col("__b").alias("start"), F.timestamp_add("SECOND", F.lit(size_s), F.col("__b")).alias("end")).alias("w"))
 
 
 def latest_window_top(counts: DataFrame, key: str, n: int = 5, count_col: str = "n") -> DataFrame:

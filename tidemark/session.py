@@ -50,17 +50,6 @@ CLUSTER_CONF = {
 }
 
 
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20,
-                           minimum: int = 8) -> int:
-    """Initial shuffle partition count for an input size: ~128 MB per task.
-
-    AQE only *coalesces* partitions, so the initial number must be large
-    enough for the biggest stage (100 TB -> ~800k; cap it by cluster cores
-    x 3-4 waves in practice); small stages are merged at run time.
-    """
-    return max(minimum, -(-input_bytes // target_bytes))
-
-
 def build_session(master: str | None = None, app: str = "tidemark",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

@@ -59,6 +59,8 @@ UNIVERSE = 3
 BATCH_CHARS, BLOCK_SHINGLES = 2 << 20, 4_000_000
 #: weight of a probe against a merged entry when lists are divided
 PROBE = 0.0085
+#: sets of a large tree that are tried before all sets of a block
+TRIED = 64
 
 
 def needed(n: np.ndarray | int) -> np.ndarray | int:
@@ -216,14 +218,24 @@ def _search_part(nodes: list[int], sets: list[np.ndarray], roles: list[int]) ->
     if hub is None:
         length = np.diff(lists.edge)
         hub = int(np.argmax([length[np.searchsorted(lists.tokens, s)].sum() / len(s) for s in sets]))
+    some: list[int] = []
     for q in [hub, *range(len(nodes))]:
         if forest.trees == 1:
             break
         if q != hub and forest.root(q) == forest.root(hub):
             continue
-        for x in lists.search(sets[q]).tolist():
+        # one link to the hub's tree settles a set, and a few of that tree's
+        # sets often have it; only without one are all sets searched
+        near = few.search(sets[q])[:1] if some else []
+        met = [some[x] for x in near] or lists.search(sets[q]).tolist()
+        for x in met:
             if forest.join(q, x):
                 links.append((nodes[q], nodes[x]))
+        if q == hub:
+            tree = [k for k in range(len(nodes)) if forest.root(k) == forest.root(hub)]
+            if len(tree) > 4 * TRIED:
+                some = tree[::len(tree) // TRIED]
+                few = Lists([sets[k] for k in some])
     return links, [nodes[k] for k in range(len(nodes)) if forest.root(k) != forest.root(hub)]
 
 
@@ -305,7 +317,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .applyInPandas(_maybe_linked, "doc_id long, uid long, digest binary"))
     reps = materialize(maybe.groupBy("digest").agg(F.min(F.struct("uid", "doc_id")).alias("r"))
                        .select("digest", "r.uid", "r.doc_id"), "classes")
-    texts = src.join(reps.select("digest", "uid", F.col("doc_id").alias("_id")),
+    texts = src.join(reps.select("digest", "uid", F.col("doc_id").alias("_id")).hint("merge"),  # grows with the input
                      src["doc_id"].eqNullSafe(F.col("_id"))).select("uid", "digest", "text")
     again = materialize(texts.mapInPandas(_class_sets, BATCH), "class_shingles")
     counts = census(again, _ranges(again, "sizes"))

@@ -103,3 +103,32 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(frame).collect()}
     assert got == {**{k: 0 for k in range(41)}, 98: -5, 99: -5, 100: -5, -5: -5, 200: 200}
     assert components(frame.limit(0)).collect() == []
+
+
+def test_large_group_of_near_copies_is_connected_and_nothing_else():
+    rnd = random.Random(8)
+    base = [rnd.randrange(1 << 60) for _ in range(60)]
+    sets = []
+    for k in range(700):
+        own = list(base)
+        for x in rnd.sample(range(60), rnd.randrange(0, 13)):
+            own[x] = rnd.randrange(1 << 60)
+        sets.append(np.unique(np.array(own, dtype=np.uint64)))
+    links, apart = nj._search_part(list(range(700)), sets, [nj.MEMBER] * 700)
+    up = list(range(700))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for u, v in links:
+        assert 100 * len(np.intersect1d(sets[u], sets[v])) >= 75 * len(np.union1d(sets[u], sets[v]))
+        up[root(u)] = root(v)
+    got = [root(k) for k in range(700)]
+    up = list(range(700))
+    for a in range(700):
+        for b in range(a):
+            if root(a) != root(b) and 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b])):
+                up[root(a)] = root(b)
+    want = [root(k) for k in range(700)]
+    assert len(set(zip(got, want))) == len(set(got)) == len(set(want))

@@ -303,3 +303,19 @@ def test_cluster_without_shared_folder_is_an_error(spark):
         raise AssertionError("no error")
     except RuntimeError as e:
         assert "spark.checkpoint.dir" in str(e)
+
+
+def test_batch_run_parks_rows_that_do_not_cast_and_registers_layers(spark, tmp_dir):
+    from tidemark.plans.batch_run import run_batch
+    from tidemark.sources.sinks import snapshot_replace
+    snapshot_replace(adapter.bronze_users(spark, SF_SMALL), f"{tmp_dir}/lake/users")
+    likes = adapter.bronze_likes(spark, SF_SMALL)
+    broken = likes.limit(3).withColumn("liked_at", F.lit("yesterday")).withColumn("like_id", F.concat(F.lit("bad"), "post_id"))
+    for e, df in (("posts", adapter.bronze_posts(spark, SF_SMALL)), ("comments", adapter.bronze_comments(spark, SF_SMALL)),
+                  ("likes", likes.unionByName(broken))):
+        append_partitioned(df, f"{tmp_dir}/lake/{e}", 1)
+    res = run_batch(spark, f"{tmp_dir}/lake", f"{tmp_dir}/run", "2002-01-01 00:00:00", database="parked", quarantine=True)
+    assert res.bad["likes"].count() == 3 and res.bad["comments"].count() == 0
+    assert {tuple(r["bad_columns"]) for r in res.bad["likes"].collect()} == {("liked_at",)}
+    assert spark.table("parked_silver.stg_likes").count() == res.silver["stg_likes"].count() > 0
+    assert spark.table("parked_gold.mart_daily_engagement").count() == res.gold["mart_daily_engagement"].count()

@@ -159,6 +159,21 @@ def q_batch_run(spark, d):
     return res.report
 
 
+@register("catalog_layers", sql("""
+    SELECT u.influencer_tier, count(*) AS users, CAST(sum(p.like_count) AS BIGINT) AS likes
+    FROM s_posts p JOIN (SELECT DISTINCT user_id, influencer_tier FROM g_users) u USING (user_id)
+    GROUP BY u.influencer_tier"""))
+def q_catalog(spark, d):
+    """Silver and gold as catalog tables, joined by plain SQL."""
+    name = "run_" + uuid.uuid4().hex[:8]
+    run_batch(spark, lake(spark, d), scratch_path(spark, "run"), AS_OF, database=name, quarantine=True)
+    return spark.sql(f"""
+        SELECT u.influencer_tier, count(*) AS users, sum(p.like_count) AS likes
+        FROM {name}_silver.stg_posts p
+        JOIN (SELECT DISTINCT user_id, influencer_tier FROM {name}_gold.mart_user_performance) u USING (user_id)
+        GROUP BY u.influencer_tier""")
+
+
 # ---- S9: SQL over registered bronze views ------------------------------------
 
 @register("bronze_views_sql", sql("""

@@ -80,6 +80,18 @@ def materialize_all(frames: dict[str, DataFrame], root: str,
                          for k, v in frames.items()}, max_parallel)
 
 
+def register_tables(spark: SparkSession, database: str, paths: dict[str, str]) -> list[str]:
+    """K3: catalog tables over a layer's folders, so SQL users find
+    ``database.table`` (no data is copied; a table that exists is replaced)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name, path in paths.items():
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+        names.append(f"{database}.{name}")
+    return names
+
+
 def run_parallel(actions: dict[str, Callable], max_parallel: int = 4) -> dict:
     """Run independent Spark actions from a small thread pool (each Python
     thread drives its own jobs); the first failure is re-raised."""

@@ -1,9 +1,10 @@
 """The corpus pipeline: ``documents`` through five operators, stage by stage.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns what it keeps, with the
-columns of its input (the last one returns the tokens).  Stages match rows by
-``doc_id``, null ids among themselves: rows that repeat an id share its fate,
-and of rows that repeat an id and a text the exact dedup keeps one.
+columns of its input (the last one returns the tokens).  Toxicity and
+decontamination judge row by row.  The dedup stages match rows by ``doc_id``,
+null ids among themselves: rows that repeat an id share its fate, and of rows
+that repeat an id and a text the exact dedup keeps one.
 """
 
 from __future__ import annotations
@@ -18,41 +19,44 @@ from tidemark.llm.common import materialize, table, text_of
 TOKENS = "byte_bpe_50k.tiktoken"
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The rows of ``docs`` whose id is (semi) or is not (anti) among ``ids``."""
-    ids = ids.select(F.col("doc_id").alias("_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), how)
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is among ``ids``.  Always a sort-merge join:
+    the ids grow with the documents."""
+    ids = ids.select(F.col("doc_id").alias("_id")).hint("merge")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the toxicity operator rejects."""
-    scored = op5_toxicity.classify(docs, table(spark, sf_dir, "labels"))
-    return _only(docs, materialize(scored.where("predicted = 1").select("doc_id"), "toxic"), "left_anti")
+    return op5_toxicity.clean(docs, op5_toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of equal texts."""
-    kept = _only(docs, materialize(op2_exact.exact_dedup(docs).where("kept").select("doc_id").distinct(), "unique"), "left_semi")
-    again = materialize(kept.groupBy("doc_id", op2_exact.digest_of(text_of("text")).alias("digest"))
-                        .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id").distinct(), "again")
+    found = materialize(op2_exact.exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "exact")
+    kept = _only(docs, found.where("kept").select("doc_id").distinct())
+    # ids that come with one text more than once: seldom any
+    again = materialize(found.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").select("doc_id").distinct(), "again")
     if again.isEmpty():
         return kept
-    once = (_only(kept, again, "left_semi").withColumn("_digest", op2_exact.digest_of(text_of("text")))
+    once = (_only(kept, again).withColumn("_digest", op2_exact.digest_of(text_of("text")))
             .dropDuplicates(["doc_id", "_digest"]).drop("_digest"))
-    return _only(kept, again, "left_anti").unionByName(once)
+    others = found.select("doc_id").distinct().join(again.withColumnRenamed("doc_id", "_id"),
+                                                    F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    return _only(kept, others).unionByName(once)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, the smallest id, of each group that n-gram links connect."""
     found = op10_ngram_join.jaccard_components(docs)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return _only(docs, materialize(first, "first"), "left_semi")
+    return _only(docs, materialize(first, "first"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain a benchmark item."""
-    found = op7_decontaminate.contained(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, materialize(found.select("doc_id").distinct(), "leaks"), "left_anti")
+    return op7_decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,3 +170,26 @@ def pieces_of(batches: Iterable[pd.DataFrame], text: str, limit: int = 8 << 20)
         part = (np.cumsum(size) // limit).astype(np.int64)
         for p in np.unique(part):
             yield pdf[part == p]
+
+
+def _slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20) -> Iterable[pa.RecordBatch]:
+    """Slices of an Arrow batch whose texts hold about ``limit`` bytes at most."""
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    cut = np.flatnonzero(np.diff(np.cumsum(size) // limit)) + 1
+    for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def keep_rows(docs: DataFrame, text_col: str, judge: Callable[[list[str]], list[bool]]) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps by their texts (null: empty),
+    all columns as they are, decided in the scan without a shuffle."""
+    # plain names on the way: a column's name may hold dots
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    text = f"c{docs.columns.index(text_col)}"
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, text):
+                yield part.filter(pa.array(judge([t or "" for t in part.column(text).to_pylist()]), type=pa.bool_()))
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import c, pieces_of, shingle_sets, text_of
+from tidemark.llm.common import c, keep_rows, pieces_of, shingle_sets, text_of
 
 #: training documents of either class at most
 SAMPLE = 1000
@@ -302,6 +302,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             .mapInPandas(run, SCORED))
 
 
+def clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, all columns as
+    they are; decided row by row in the scan, so nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(texts: list[str]) -> list[bool]:
+        return [shared.value.score(p) < threshold for p in shared.value.marginals(texts)]
+    return keep_rows(docs, text_col, judge)
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, held_out, score, predicted, spans)`` of every document, trained on ``labels``."""
     scored = score(docs, fit(docs, labels))

@@ -28,9 +28,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.llm.common import c, mix, pieces_of, text_of
+from tidemark.llm.common import c, keep_rows, mix, pieces_of, text_of
 
 #: the shortest run of words that counts as shared
 MATCH = 5
@@ -200,3 +199,20 @@ def contained(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
                                        dtype=object)
         out = out.unionByName(src.mapInPandas(search, FOUND))
     return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", coverage: float = COVERAGE, least: int = MATCH,
+          block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that contain no item, all columns as they are;
+    decided row by row in the scan, one block of the benchmark after the other."""
+    spark = docs.sparkSession
+    for block in blocks_of(benchmark, item_col, item_text_col, least, block_words):
+        shared = spark.sparkContext.broadcast(block)
+
+        def judge(texts: list[str], shared=shared) -> list[bool]:
+            block = shared.value
+            return [not any(sum(n for _, _, n in tiles) >= coverage * len(block.items[k])
+                            for k, tiles in block.matches(words_of(t))) for t in texts]
+        docs = keep_rows(docs, text_col, judge)
+    return docs

@@ -47,7 +47,7 @@ BITS, EPOCHS, RATE, SHRINK = 18, 10, 0.5, 1e-6
 #: marginals that a document's score looks at
 TOP = 5
 #: tokens that are put through forward-backward together; words a worker remembers
-CHUNK, CACHE = 200_000, 600_000
+CHUNK, CACHE = 200_000, 150_000
 THRESHOLD = 0.7
 _LINE = re.compile(r"[^\n]+")
 _WORD = re.compile(r"[^\W_]+")

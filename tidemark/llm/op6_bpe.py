@@ -23,9 +23,9 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import c, pieces_of, text_of
 
 #: distinct pieces and token pairs that a worker remembers
-CACHE, PAIRS = 1_000_000, 1_500_000
+CACHE, PAIRS = 500_000, 400_000
 #: longer pieces are not remembered
 CACHED_CHARS = 64
 
@@ -145,7 +145,7 @@ class Tokenizer:
         self.find = regex.compile(pattern).findall
         plain = _latin1(pattern)
         self.plain = self.find if r"\p" in plain else re.compile(plain).findall
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}  # ids packed as uint32
 
     def split(self, text: str) -> list[str]:
         try:
@@ -158,10 +158,10 @@ class Tokenizer:
         pieces, cache = self.split(text), self.cache
         long = []
         for p in set(pieces).difference(cache):
-            cache[p] = self.bpe.encode(p.encode())
+            cache[p] = np.array(self.bpe.encode(p.encode()), dtype=np.uint32).tobytes()
             if len(p) > CACHED_CHARS:
                 long.append(p)
-        ids = list(chain.from_iterable(map(cache.__getitem__, pieces)))
+        ids = np.frombuffer(b"".join(map(cache.__getitem__, pieces)), dtype=np.uint32).tolist()
         for p in long:
             del cache[p]
         if len(cache) > CACHE:

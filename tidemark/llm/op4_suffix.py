@@ -41,6 +41,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -324,20 +325,22 @@ def _chunks(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield pdf[part == p]
 
 
-def _surroundings(span: int):
+def _surroundings(span: int, big: bool):
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cols = [x.split()[0] for x in EDGE.split(", ")]
         for pdf in frames:
             rows, size = [], 0
-            for uid, text, edges in zip(pdf["uid"], pdf["text"], pdf["edges"]):
+            for uid, text, *edges in zip(*(pdf[x] for x in ("uid", "text", "key", "n", "first", "last", "anchor", "big"))):
                 data = text.encode()
-                for e in edges:
-                    rows.append((e["key"], e["n"], uid, e["lo"], e["anchor"], data[e["lo"]:e["hi"] + span]))
-                    size += len(rows[-1][-1])
+                for key, n, lo, hi, anchor, large in zip(*edges):
+                    if large == big:
+                        rows.append((key, n, uid, lo, anchor, data[lo:hi + span]))
+                        size += len(rows[-1][-1])
                 if size > CHUNK_BYTES:
                     yield pd.DataFrame(rows, columns=cols, dtype=object)
                     rows, size = [], 0
-            yield pd.DataFrame(rows, columns=cols, dtype=object)
+            if rows:
+                yield pd.DataFrame(rows, columns=cols, dtype=object)
     return run
 
 
@@ -377,13 +380,15 @@ def _cut(span: int, with_bytes: bool):
         cols = [x.split()[0] for x in KEPT.split(", ")]
         for pdf in frames:
             rows = []
-            for uid, text, whole, ends in zip(pdf["uid"], pdf["text"], pdf["whole"], pdf["ends"]):
+            for uid, text, *starts in zip(*(pdf[x] for x in ("uid", "text", "lo", "hi", "end_lo", "end_hi"))):
+                lo, hi = (np.concatenate([y for y in x if y is not None]) for x in (starts[::2], starts[1::2]))
                 data, spans = text.encode(), []
-                for lo, hi in sorted((s["lo"], s["hi"]) for part in (whole, ends) if part is not None for s in part):
-                    if spans and lo <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], hi + span)
+                for k in np.lexsort((hi, lo)).tolist():
+                    a, b = int(lo[k]), int(hi[k]) + span
+                    if spans and a <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], b)
                     else:
-                        spans.append([lo, hi + span])
+                        spans.append([a, b])
                 keep = hashlib.sha256()
                 parts, at = [], 0
                 for a, b in [*spans, (len(data), len(data))]:
@@ -397,18 +402,24 @@ def _cut(span: int, with_bytes: bool):
     return run
 
 
-def _once(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows with the same uid, which come one after another, the first."""
     last = None
-    for pdf in frames:
-        uid = pdf["uid"].to_numpy()
-        new = np.append(len(uid) > 0 and uid[0] != last, uid[1:] != uid[:-1]) if len(uid) else []
-        last = uid[-1] if len(uid) else last
-        yield pdf[new]
+    for batch in batches:
+        uid = batch.column("uid").to_numpy()
+        if len(uid):
+            yield batch.filter(pa.array(np.append(uid[0] != last, uid[1:] != uid[:-1])))
+            last = uid[-1]
+
+
+#: a text concerned: its runs that repeat in whole, and its edges' columns
+TEXTS = ("uid long, text string, lo array<int>, hi array<int>, key array<long>, n array<long>, "
+         "first array<int>, last array<int>, anchor array<short>, big array<boolean>")
 
 
-TEXTS = ("uid long, text string, whole array<struct<lo:int,hi:int>>, "
-         "edges array<struct<key:bigint,n:bigint,lo:int,hi:int,anchor:smallint,big:boolean>>")
+def _columns(array: str, **fields: str) -> list:
+    """Fields of an array of structs as arrays of their own, which reach Python as numpy arrays."""
+    return [F.col(f"{array}.{f}").alias(name) for name, f in fields.items()]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
@@ -450,25 +461,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = one.join(per_text, "uid").withColumnRenamed("doc_id", "_id").withColumnRenamed("sha", "_sha")
     texts = src.withColumn("sha", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     joined = (texts.join(wanted, (F.col("sha") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-              .select("uid", "text", "whole", "edges").mapInPandas(_once, TEXTS))
+              .select("uid", "text", *_columns("whole", lo="lo", hi="hi"),
+                      *_columns("edges", key="key", n="n", first="lo", last="hi", anchor="anchor", big="big"))
+              .mapInArrow(_once, TEXTS))
     name = f"repeat_texts_{uuid.uuid4().hex[:12]}"
     (joined.write.format("parquet").bucketBy(width, "uid").option("path", scratch_path(spark, name)).saveAsTable(name))
     kept_texts = spark.table(name)
 
-    around = kept_texts.where(F.size("edges") > 0).select("uid", "text", "edges")
-    small = around.withColumn("edges", F.filter("edges", lambda e: ~e["big"])).where(F.size("edges") > 0)
-    big = around.withColumn("edges", F.filter("edges", lambda e: e["big"])).where(F.size("edges") > 0)
-    ends = (small.mapInPandas(_surroundings(span), EDGE).repartition(width, "key").sortWithinPartitions("key")
+    around = kept_texts.where(F.size("key") > 0).drop("lo", "hi")
+    ends = (around.mapInPandas(_surroundings(span, False), EDGE).repartition(width, "key").sortWithinPartitions("key")
             .mapInPandas(_sorted_anchors(span), STARTS))
     if not several.where("big").isEmpty():
-        windows = materialize(big.mapInPandas(_surroundings(span), EDGE).mapInPandas(_window_hashes(span), WINDOWS), "windows")
+        windows = materialize(around.mapInPandas(_surroundings(span, True), EDGE).mapInPandas(_window_hashes(span), WINDOWS), "windows")
         n = windows.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
         replies = census(windows, max(width, -(-n // RANGE_HASHES)), exact=True)
         ends = ends.unionByName(windows.groupBy("batch").cogroup(replies.groupBy("batch"))
                                 .applyInPandas(_counted_windows, STARTS))
-    ends = ends.groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("ends"))
-    cut = (kept_texts.select("uid", "text", "whole").join(ends, "uid", "left")
-           .select("uid", "text", "whole", "ends").mapInPandas(_cut(span, with_bytes), KEPT))
+    ends = (ends.groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("ends"))
+            .select("uid", *_columns("ends", end_lo="lo", end_hi="hi")))
+    cut = (kept_texts.select("uid", "text", "lo", "hi").join(ends, "uid", "left")
+           .select("uid", "text", "lo", "hi", "end_lo", "end_hi").mapInPandas(_cut(span, with_bytes), KEPT))
     cut = cut.where("n_removed > 0").withColumnRenamed("uid", "_uid")
 
     own = one.join(cut, F.col("uid") == F.col("_uid")).select(

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pyarrow.parquet as pq
@@ -52,6 +53,56 @@ def test_against_brute_force(spark):
     assert run(docs) == [(i, *brute(t)) for i, t in enumerate(TEXTS)]
 
 
+def made_by(pattern, rnd):
+    """A text that the pattern matches, its branches and repeats chosen at random."""
+    def make(tree):
+        return "".join(part(op, arg) for op, arg in tree)
+
+    def part(op, arg):
+        op = str(op)
+        if op == "LITERAL":
+            return chr(arg)
+        if op == "ANY":
+            return "x"
+        if op == "IN":
+            kind, value = rnd.choice(arg)
+            return {"LITERAL": lambda: chr(value), "RANGE": lambda: chr(rnd.randint(*value)) if str(kind) == "RANGE" else "",
+                    "CATEGORY": lambda: rnd.choice([" ", "\n", "  ", "\r\n\t"]) if "SPACE" in str(value) else "7"}[str(kind)]()
+        if op == "MAX_REPEAT":
+            lo, hi, tree = arg
+            return "".join(make(tree) for _ in range(rnd.randint(lo, min(hi, lo + 1))))
+        if op == "SUBPATTERN":
+            return make(arg[3])
+        if op == "BRANCH":
+            return make(rnd.choice(arg[1]))
+        assert op in ("AT", "ASSERT", "ASSERT_NOT"), op
+        return ""
+    return make(re._parser.parse(pattern, re.ASCII))
+
+
+def test_every_match_holds_the_keywords():
+    rnd = random.Random(4)
+    for label, kind, keyword, second, pattern in lic.rules():
+        for _ in range(40):
+            flat = re.sub(r"\s+", " ", made_by(pattern, rnd), flags=re.ASCII)
+            assert keyword in flat and second in flat, (label, kind, flat)
+
+
+WRAPPED = ["under the GNU General\nPublic License, version 3", "GNU General  Public\tLicense", "GNU Lesser\r\n General Public License 2.1",
+           "Permission is\nhereby granted, free of charge, to any person obtaining a copy", "Redistribution and\n * use",
+           "Redistribution\n and  use in source and binary forms", "You should have\nreceived a copy of the GNU General Public License",
+           "Creative\nCommons Attribution 4.0", "no\x0battribution MIT\fNo\n\nAttribution", "Licence Ouverte", "licence\nouverte",
+           "Do What The F*ck You Want To Public License", "do what\nthe fork you want to public licence", "CreativeML Open RAIL-M",
+           "open\nrail", "OpenRAIL++ license", "Unauthorised copying of this file", "all rights\nreserved", "open \u00a0rail"]
+
+
+def test_wrapped_texts_and_branches(spark):
+    docs = spark.createDataFrame(list(enumerate(WRAPPED)), "doc_id long, text string")
+    got = run(docs)
+    assert got == [(i, *brute(t)) for i, t in enumerate(WRAPPED)]
+    assert [r[6] for r in got[9:17]] == ["etalab-2.0"] * 2 + ["wtfpl"] * 2 + ["openrail"] * 3 + ["proprietary"]
+
+
 def test_given_table(spark):
     path = "/root/testdata/sf0.001/documents.parquet"
     want = sorted((i, *brute(t)) for i, t in zip(*pq.read_table(path).select(["doc_id", "text"]).to_pydict().values()))

@@ -1,8 +1,9 @@
 """License scan by ordered signature rules, in DataFrame functions only.
 
-Each rule is a hand-written pattern with a label, a kind and a keyword.  A
-text is searched by a rule only when it holds the rule's keyword, so most
-texts cost one look for a dozen words.  Overlapping detections are resolved
+Each rule is a hand-written pattern with a label, a kind and a keyword that
+all its matches hold.  A text is searched by a rule only when it holds the
+rule's keyword (runs of white space count as one space there), so most texts
+cost one look for a dozen words.  Overlapping detections are resolved
 by order: a detection is suppressed when it lies within one of a kind that
 ranks at least as high (``KINDS``, best first), the longer one winning among
 equals.
@@ -83,7 +84,8 @@ FAMILIES: list[tuple[str, str, str, str, str]] = [
     ("bsl-1.0", "boost", r"bsl-1\.0", r"boost\s+software\s+licen[cs]e(?:" + _V + r"1(?:\.0)?)?", r"boost\.org/license_1_0"),
     ("busl-1.1", "business source", r"busl-1\.1", r"business\s+source\s+licen[cs]e(?:" + _V + r"1\.1)?", r"mariadb\.com/bsl11"),
     ("unlicense", "unlicense", r"unlicense", r"(?:the\s+)?unlicense\b", r"unlicense\.org"),
-    ("wtfpl", "wtfpl", r"wtfpl", r"wtfpl\b|do\s+what\s+the\s+f[a-z*]+\s+you\s+want\s+to\s+public\s+licen[cs]e", r"wtfpl\.net"),
+    ("wtfpl", "wtfpl", r"wtfpl", r"wtfpl\b", r"wtfpl\.net"),
+    ("wtfpl", "do what the f", "", r"do\s+what\s+the\s+f[a-z*]+\s+you\s+want\s+to\s+public\s+licen[cs]e", ""),
     ("cc0-1.0", "cc0", r"cc0-1\.0", r"cc0(?:\s+1\.0)?(?:\s+universal)?", r"creativecommons\.org/publicdomain/zero/1\.0"),
     ("odc-by-1.0", "open data commons", r"odc-by-1\.0", r"open\s+data\s+commons\s+attribution\s+licen[cs]e", r"opendatacommons\.org/licenses/by"),
     ("odbl-1.0", "open database", r"odbl-1\.0", r"open\s+database\s+licen[cs]e", r"opendatacommons\.org/licenses/odbl"),
@@ -105,8 +107,10 @@ FAMILIES: list[tuple[str, str, str, str, str]] = [
     ("elastic-2.0", "elastic", r"elastic-2\.0", r"elastic\s+licen[cs]e" + _V + r"2(?:\.0)?", r"elastic\.co/licensing/elastic-license"),
     ("blueoak-1.0.0", "blue oak", r"blueoak-1\.0\.0", r"blue\s+oak\s+model\s+licen[cs]e", r"blueoakcouncil\.org/license"),
     ("cecill-2.1", "cecill", r"cecill-2\.1", r"cecill(?:-[bc])?(?:\s+free\s+software)?\s+licen[cs]e", r"cecill\.info/licences"),
-    ("openrail", "openrail", r"openrail", r"(?:creativeml\s+)?open\s*rail(?:\+\+)?(?:-m)?(?:\s+licen[cs]e)?", ""),
-    ("etalab-2.0", "etalab", r"etalab-2\.0", r"(?:etalab\s+open\s+licen[cs]e|licence\s+ouverte)", r"etalab\.gouv\.fr"),
+    ("openrail", "openrail", r"openrail", r"(?:creativeml\s+)?openrail(?:\+\+)?(?:-m)?(?:\s+licen[cs]e)?", ""),
+    ("openrail", "open rail", "", r"(?:creativeml\s+)?open\s+rail(?:\+\+)?(?:-m)?(?:\s+licen[cs]e)?", ""),
+    ("etalab-2.0", "etalab", r"etalab-2\.0", r"etalab\s+open\s+licen[cs]e", r"etalab\.gouv\.fr"),
+    ("etalab-2.0", "licence ouverte", "", r"licence\s+ouverte", ""),
 ]
 
 #: the attribution licenses share one form: parts in the name and in the address
@@ -141,7 +145,8 @@ TEXTS: list[tuple[str, str, str]] = [
     ("ofl-1.1", "reserved font name", r"with\s+reserved\s+font\s+names?"),
     ("all-rights-reserved", "all rights reserved", r"all\s+rights\s+reserved"),
     ("proprietary", "proprietary and confidential", r"proprietary\s+and\s+confidential"),
-    ("proprietary", "unauthorized copying", r"unauthori[sz]ed\s+copying\s+of\s+this\s+file"),
+    ("proprietary", "unauthorized copying", r"unauthorized\s+copying\s+of\s+this\s+file"),
+    ("proprietary", "unauthorised copying", r"unauthorised\s+copying\s+of\s+this\s+file"),
 ]
 
 _UNDER = (r"(?:licen[cs]ed|released|distributed|published|provided|(?:made\s+)?available|covered)\s+(?:under|by)\s+"
@@ -150,12 +155,13 @@ _UNDER = (r"(?:licen[cs]ed|released|distributed|published|provided|(?:made\s+)?a
 
 def _always_says_license(name: str) -> bool:
     rest = re.sub(r"\(\?:[^()]*licen\[cs\]e[^()]*\)\?", "", name)
-    return "licen[cs]e" in rest and "|do" not in rest
+    return "licen[cs]e" in rest
 
 
 def rules() -> list[tuple[str, str, str, str, str]]:
     """Every rule as (label, kind, keyword, second keyword or "", pattern);
-    patterns and keywords are for lower-cased text."""
+    patterns and keywords are for lower-cased text.  Every match of a pattern
+    holds both keywords once its white space is folded to single spaces."""
     out = [(label, "text", kw, "", pattern) for label, kw, pattern in TEXTS]
     named = list(FAMILIES)
     for part, words in CC.items():
@@ -182,6 +188,8 @@ def _literal(table: list[tuple[str, str, str, str, str]]) -> Column:
                      for i, (_, _, k, k2, p) in enumerate(table)))
 
 
+#: white space that folding changes
+_NOT_ONE_SPACE = r"[\t-\r]\s*| \s+"
 _A_Z, _a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -207,14 +215,16 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = text_of(text_col)
     words = sorted({k2 or k for _, _, k, k2, _ in table} | {"license"})
     # a keyword that contains another one adds nothing to the gate
-    low, hit = F.lower(F.col("text")), F.lit(False)
+    hit = F.lit(False)
     for w in words:
         if not any(o != w and o in w for o in words):
-            hit = hit | low.contains(w)
+            hit = hit | F.col("flat").contains(w)
     rows = (docs.select(c(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("uid"),
                         text.alias("text"))
             .withColumn("n_words", F.size(F.regexp_extract_all("text", F.lit(WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")), F.lit(0))).cast("long"))
-            .withColumn("low", F.when(hit, F.translate("text", _A_Z, _a_z))))
+            .withColumn("flat", F.regexp_replace(F.lower("text"), _NOT_ONE_SPACE, " "))
+            .withColumn("flat", F.when(hit, F.col("flat")))
+            .withColumn("low", F.when(F.col("flat").isNotNull(), F.translate("text", _A_Z, _a_z))))
     rows = rows.withColumn("words", F.when(F.col("low").contains("license"),
                                            F.regexp_extract_all("low", F.lit(WORD), F.lit(0))))
     rows = rows.withColumn("places", F.when(F.col("words").isNotNull(),
@@ -228,7 +238,7 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.length(h).alias("size"), F.length(g).alias("gap"), h.alias("matched"))))
         return F.struct(r["rule"].alias("rule"), F.when(F.regexp_like(F.col("low"), r["pattern"]),
                                                         F.filter(at, lambda x: x.isNotNull())).alias("at"))
-    keyed = F.filter(_literal(table), lambda r: F.col("low").contains(r["keyword"]) & F.col("low").contains(r["second"]))
+    keyed = F.filter(_literal(table), lambda r: F.col("flat").contains(r["keyword"]) & F.col("flat").contains(r["second"]))
     rows = rows.withColumn("hits", F.filter(F.transform(keyed, found), lambda h: h["at"].isNotNull()))
     scanned = materialize(rows.select("doc_id", "uid", "n_words", "places", "hits"), "license_scan")
 

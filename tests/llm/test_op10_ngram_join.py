@@ -132,3 +132,46 @@ def test_large_group_of_near_copies_is_connected_and_nothing_else():
                 up[root(a)] = root(b)
     want = [root(k) for k in range(700)]
     assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
+
+
+def test_groups_not_connected_to_the_hub_give_few_links(spark):
+    """Two groups of near copies in one split block, and an aggregator of large weight that links with nothing."""
+    rnd, sets = random.Random(11), []
+    for g in range(2):
+        base = [rnd.randrange(1 << 60) for _ in range(60)]
+        for _ in range(300 - 150 * g):
+            own = list(base)
+            for x in rnd.sample(range(60), rnd.randrange(0, 6)):
+                own[x] = rnd.randrange(1 << 60)
+            sets.append(sorted(own))
+        sets.append(base[:40] + [rnd.randrange(1 << 60) for _ in range(30)])
+    sets.append(sorted(x for s in sets[::50] for x in s[:30]))
+    count = {}
+    for s in sets:
+        for x in set(s):
+            count[x] = count.get(x, 0) + 1
+    sets = [sorted(set(s)) for s in sets]
+    near = spark.createDataFrame([(k, len(s), s, sum(count[x] for x in s)) for k, s in enumerate(sets)],
+                                 "node long, n int, shingles array<long>, weight long")
+    blocks = spark.createDataFrame([(k, 0) for k in range(len(sets))], "node long, block long")
+    links = [tuple(r) for r in nj.search_blocks(near, blocks, bound=7000).collect()]
+    assert len(links) < 3 * len(sets)
+    linked = [[100 * len(set(a) & set(b)) >= 75 * len(set(a) | set(b)) for b in sets] for a in sets]
+    assert all(linked[u][v] for u, v in links)
+
+    def trees(pairs):
+        forest = nj._Forest(len(sets))
+        for u, v in pairs:
+            forest.join(u, v)
+        return [forest.root(k) for k in range(len(sets))]
+    assert trees(links) == trees((a, b) for a in range(len(sets)) for b in range(a) if linked[a][b])
+
+
+def test_tile_with_a_large_tree_links_it_once():
+    rnd = np.random.default_rng(2)
+    base = rnd.integers(0, 1 << 60, 60).astype(np.uint64)
+    sets = [np.unique(np.where(rnd.random(60) < .05, rnd.integers(0, 1 << 60, 60).astype(np.uint64), base)) for _ in range(400)]
+    tile = nj._Tile([(7, k, s) for k, s in enumerate(sets[:300])] + [(8, 300, np.arange(5, dtype=np.uint64))])
+    links = [link for k, s in enumerate(sets[300:], 301) for link in tile.links(9, k, s)]
+    assert len(links) == 1 and tile.links(8, 900, np.arange(5, dtype=np.uint64)) == []
+    assert tile.links(10, 901, np.arange(5, dtype=np.uint64)) == [(901, 300)]

@@ -20,7 +20,10 @@ shares at least T = ceil(0.75 n) of them.
    overlap is a link.  A class is not searched for once all its block is
    connected.  A block beyond ``BLOCK_SHINGLES`` is split: each part searches
    itself and the block's hub, then the classes not connected to the hub
-   search every part, so no pair that could matter is left out.
+   search every other part, so no pair that could matter is left out.  That
+   second search is dealt over tiles of one part and one slice of these
+   classes; a tile streams the slice past the part's index and skips the
+   trees that a class is connected to already.
 
 Bounds hold per task (a batch of texts, a hash range, a part of a block);
 counts are pre-aggregated by batch, so a shingle or a text that a third of
@@ -196,23 +199,15 @@ class _Forest:
 HUB, MEMBER, QUERY = 0, 1, 2
 
 
-def _search_part(nodes: list[int], sets: list[np.ndarray], roles: list[int]) -> tuple[list[tuple[int, int]], list[int]]:
-    """Links that connect one part of a block, and its nodes not connected to the hub.
+def _search_part(nodes: list[int], sets: list[np.ndarray], roles: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Links that connect one part of a block, and its nodes not connected to
+    the hub, each with the node that stands for its tree.
 
-    Sets with the role ``QUERY`` come from other parts: they search the
-    members.  Otherwise the hub goes first (the given one, or the set whose
-    lists are longest), then every set still outside the hub's tree.
+    The hub goes first (the given one, or the set whose lists are longest),
+    then every set still outside the hub's tree.
     """
-    inside = [k for k, r in enumerate(roles) if r != QUERY]
-    asking = [k for k, r in enumerate(roles) if r == QUERY]
     links: list[tuple[int, int]] = []
-    if not inside:
-        return links, []
-    lists = Lists([sets[k] for k in inside])
-    if asking:
-        for q in asking:
-            links += [(nodes[q], nodes[inside[x]]) for x in lists.search(sets[q])]
-        return links, []
+    lists = Lists(sets)
     forest = _Forest(len(nodes))
     hub = next((k for k, r in enumerate(roles) if r == HUB), None)
     if hub is None:
@@ -236,29 +231,105 @@ def _search_part(nodes: list[int], sets: list[np.ndarray], roles: list[int]) ->
             if len(tree) > 4 * TRIED:
                 some = tree[::len(tree) // TRIED]
                 few = Lists([sets[k] for k in some])
-    return links, [nodes[k] for k in range(len(nodes)) if forest.root(k) != forest.root(hub)]
-
-
-LINKS = "u long, v long, block long"
+    return links, [(nodes[k], nodes[forest.root(k)]) for k in range(len(nodes)) if forest.root(k) != forest.root(hub)]
+
+
+class _Tile:
+    """One part of a block, searched by classes of other parts."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
+        """``members`` are (tree, node, set); large trees get lists of their own."""
+        self.number: dict[int, int] = {}
+        self.forest = _Forest(0)
+        trees: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+        for m in members:
+            trees.setdefault(m[0], []).append(m)
+        large = [ms for ms in trees.values() if len(ms) > 4 * TRIED]
+        small = [m for ms in trees.values() if len(ms) <= 4 * TRIED for m in ms]
+        # a few of a large tree's sets often have the link; only without one are all searched
+        self.large = [(ms[0][0], [self._lists(ms[::len(ms) // TRIED]), self._lists(ms)]) for ms in large]
+        self.small = self._lists(small) if small else None
+
+    @staticmethod
+    def _lists(members):
+        return members, Lists([m[2] for m in members])
+
+    def _place(self, tree: int) -> int:
+        at = self.number.setdefault(tree, len(self.number))
+        if at == len(self.forest.up):
+            self.forest.up.append(at)
+        return at
+
+    def links(self, tree: int, node: int, query: np.ndarray) -> list[tuple[int, int]]:
+        """One link to each tree that the query's tree is not connected to yet."""
+        own, out = self._place(tree), []
+        for other, tries in self.large:
+            other = self._place(other)
+            for members, lists in tries:
+                if self.forest.root(own) == self.forest.root(other):
+                    break
+                for x in lists.search(query)[:1]:
+                    self.forest.join(own, other)
+                    out.append((node, members[x][1]))
+        if self.small:
+            members, lists = self.small
+            for x in lists.search(query):
+                if self.forest.join(own, self._place(members[x][0])):
+                    out.append((node, members[x][1]))
+        return out
+
+
+LINKS = "u long, v long, block long, tree long"
+
+
+def _set_of(shingles) -> np.ndarray:
+    return np.sort(np.asarray(shingles, dtype=np.int64).view(np.uint64))
+
+
+def _frames(rows: Iterable[tuple]) -> Iterator[pd.DataFrame]:
+    out: list[tuple] = []
+    for row in rows:
+        out.append(row)
+        if len(out) > 10_000:
+            yield pd.DataFrame(out, columns=["u", "v", "block", "tree"], dtype=object)
+            out = []
+    if out:
+        yield pd.DataFrame(out, columns=["u", "v", "block", "tree"], dtype=object)
 
 
 def _search_parts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Search each (block, part) of a partition sorted by them; rows with a
-    null ``v`` name nodes not connected to their block's hub."""
+    null ``v`` name nodes not connected to their block's hub, with their tree."""
     def rows():
         for pdf in batches:
             yield from zip(pdf["block"], pdf["part"], pdf["role"], pdf["node"], pdf["shingles"])
-    out: list[tuple] = []
-    for (block, _), group in groupby(rows(), key=lambda r: r[:2]):
-        group = list(group)
-        links, apart = _search_part([r[3] for r in group], [np.sort(np.asarray(r[4], dtype=np.int64).view(np.uint64)) for r in group],
-                                    [r[2] for r in group])
-        out += [(u, v, block) for u, v in links] + [(u, None, block) for u in apart]
-        if len(out) > 10_000:
-            yield pd.DataFrame(out, columns=["u", "v", "block"], dtype=object)
-            out = []
-    if out:
-        yield pd.DataFrame(out, columns=["u", "v", "block"], dtype=object)
+
+    def found():
+        for (block, _), group in groupby(rows(), key=lambda r: r[:2]):
+            group = list(group)
+            links, apart = _search_part([r[3] for r in group], [_set_of(r[4]) for r in group], [r[2] for r in group])
+            yield from ((u, v, block, None) for u, v in links)
+            yield from ((u, None, block, tree) for u, tree in apart)
+    return _frames(found())
+
+
+def _search_tiles(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of each (block, part, slice) of a partition sorted by them, the
+    part's members before the queries, which are not gathered."""
+    def rows():
+        for pdf in batches:
+            yield from zip(pdf["block"], pdf["part"], pdf["slice"], pdf["role"], pdf["tree"], pdf["node"], pdf["shingles"])
+
+    def found():
+        for (block, _, _), group in groupby(rows(), key=lambda r: r[:3]):
+            members, tile = [], None
+            for *_, role, tree, node, shingles in group:
+                if role == MEMBER:
+                    members.append((tree, node, _set_of(shingles)))
+                    continue
+                tile = tile or _Tile(members)
+                yield from ((u, v, block, None) for u, v in tile.links(tree, node, _set_of(shingles)))
+    return _frames(found())
 
 
 def _search(rows: DataFrame) -> DataFrame:
@@ -273,10 +344,11 @@ def _part_of(node: str, parts: str):
 
 def search_blocks(near: DataFrame, blocks: DataFrame, bound: int = BLOCK_SHINGLES) -> DataFrame:
     """Connecting links ``(u, v)`` of the classes ``near(node, n, shingles, weight)``
-    under ``blocks(node, block)``."""
+    under ``blocks(node, block)``.  The hub of a split block is the class whose
+    shingles are the most frequent on average."""
     sized = near.join(blocks, "node")
     split = materialize(
-        sized.groupBy("block").agg(F.sum("n").alias("total"), F.max(F.struct("weight", "node")).alias("top"))
+        sized.groupBy("block").agg(F.sum("n").alias("total"), F.max(F.struct(F.col("weight") / F.col("n"), "node")).alias("top"))
         .where(F.col("total") > bound)
         .select("block", F.ceil(F.col("total") / bound).alias("parts"), F.col("top.node").alias("hub")), "split_blocks")
     members = (sized.join(split, "block", "left")
@@ -290,12 +362,20 @@ def search_blocks(near: DataFrame, blocks: DataFrame, bound: int = BLOCK_SHINGLE
             .select("block", "parts", "node", "shingles", every.alias("part"), F.lit(HUB).alias("role")))
     first = members.where(F.col("hub").isNull() | (F.col("hub") != F.col("node")))
     found = materialize(_search(first.select(cols).unionByName(hubs.select(cols))), "links")
-    apart = found.where("v IS NULL").join(split, "block").select("block", "parts", F.col("u").alias("node"))
-    queries = (near.join(apart.distinct(), "node")
-               .select("block", "node", "shingles", every.alias("part"), F.lit(QUERY).alias("role")))
-    inside = members.where("hub IS NOT NULL").join(apart.select("block").distinct(), "block", "left_semi")
-    more = _search(inside.select(cols).unionByName(queries.select(cols)))
-    return found.where("v IS NOT NULL").select("u", "v").unionByName(more.where("u <> v").select("u", "v"))
+    apart = found.where("v IS NULL").select(F.col("u").alias("node"), "tree")
+    inside = (members.where("hub IS NOT NULL").join(apart, "node", "left").withColumn("apart", F.col("tree").isNotNull())
+              .withColumn("tree", F.coalesce("tree", "hub")))
+    slices = materialize(inside.where("apart").groupBy("block").agg(F.ceil(F.sum("n") / bound).cast("int").alias("slices")), "slices")
+    inside = inside.join(slices, "block")
+    cols = ["block", "part", "slice", "role", "tree", "node", "shingles"]
+    copies = inside.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    # its own part each class has searched
+    queries = (inside.where("apart").withColumn("slice", F.pmod(F.xxhash64("node", F.lit(1)), F.col("slices")).cast("int"))
+               .withColumn("role", F.lit(QUERY)).withColumnRenamed("part", "own").withColumn("part", every).where("part <> own"))
+    more = (copies.select(cols).unionByName(queries.select(cols))
+            .repartition(shuffle_width(near.sparkSession), "block", "part", "slice")
+            .sortWithinPartitions("block", "part", "slice", "role", "tree", "node").mapInPandas(_search_tiles, LINKS))
+    return found.where("v IS NOT NULL").select("u", "v").unionByName(more.select("u", "v"))
 
 
 def _ranges(sets: DataFrame, column: str) -> int:

@@ -29,6 +29,7 @@ from tidemark.streaming.windows import windowed_counts
 TOTALS_SCHEMA = "entity string, rows bigint, batch_id bigint"
 QUARANTINE_SCHEMA = "topic string, raw string, reason string"
 RAW_SCHEMA = "entity string, raw string, consumed_at string, batch_id bigint"
+IDS_SCHEMA = "event_id string, event_day string, batch_id bigint"
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -148,10 +149,34 @@ def run_number(spark: SparkSession, checkpoint: str) -> int:
     return zlib.crc32(json.loads(text)["id"].encode())
 
 
-def bronze_batch_writer(root: str, checkpoint: str):
+#: the ids' folder of events whose time does not parse
+NO_DAY = "none"
+
+
+def _first_time(decoded: DataFrame, landed: DataFrame, delay: str) -> DataFrame:
+    """The events of a micro-batch, with their ``event_day``, that are not among
+    the ``landed`` ids of the days within ``delay`` of them; one row per id."""
+    at = F.col("timestamp").try_cast("timestamp")
+    once = (decoded.groupBy("event_id").agg(F.min(F.struct(*decoded.columns)).alias("e")).select("e.*")
+            .withColumn("event_day", F.coalesce(at.cast("date").cast("string"), F.lit(NO_DAY))))
+    step = F.expr(f"INTERVAL '{delay}'")
+    days = F.coalesce(F.sequence((at - step).cast("date"), (at + step).cast("date")).cast("array<string>"), F.array(F.lit(NO_DAY)))
+    near = once.select("event_id", F.explode(days).alias("event_day"))
+    # calendar days, not rows, reach the driver: only their folders are read
+    named = [r["event_day"] for r in near.select("event_day").distinct().collect()]
+    again = near.join(landed.where(F.col("event_day").isin(named)), ["event_id", "event_day"], "left_semi").select("event_id")
+    return once.join(again, "event_id", "left_anti")
+
+
+def bronze_batch_writer(root: str, checkpoint: str, dedup: str | None = None):
     """``foreachBatch`` body: land the messages as raw JSONL (``_raw``), then
     normalise them to the bronze shape, each entity partitioned by ingest
-    date, with per-entity totals beside them (``_totals``).
+    date, with per-entity totals of the rows beside them (``_totals``).
+
+    With ``dedup`` (a delay) an event is left out of the entities when this
+    query has landed its ``event_id`` on an event day within the delay; a late
+    event that comes for the first time is landed, however late.  The landed
+    ids are kept by event day (``_ids``), so a batch reads only its own days.
 
     foreachBatch is at-least-once; a replayed batch rewrites exactly the
     partitions of its ``batch_id`` (dynamic overwrite).  That id is negative
@@ -175,10 +200,19 @@ def bronze_batch_writer(root: str, checkpoint: str):
         decoded = decode_events(landed.select(
             F.col("raw").alias("value"), F.concat(F.lit(TOPIC_PREFIX), "entity").alias("topic"),
             F.col("consumed_at").cast("timestamp_ntz").alias("consumed_at")), keep=("consumed_at",))
+        if dedup:
+            # this query's earlier batches: a replay must not meet its own ids
+            run = run_number(spark, checkpoint)
+            earlier = (read_or_empty(spark, f"{root}/_ids", IDS_SCHEMA)
+                       .where(F.col("batch_id").between(tag + 1, F.lit(-(run * (1 << 31) + 1)))))
+            first, path = _first_time(decoded, earlier, dedup), f"{root}/_first/{run}"
+            first.write.mode("overwrite").parquet(path)  # one micro-batch at a time
+            decoded = spark.read.schema(first.schema).parquet(path)
+            put(decoded.select("event_id", "event_day", tag).hint("rebalance", "event_day"), "_ids", "parquet", "event_day", "batch_id")
         for e in ENTITIES:
             rows = to_bronze(decoded, e, consumed_at=F.col("consumed_at"))
             put(rows.select("*", tag).hint("rebalance", *PARTITIONS), e, "parquet", *PARTITIONS, "batch_id")
-        put(landed.groupBy("entity").agg(F.count(F.lit(1)).alias("rows")).select("*", tag).coalesce(1),
+        put(decoded.groupBy("entity").agg(F.count(F.lit(1)).alias("rows")).select("*", tag).coalesce(1),
             "_totals", "parquet", "batch_id")
     return write
 
@@ -188,14 +222,13 @@ def stream_to_bronze_lake(messages: DataFrame, root: str, checkpoint: str,
     """K4: messages -> bronze entities.  With ``every`` the query keeps
     running (flush per trigger, e.g. "1 second") and is returned; otherwise
     it drains the source and the bronze root is returned.  ``dedup`` (a
-    watermark delay) drops re-sent events before they are written.  Messages
+    delay) leaves re-sent events out of the entities; ``_raw`` has every
+    message.  Late events that come for the first time are landed.  Messages
     that ``stream_quarantine`` takes are left out."""
     decoded = good_messages(decode_events(messages))
-    if dedup:
-        decoded = drop_resent(decoded, dedup).drop("event_time")
     # in a streaming plan this is the micro-batch's time, kept with its offsets
     decoded = decoded.withColumn("consumed_at", F.current_timestamp().cast("timestamp_ntz"))
-    q = _run(decoded.writeStream.foreachBatch(bronze_batch_writer(root, checkpoint))
+    q = _run(decoded.writeStream.foreachBatch(bronze_batch_writer(root, checkpoint, dedup))
              .option("checkpointLocation", checkpoint), every=every)
     return q if every else root
 

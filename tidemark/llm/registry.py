@@ -13,6 +13,9 @@ from tidemark.llm import op1_urls, op2_exact, op3_pii as op3, op6_bpe, op7_decon
 from tidemark.llm import op4_suffix as op4
 from tidemark.llm import op5_toxicity as op5_crf
 from tidemark.llm import op10_ngram_join as op10
+from tidemark.llm import op11_negatives as op11
+from tidemark.llm import op12_trie as op12
+from tidemark.llm import op13_katz as op13
 from tidemark.llm import op9_warc as op9_warc_io
 from tidemark.llm.common import table
 
@@ -155,3 +158,75 @@ FROM d LEFT JOIN kept USING (k)
 """)
 def op4_suffix_dedup(spark, d):
     return op4.remove_repeats(table(spark, d, "documents"))
+
+
+@register("op11_hard_negatives", r"""
+WITH e AS (
+  SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.u AS au, a.vec_id AS aid, b.u AS bu, b.vec_id AS bid, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.u <> b.u),
+p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY au ORDER BY score DESC, bid, bu) <= 5)
+SELECT p.aid AS anchor_id, p.bid AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.au, p.bu ORDER BY s.score DESC, s.bid, s.bu) AS INTEGER) AS rank,
+       s.bid AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.au = s.au AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.au, p.bu ORDER BY s.score DESC, s.bid, s.bu) <= 5
+""")
+def op11_hard_negatives(spark, d):
+    rows = op11.integer_vectors(table(spark, d, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return op11.mine(op11.build_index(rows, F.col("vec_id") % 100 == 0))
+
+
+@register("op12_conversation_trie", r"""
+WITH t AS (
+  SELECT conv_id, size, item, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, item) AS i
+  FROM (SELECT conv_id, turn, length(coalesce(text, '')) AS size,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS item
+        FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS head, xor(list_reduce(
+           list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+                                    lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS own, t.i, t.item, t.size FROM c JOIN t ON t.conv_id = c.head AND t.i <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.i, t.item, t.size FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h),
+s AS (
+  SELECT conv_id, coalesce(len(items), 0) AS n, items, sizes FROM c LEFT JOIN (
+    SELECT conv_id, list(item ORDER BY own, i) AS items, list(size ORDER BY own, i) AS sizes FROM r GROUP BY conv_id) USING (conv_id)),
+p AS (
+  SELECT conv_id, n, d, CASE WHEN d = 0 THEN '' ELSE sha256(array_to_string(items[1:d], '')) END AS k,
+         CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS size
+  FROM (SELECT *, unnest(range(0, n + 1)) AS d FROM s)),
+node AS (
+  SELECT d, k, min(conv_id) AS id, count(*) AS n_convs, (count(*) - 1) * max(size) AS own,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends
+  FROM p GROUP BY d, k),
+up AS (SELECT node.*, p.k AS parent_key FROM node LEFT JOIN p ON p.conv_id = node.id AND p.d = node.d - 1),
+kids AS (SELECT d - 1 AS d, parent_key AS k, count(*) AS n FROM up WHERE d > 0 GROUP BY ALL),
+tree AS (
+  SELECT up.*, coalesce(kids.n, 0) AS n_children, above.id AS parent FROM up LEFT JOIN kids ON kids.d = up.d AND kids.k = up.k
+  LEFT JOIN node above ON above.d = up.d - 1 AND above.k = up.parent_key),
+sums AS (
+  SELECT p.d, p.k, count(*) FILTER (tree.n_children = 0) AS leaves, sum(tree.own) AS saved
+  FROM tree JOIN p ON p.conv_id = tree.id AND p.d <= tree.d GROUP BY p.d, p.k)
+SELECT id AS conv_id, d AS depth, parent AS parent_conv_id, n_convs, n_children, leaves AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM tree JOIN sums USING (d, k)
+""")
+def op12_conversation_trie(spark, d):
+    return op12.prefix_trie(*op12.rebuild(op12.number_turns(table(spark, d, "conversations"))))
+
+
+@register("op13_katz_scores")
+def op13_katz_scores(spark, d):
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return op13.score(table(spark, d, "documents"), held_out)[0]

@@ -236,7 +236,8 @@ def subtree_sums(nodes: DataFrame, paths: DataFrame | None, width: int, local: i
     top = nodes.where("parent IS NULL").select(F.col("conv_id").alias("tc"), F.col("depth").alias("td")).first()
     if top is None:
         return nodes.select("conv_id", "depth", F.col("leaf").alias("leaves"), F.col("own").alias("saved"))
-    state = nodes.withColumn("tc", F.lit(top["tc"])).withColumn("td", F.lit(top["td"]))
+    # written, so that the first round's joins are on columns, not on constants
+    state = materialize(nodes.withColumn("tc", F.lit(top["tc"])).withColumn("td", F.lit(top["td"])), "forest")
     added, ready = [], []
     while True:
         sizes = state.groupBy(*comp).agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("total"))

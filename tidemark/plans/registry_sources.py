@@ -13,6 +13,7 @@ from tidemark.plans.registry import AS_OF, register
 from tidemark.plans.registry_more import report_sql
 from tidemark.session import scratch_path
 from tidemark.sources import adapter, bronze
+from tidemark.operators import sample
 from tidemark.sources.lake import build_lake
 from tidemark.sources.sinks import (
     append_partitioned, publish_layout, published_files, snapshot_replace,
@@ -81,6 +82,33 @@ def q_post_lookup(spark, d):
     return bronze.id_lookup(posts, ["post_id", "post_date"])
 
 
+# ---- S4: bounded samples that merge ------------------------------------------------
+
+_SAMPLE_KEYS = {"likes": "reaction_type", "comments": "sentiment", "posts": "post_type"}
+
+
+def _sampled_sql(entity: str, key: str) -> str:
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in (key, "post_id", "user_id"))
+    return f"""SELECT '{entity}' AS entity, {key} AS key, post_id, user_id, h AS row_hash, n AS rows_seen FROM (
+        SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY h) AS r, count(*) OVER (PARTITION BY {key}) AS n
+        FROM (SELECT *, sha256(concat_ws(chr(31), {text})) AS h FROM l_{entity}))
+      WHERE r <= 50"""
+
+
+@register("bounded_sample", sql(" UNION ALL ".join(_sampled_sql(e, k) for e, k in _SAMPLE_KEYS.items())))
+def q_sample(spark, d):
+    """Fifty rows of every kind, merged from the sketches of the landed batches."""
+    out = None
+    for entity, key in _SAMPLE_KEYS.items():
+        path = scratch_path(spark, f"sample-{entity}")
+        rows = bronze.read_facts(spark, lake(spark, d), entity).select(F.col(key).alias("key"), "post_id", "user_id", "batch_id")
+        for batch in (1, 2, 2):  # a batch that runs again counts once
+            sample.add_batch(rows.where(F.col("batch_id") == batch).drop("batch_id"), path, batch, ["key"], 50)
+        part = sample.read_sample(spark, path, ["key"], 50).select(F.lit(entity).alias("entity"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- S10 --------------------------------------------------------------------
 
 _EXT_POSTS = ", ".join(n for n, _ in bronze.EXTERNAL_POSTS)

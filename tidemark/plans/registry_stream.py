@@ -220,6 +220,17 @@ def q_late(spark, d):
                                             size="10 minutes", slide="10 minutes"))
 
 
+@register("late_events_split", sql("""
+    SELECT entity, event_id, false AS late FROM feed
+    UNION ALL SELECT entity, event_id, true FROM feed
+    WHERE _seq % 20 = 0 AND _seq < (SELECT greatest(1, (max(_seq) - min(_seq) + 4) // 4) FROM feed)"""))
+def q_late_split(spark, d):
+    """Every event of the feed and the late re-sent ones, each in one of the two sinks."""
+    on_time, late = jobs.stream_late_split(_messages(spark, d, replay="late"), scratch_path(spark, "split"), scratch_path(spark, "ckpt"))
+    return (on_time.select("entity", "event_id", F.lit(False).alias("late"))
+            .unionByName(late.select("entity", "event_id", F.lit(True).alias("late"))))
+
+
 @register("stream_dedup", sql("SELECT entity, event_id, post_id, _ts AS event_time FROM feed"))
 def q_stream_dedup(spark, d):
     out = jobs.stream_dedup(_messages(spark, d, replay="dup"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt"))
@@ -253,14 +264,21 @@ def q_stream_totals(spark, d):
 @register("stream_quarantine", sql(f"""
     SELECT 'social.stories' AS topic, value AS raw, 'unknown topic' AS reason
     FROM ({_encode_sql()}) m WHERE value LIKE '%0"}}'
-    UNION ALL SELECT topic, left(value, 30), 'malformed' FROM ({_encode_sql()}) m WHERE value LIKE '%5"}}'"""))
+    UNION ALL SELECT topic, left(value, 30), 'malformed' FROM ({_encode_sql()}) m WHERE value LIKE '%5"}}'
+    UNION ALL SELECT 'posts', value, 'unknown topic' FROM ({_encode_sql()}) m WHERE value LIKE '%3"}}'
+    UNION ALL SELECT topic, regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":"yesterday"'), 'no time'
+    FROM ({_encode_sql()}) m WHERE value LIKE '%7"}}'"""))
 def q_quarantine(spark, d):
-    """Messages of an unknown topic and cut-off ones, added to the feed."""
+    """Messages of an unknown topic, of one without a dot, cut-off ones and some
+    whose time is none, added to the feed."""
     good = EV.encode_events(feed(spark, d))
     stray = good.where(F.col("value").endswith('0"}')).withColumn("topic", F.lit("social.stories"))
     cut = good.where(F.col("value").endswith('5"}')).withColumn("value", F.substring("value", 1, 30))
     path = scratch_path(spark, "feed")
-    good.unionByName(stray).unionByName(cut).write.json(path)
+    dotless = good.where(F.col("value").endswith('3"}')).withColumn("topic", F.lit("posts"))
+    timeless = good.where(F.col("value").endswith('7"}')).withColumn(
+        "value", F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"yesterday"'))
+    good.unionByName(stray).unionByName(cut).unionByName(dotless).unionByName(timeless).write.json(path)
     return jobs.stream_quarantine(jobs.read_messages(spark, path), scratch_path(spark, "sink"), scratch_path(spark, "ckpt"))
 
 

@@ -48,8 +48,13 @@ FIELDS = {
 
 
 def entity_of(topic: Column) -> Column:
-    """``social.posts`` -> ``posts``."""
-    return F.split(topic, r"\.").getItem(1)
+    """``social.posts`` -> ``posts``; null for topics without the prefix."""
+    return F.when(F.startswith(topic, F.lit(TOPIC_PREFIX)), F.substring(topic, len(TOPIC_PREFIX) + 1, 1 << 20))
+
+
+def event_time(text: Column) -> Column:
+    """ISO-8601 text as a plain timestamp; null if it is none."""
+    return text.try_cast("timestamp_ntz")
 
 
 def encode_events(events: DataFrame, entity_col: str = "entity") -> DataFrame:
@@ -70,7 +75,8 @@ def decode_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """bytes/text -> JSON -> columns, entity from the topic suffix.
 
     Malformed JSON yields a row of NULL fields (PERMISSIVE); those rows keep
-    their ``raw`` text so a quarantine sink can pick them up.
+    their ``raw`` text so a quarantine sink can pick them up.  Nothing in a
+    message raises an error, whatever its topic, time or JSON.
     """
     raw = F.col("value").cast("string")
     parsed = F.from_json(raw, EVENT_SCHEMA)
@@ -81,7 +87,8 @@ def decode_events(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def _reason(topic_known: Column) -> Column:
     """Why a decoded message cannot become a bronze row; NULL when it can."""
     return (F.when(~F.coalesce(topic_known, F.lit(False)), "unknown topic")
-            .when(F.col("event_id").isNull() | F.col("timestamp").isNull(), "malformed"))
+            .when(F.col("event_id").isNull() | F.col("timestamp").isNull(), "malformed")
+            .when(event_time(F.col("timestamp")).isNull(), "no time"))
 
 
 def good_messages(decoded: DataFrame) -> DataFrame:
@@ -126,7 +133,7 @@ def to_bronze(decoded: DataFrame, entity: str, consumed_at: Column | None = None
             round_half_away(F.lit(0.0), 4).alias("raw_engagement_score"),
             F.lit(False).alias("is_viral"), F.lit(False).alias("is_deleted"),
             F.lit(False).alias("is_nsfw"), F.lit(None).cast("string").alias("geo_country"),
-            F.col("timestamp").cast("timestamp_ntz").alias("post_date"),
+            event_time(F.col("timestamp")).alias("post_date"),
             ing.alias("ingested_at"), F.lit(source_system).alias("source_system"),
             "event_id", ing.alias("consumed_at"), *_ymd(ing))
     elif entity == "likes":

@@ -22,14 +22,15 @@ from tidemark.functions.tags import lenient_tags
 from tidemark.sources.bronze import read_or_empty
 from tidemark.sources.schemas import PARTITIONS
 from tidemark.streaming.events import (
-    ENTITIES, TOPIC_PREFIX, bad_messages, decode_events, encode_events, good_messages, to_bronze,
+    ENTITIES, TOPIC_PREFIX, bad_messages, decode_events, encode_events, event_time, good_messages, to_bronze,
 )
-from tidemark.streaming.windows import windowed_counts
+from tidemark.streaming.idstore import LandedIds, first_time
+from tidemark.streaming.late import split_late
+from tidemark.streaming.rings import ring_window_counts
 
 TOTALS_SCHEMA = "entity string, rows bigint, batch_id bigint"
 QUARANTINE_SCHEMA = "topic string, raw string, reason string"
-RAW_SCHEMA = "entity string, raw string, consumed_at string, batch_id bigint"
-IDS_SCHEMA = "event_id string, event_day string, batch_id bigint"
+RAW_SCHEMA = "entity string, raw string, consumed_at string"
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -76,7 +77,7 @@ def read_messages(spark: SparkSession, path: str, files_per_trigger: int | None
 def _event_time(df: DataFrame) -> DataFrame:
     # withWatermark needs a zoned TIMESTAMP; ISO text carries no zone, so it
     # is read as UTC wall clock by the session (tidemark sessions pin UTC).
-    return df.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    return df.withColumn("event_time", F.col("timestamp").try_cast("timestamp"))
 
 
 def _run(query_writer, wait: bool = True, every: str | None = None):
@@ -99,9 +100,10 @@ def stream_window_counts(messages: DataFrame, sink: str, checkpoint: str,
                          watermark: str = "10 minutes") -> DataFrame:
     """Windowed counts per key over one entity's events, append mode.
 
-    Late events (older than max event time minus ``watermark``) are dropped;
-    windows are emitted once the watermark passes their end, so the newest
-    still-open windows stay in state until more data arrives.
+    Late events (older than max event time minus ``watermark``) are left out
+    (``late.split_late`` keeps them); windows are sent once the watermark
+    passes their end.  The state is the panes of the windows still open
+    (``rings.PaneRing``).
     """
     dec = _event_time(decode_events(messages))
     ev = dec.where(F.col("entity") == entity)
@@ -109,24 +111,33 @@ def stream_window_counts(messages: DataFrame, sink: str, checkpoint: str,
         ev = ev.select("event_time", F.explode(lenient_tags("hashtags")).alias("hashtag"))
     else:
         ev = ev.select("event_time", key)
-    ev = ev.withWatermark("event_time", watermark)
-    counts = windowed_counts(ev, "event_time", [key], size, slide)
+    counts = ring_window_counts(ev, "event_time", key, size, slide, watermark)
     _run(counts.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", sink))
-    return messages.sparkSession.read.parquet(sink)
+    return messages.sparkSession.read.schema(f"window_start timestamp, window_end timestamp, {key} string, n long").parquet(sink)
+
+
+def stream_late_split(messages: DataFrame, root: str, checkpoint: str, delay: str = "10 minutes") -> tuple[DataFrame, DataFrame]:
+    """T4: the good events on time and the late ones, in two sinks under ``root``."""
+    events = _event_time(good_messages(decode_events(messages))).select("entity", "event_id", "post_id", "event_time", "raw")
+    return split_late(events, root, checkpoint, delay)
 
 
 # ---- T5: dedup by event id ------------------------------------------------
 
-def drop_resent(decoded: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Drop re-sent events: same ``event_id`` within the watermark delay."""
-    return (_event_time(decoded).withWatermark("event_time", watermark)
-            .dropDuplicatesWithinWatermark(["event_id"]))
+def drop_resent(decoded: DataFrame, keep: str = "10 minutes") -> DataFrame:
+    """Drop re-sent events: an ``event_id`` is remembered for ``keep`` after it arrived.
+
+    The state's time is the arrival, not the event time: no event arrives
+    behind it, so one that comes late for the first time passes, however old.
+    """
+    arrived = _event_time(decoded).withColumn("arrived_at", F.current_timestamp())
+    return arrived.withWatermark("arrived_at", keep).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def stream_dedup(messages: DataFrame, sink: str, checkpoint: str, watermark: str = "10 minutes") -> DataFrame:
+def stream_dedup(messages: DataFrame, sink: str, checkpoint: str, keep: str = "10 minutes") -> DataFrame:
     """The decoded events without re-sent ones, as Parquet."""
-    uniq = drop_resent(decode_events(messages), watermark).select("entity", "event_id", "post_id", "event_time")
+    uniq = drop_resent(decode_events(messages), keep).select("entity", "event_id", "post_id", "event_time")
     _run(uniq.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", sink))
     return messages.sparkSession.read.parquet(sink)
@@ -149,25 +160,6 @@ def run_number(spark: SparkSession, checkpoint: str) -> int:
     return zlib.crc32(json.loads(text)["id"].encode())
 
 
-#: the ids' folder of events whose time does not parse
-NO_DAY = "none"
-
-
-def _first_time(decoded: DataFrame, landed: DataFrame, delay: str) -> DataFrame:
-    """The events of a micro-batch, with their ``event_day``, that are not among
-    the ``landed`` ids of the days within ``delay`` of them; one row per id."""
-    at = F.col("timestamp").try_cast("timestamp")
-    once = (decoded.groupBy("event_id").agg(F.min(F.struct(*decoded.columns)).alias("e")).select("e.*")
-            .withColumn("event_day", F.coalesce(at.cast("date").cast("string"), F.lit(NO_DAY))))
-    step = F.expr(f"INTERVAL '{delay}'")
-    days = F.coalesce(F.sequence((at - step).cast("date"), (at + step).cast("date")).cast("array<string>"), F.array(F.lit(NO_DAY)))
-    near = once.select("event_id", F.explode(days).alias("event_day"))
-    # calendar days, not rows, reach the driver: only their folders are read
-    named = [r["event_day"] for r in near.select("event_day").distinct().collect()]
-    again = near.join(landed.where(F.col("event_day").isin(named)), ["event_id", "event_day"], "left_semi").select("event_id")
-    return once.join(again, "event_id", "left_anti")
-
-
 def bronze_batch_writer(root: str, checkpoint: str, dedup: str | None = None):
     """``foreachBatch`` body: land the messages as raw JSONL (``_raw``), then
     normalise them to the bronze shape, each entity partitioned by ingest
@@ -176,7 +168,8 @@ def bronze_batch_writer(root: str, checkpoint: str, dedup: str | None = None):
     With ``dedup`` (a delay) an event is left out of the entities when this
     query has landed its ``event_id`` on an event day within the delay; a late
     event that comes for the first time is landed, however late.  The landed
-    ids are kept by event day (``_ids``), so a batch reads only its own days.
+    ids are kept in few sorted runs (``_ids``, see ``idstore``).  No folder is
+    listed that grows with the number of micro-batches.
 
     foreachBatch is at-least-once; a replayed batch rewrites exactly the
     partitions of its ``batch_id`` (dynamic overwrite).  That id is negative
@@ -192,23 +185,22 @@ def bronze_batch_writer(root: str, checkpoint: str, dedup: str | None = None):
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        tag = F.lit(-(run_number(spark, checkpoint) * (1 << 31) + number + 1)).cast("long").alias("batch_id")
+        number_of = -(run_number(spark, checkpoint) * (1 << 31) + number + 1)
+        tag = F.lit(number_of).cast("long").alias("batch_id")
         put(batch.select("entity", "raw", F.col("consumed_at").cast("string").alias("consumed_at"), tag),
             "_raw", "json", "batch_id")
-        landed = (spark.read.schema(RAW_SCHEMA).option("basePath", f"{root}/_raw").json(f"{root}/_raw")
-                  .where(F.col("batch_id") == tag))
+        landed = spark.read.schema(RAW_SCHEMA).json(f"{root}/_raw/batch_id={number_of}")
         decoded = decode_events(landed.select(
             F.col("raw").alias("value"), F.concat(F.lit(TOPIC_PREFIX), "entity").alias("topic"),
             F.col("consumed_at").cast("timestamp_ntz").alias("consumed_at")), keep=("consumed_at",))
         if dedup:
             # this query's earlier batches: a replay must not meet its own ids
             run = run_number(spark, checkpoint)
-            earlier = (read_or_empty(spark, f"{root}/_ids", IDS_SCHEMA)
-                       .where(F.col("batch_id").between(tag + 1, F.lit(-(run * (1 << 31) + 1)))))
-            first, path = _first_time(decoded, earlier, dedup), f"{root}/_first/{run}"
+            ids = LandedIds(spark, f"{root}/_ids/{run}")
+            first, path = first_time(decoded, ids.before(number), dedup, event_time), f"{root}/_first/{run}"
             first.write.mode("overwrite").parquet(path)  # one micro-batch at a time
             decoded = spark.read.schema(first.schema).parquet(path)
-            put(decoded.select("event_id", "event_day", tag).hint("rebalance", "event_day"), "_ids", "parquet", "event_day", "batch_id")
+            ids.add(decoded, number)
         for e in ENTITIES:
             rows = to_bronze(decoded, e, consumed_at=F.col("consumed_at"))
             put(rows.select("*", tag).hint("rebalance", *PARTITIONS), e, "parquet", *PARTITIONS, "batch_id")

@@ -54,6 +54,8 @@ SPAN, GRAM = 400, 32
 UNIT = 1 << 18
 #: texts of a batch, bytes sorted together, bytes of an anchor's classes in one task
 BATCH_BYTES, CHUNK_BYTES, GROUP_BYTES = 8 << 20, 2 << 20, 2 << 20
+#: runs that one range counts, about; texts of a bucket
+RUNS_COUNTED, BUCKET_BYTES = 500_000, 16 << 20
 _PLACE = np.uint64(UNIT - 1)
 
 
@@ -133,7 +135,7 @@ def _runs(span: int, gram: int):
                     "doc_id": [[None if pd.isna(x) else int(x) for x in own["doc_id"]]],
                     "sha": [[hashlib.sha256(t).digest() for t in texts]], "n_bytes": [[len(t) for t in texts]],
                     "sizes": [np.bincount(doc.astype(np.int64), minlength=len(texts)).astype(np.int32)],
-                    "hashes": [key.tobytes()], "lo": [lo.astype(np.int32).tobytes()], "hi": [hi.astype(np.int32).tobytes()],
+                    "hashes": [mix(key).tobytes()], "lo": [lo.astype(np.int32).tobytes()], "hi": [hi.astype(np.int32).tobytes()],
                     "anchor": [anchor.astype(np.int16).tobytes()], "span": [whole.tobytes()]})
     return run
 
@@ -145,7 +147,7 @@ def _shared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """The runs of a batch whose anchor hash occurs again."""
     out = []
     for row in left.itertuples():
-        key, df = totals(row.hashes, right)
+        key, df = totals(row.hashes, right)  # mixed, a bijection: as good a name
         own = df > 1
         col = lambda data, kind: np.frombuffer(data, dtype=kind)[own]
         out.append(pd.DataFrame({
@@ -434,20 +436,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = docs.select(c(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     runs = materialize(src.withColumn("uid", F.monotonically_increasing_id()).mapInPandas(_runs(span, gram), RUNS), "runs")
     members = runs.select(F.explode(F.arrays_zip("uid", "doc_id", "sha", "n_bytes")).alias("m")).select("m.*")
-    n_runs = runs.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    counted = census(runs, max(width, -(-n_runs // RANGE_HASHES)))
+    total = lambda x: F.coalesce(F.sum(F.aggregate(x, F.lit(0).cast("long"), lambda a, y: a + y)), F.lit(0))
+    n_runs, n_bytes = runs.select(total("sizes"), total("n_bytes")).first()
+    # as many tasks as the texts ask for, whatever the number of shuffle partitions
+    width = min(width, -(-n_bytes // BUCKET_BYTES) or 1)
+    counted = census(runs, -(-n_runs // RUNS_COUNTED) or 1)
     shared = materialize(
         runs.select("batch", "uid", "sizes", "hashes", "lo", "hi", "anchor", "span").groupBy("batch")
-        .cogroup(counted.groupBy("batch")).applyInPandas(_shared, SHARED), "shared_runs")
+        .cogroup(counted.groupBy("batch")).applyInPandas(_shared, SHARED).coalesce(width), "shared_runs")
 
     # classes of equal runs; anchors whose classes differ
     classes = materialize(
         shared.groupBy("key", "span").agg(F.count(F.lit(1)).alias("n"),
-                                          F.min(F.struct("uid", "lo", "hi", "anchor")).alias("rep")), "run_classes")
+                                          F.min(F.struct("uid", "lo", "hi", "anchor")).alias("rep")).coalesce(width), "run_classes")
     several = materialize(
         classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least"),
                                    F.sum(F.col("rep.hi") - F.col("rep.lo") + span).alias("bytes"))
-        .where("classes > 1 AND least = 1").select("key", (F.col("bytes") > group_bytes).alias("big")), "anchors")
+        .where("classes > 1 AND least = 1").select("key", (F.col("bytes") > group_bytes).alias("big")).coalesce(width), "anchors")
     edges = classes.join(several, "key").select(
         "rep.uid", F.struct("key", "n", "rep.lo", "rep.hi", "rep.anchor", "big").alias("edge"))
     whole = (shared.join(classes.where("n > 1").select("key", "span"), ["key", "span"])
@@ -463,7 +468,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = (texts.join(wanted, (F.col("sha") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id")))
               .select("uid", "text", *_columns("whole", lo="lo", hi="hi"),
                       *_columns("edges", key="key", n="n", first="lo", last="hi", anchor="anchor", big="big"))
-              .mapInArrow(_once, TEXTS))
+              .coalesce(width).mapInArrow(_once, TEXTS))
     name = f"repeat_texts_{uuid.uuid4().hex[:12]}"
     (joined.write.format("parquet").bucketBy(width, "uid").option("path", scratch_path(spark, name)).saveAsTable(name))
     kept_texts = spark.table(name)
@@ -474,7 +479,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not several.where("big").isEmpty():
         windows = materialize(around.mapInPandas(_surroundings(span, True), EDGE).mapInPandas(_window_hashes(span), WINDOWS), "windows")
         n = windows.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-        replies = census(windows, max(width, -(-n // RANGE_HASHES)), exact=True)
+        replies = census(windows, -(-n // RANGE_HASHES) or 1, exact=True)
         ends = ends.unionByName(windows.groupBy("batch").cogroup(replies.groupBy("batch"))
                                 .applyInPandas(_counted_windows, STARTS))
     ends = (ends.groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("ends"))

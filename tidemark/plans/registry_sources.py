@@ -12,7 +12,7 @@ from tidemark.plans.batch_run import run_batch
 from tidemark.plans.registry import AS_OF, register
 from tidemark.plans.registry_more import report_sql
 from tidemark.session import scratch_path
-from tidemark.sources import adapter, bronze
+from tidemark.sources import adapter, bronze, publish
 from tidemark.operators import sample
 from tidemark.sources.lake import build_lake
 from tidemark.sources.sinks import (
@@ -155,12 +155,51 @@ def q_append(spark, d):
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
-@register("publish_layout", sql(_PART_COUNTS))
+def _landed_sql(entity: str, more: str = "") -> str:
+    return f"SELECT * EXCLUDE (_v), CAST(_v AS BIGINT) AS batch_id{more} FROM b_{entity}"
+
+
+def _published(spark, d, entity):
+    """A lake whose first batch of posts has two columns that nobody declared,
+    published, published again after the second batches, and read back."""
+    root, dest = scratch_path(spark, "source-lake"), scratch_path(spark, "published")
+    facts = {"posts": adapter.bronze_posts, "comments": adapter.bronze_comments, "likes": adapter.bronze_likes}
+    if entity == "users":
+        snapshot_replace(adapter.bronze_users(spark, d), f"{root}/users")
+    for batch in (1, 2) if entity in facts else ():
+        rows = facts[entity](spark, d, versions=(batch,))
+        if entity == "posts" and batch == 1:
+            rows = rows.withColumn("campaign", F.concat(F.lit("c"), F.col("like_count") % 7)).withColumn("reach", F.col("view_count") * 2)
+        append_partitioned(rows, f"{root}/{entity}", batch)
+        publish.publish(spark, root, dest)
+    publish.publish(spark, root, dest)
+    return publish.read_published(spark, dest, entity)
+
+
+@register("publish_layout", sql(_landed_sql("posts", """,
+    CASE WHEN _v = 1 THEN 'c' || (like_count % 7) END AS campaign, CASE WHEN _v = 1 THEN view_count * 2 END AS reach""")))
 def q_publish(spark, d):
-    dest = scratch_path(spark, "published")
-    publish_layout(spark, lake(spark, d), dest)
-    out = bronze.read_facts(spark, dest, "posts")
-    return out.groupBy("year", "month", "day", "batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    return _published(spark, d, "posts")
+
+
+for _e, _oracle in (("comments", _landed_sql("comments")), ("likes", _landed_sql("likes")), ("users", "SELECT * FROM b_users")):
+    def _mk_published(entity):
+        def build(spark, d):
+            return _published(spark, d, entity)
+        return build
+    register(f"publish_{_e}", sql(_oracle))(_mk_published(_e))
+
+
+@register("evolving_schema", sql(_landed_sql("likes", """,
+    CASE WHEN _v = 1 THEN CAST(len(post_id) AS DOUBLE) ELSE len(post_id) + 0.5 END AS weight, CASE WHEN _v = 2 THEN user_id || '!' END AS note""")))
+def q_evolving(spark, d):
+    """Batches whose undeclared columns differ and one of which changes its type."""
+    root = scratch_path(spark, "evolving")
+    first, second = (adapter.bronze_likes(spark, d, versions=(v,)) for v in (1, 2))
+    append_partitioned(first.withColumn("weight", F.length("post_id")), f"{root}/likes", 1)
+    append_partitioned(second.withColumn("weight", F.length("post_id") + F.lit(0.5).cast("double"))
+                       .withColumn("note", F.concat("user_id", F.lit("!"))), f"{root}/likes", 2)
+    return bronze.read_facts(spark, root, "likes")
 
 
 @register("published_files", sql("""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources import schemas
+from tidemark.sources import schema_log, schemas
 from tidemark.sources.schemas import ENTITIES, FACTS  # noqa: F401
 
 
@@ -29,15 +29,19 @@ def read_facts(spark: SparkSession, root: str, entity: str,
                nanos_columns: Sequence[str] = (), schema: T.StructType | None = None) -> DataFrame:
     """All batches of a fact entity, union-by-name across files.
 
-    The declared schema (``schemas.schema_of``, or ``schema`` for a lake with
-    more columns) is the union: a column that a batch lacks reads as NULL,
-    and no file footer is opened to find out.  ``start`` / ``end``
-    (``yyyy-MM-dd``, ingest date) become filters on the partition columns.
+    The declared schema and the records that the batches left
+    (``schema_log``) are the union: a column that a batch lacks reads as NULL,
+    an undeclared one is there, and no file footer is opened to find out.  A
+    ``schema`` given is taken as it is.  ``start`` / ``end`` (``yyyy-MM-dd``,
+    ingest date) become filters on the partition columns.
 
     ``nanos_columns``: files written with nanosecond timestamps cannot be
     read as timestamps; tidemark sessions load them as LONG
     (``spark.sql.legacy.parquet.nanosAsLong``) and they are converted here.
     """
+    if schema is None and not nanos_columns:
+        df = schema_log.read(spark, f"{root}/{entity}", schemas.schema_of(entity))
+        return df.where(schemas.ingested_between(start, end)) if start or end else df
     schema = schema or schemas.schema_of(entity)
     if nanos_columns:
         schema = T.StructType([T.StructField(f.name, T.LongType()) if f.name in nanos_columns else f

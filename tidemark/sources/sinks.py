@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources import schemas
+from tidemark.sources import publish, schema_log, schemas
 from tidemark.sources.schemas import PARTITIONS
 
 
@@ -49,6 +48,7 @@ def append_partitioned(df: DataFrame, root: str, batch_id: int,
     # tasks and merges tiny ones.
     (out.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(root))
+    schema_log.record(df.sparkSession, root, out.schema, batch_id)
     if jsonl_root:
         # the raw copy is made from what was just landed (partition pruning
         # reads this batch only): nothing is computed twice or cached
@@ -105,22 +105,10 @@ def run_parallel(actions: dict[str, Callable], max_parallel: int = 4) -> dict:
 def publish_layout(spark: SparkSession, lake_root: str, dest_root: str,
                    entities: Sequence[str] = schemas.ENTITIES) -> list[str]:
     """K6: copy the Parquet lake (never the JSONL) to another store with the
-    same relative layout; entities missing from the lake are skipped.  What
-    left the lake also leaves the copy (the whole entity is replaced)."""
-    done = []
-    for e in entities:
-        try:
-            df = schemas.read(spark, lake_root, e)
-        except AnalysisException as ex:  # a missing entity is skipped
-            if ex.getCondition() == "PATH_NOT_FOUND":
-                continue
-            raise
-        parts = [c for c in (*PARTITIONS, "batch_id") if c in df.columns]
-        w = (df.hint("rebalance", *parts) if parts else df).write.mode("overwrite")
-        w = w.option("partitionOverwriteMode", "static")
-        (w.partitionBy(*parts) if parts else w).parquet(f"{dest_root}/{e}")
-        done.append(e)
-    return done
+    same relative layout, file by file (``publish.publish``); entities missing
+    from the lake are skipped.  What left the lake also leaves the copy."""
+    publish.publish(spark, lake_root, dest_root, entities)
+    return [r["entity"] for r in publish.manifest(spark, dest_root).select("entity").distinct().orderBy("entity").collect()]
 
 
 def published_files(spark: SparkSession, root: str) -> DataFrame:

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import files
+
 IDS_SCHEMA = "event_id string, event_day string"
 FAN = 8
 
@@ -71,10 +73,8 @@ class LandedIds:
             self._write(self._read(old), runs_before(number + 1, self.fan)[-1])
 
     def _remove(self, runs: list[Run]) -> None:
-        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         for r in runs:
-            path = jvm.org.apache.hadoop.fs.Path(self._path(r))
-            path.getFileSystem(conf).delete(path, True)
+            files.remove(self.spark, self._path(r))
 
 
 def first_time(decoded: DataFrame, landed: DataFrame, delay: str, day_of) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.tags import lenient_tags
+from tidemark.sources import schema_log
 from tidemark.sources.bronze import read_or_empty
 from tidemark.sources.schemas import PARTITIONS
 from tidemark.streaming.events import (
@@ -204,6 +205,8 @@ def bronze_batch_writer(root: str, checkpoint: str, dedup: str | None = None):
         for e in ENTITIES:
             rows = to_bronze(decoded, e, consumed_at=F.col("consumed_at"))
             put(rows.select("*", tag).hint("rebalance", *PARTITIONS), e, "parquet", *PARTITIONS, "batch_id")
+            if number == 0:  # all micro-batches have the columns of the first
+                schema_log.record(spark, f"{root}/{e}", rows.schema, number_of)
         put(decoded.groupBy("entity").agg(F.count(F.lit(1)).alias("rows")).select("*", tag).coalesce(1),
             "_totals", "parquet", "batch_id")
     return write

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import files
 from tidemark.sources.bronze import read_or_empty
 
 PROGRESS_SCHEMA = "number long, watermark timestamp, newest timestamp, on_time long, late long"
@@ -33,7 +34,7 @@ def late_splitter(root: str, delay: str, ts: str = "event_time"):
         mark = F.lit(last["newest"] if last else None).cast("timestamp") - F.expr(f"INTERVAL '{delay}'")
         late = F.coalesce(F.col(ts) < mark, F.lit(False))
         for side in (False, True):  # a replay may leave one of them empty
-            _drop(spark, f"{root}/events/late={str(side).lower()}/number={number}")
+            files.remove(spark, f"{root}/events/late={str(side).lower()}/number={number}")
         (batch.withColumn("late", late).withColumn("number", F.lit(number).cast("long"))
          .write.mode("append").partitionBy("late", "number").parquet(f"{root}/events"))
         own = _events(spark, root, batch.schema.simpleString(), number)
@@ -44,26 +45,16 @@ def late_splitter(root: str, delay: str, ts: str = "event_time"):
     return write
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def _events(spark: SparkSession, root: str, struct: str, number: int | None = None) -> DataFrame:
     """The split events; of one micro-batch without listing the others."""
     schema = f"{struct.removeprefix('struct<').removesuffix('>')},late:boolean,number:bigint".replace(":", " ")
     where = [f"{root}/events"] if number is None else [f"{root}/events/late={s}/number={number}" for s in ("false", "true")]
-    there = [p for p in where if _exists(spark, p)]
+    there = [p for p in where if files.exists(spark, p)]
     if not there:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", f"{root}/events").parquet(*there)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def split_late(events: DataFrame, root: str, checkpoint: str, delay: str, ts: str = "event_time",
                every: str | None = None):
     """Split a stream of events with a ``ts`` column.  With ``every`` the running

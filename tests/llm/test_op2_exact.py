@@ -1,4 +1,7 @@
 import hashlib
+import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -59,3 +62,36 @@ def test_index_is_bucketed_and_sorted(spark):
     index.dedup(documents(spark, ["x", "y"]))
     about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {index.name}").collect()}
     assert about["Num Buckets"] == "4" and "digest" in about["Bucket Columns"] and "digest" in about["Sort Columns"]
+
+
+def test_index_outlives_the_catalog_and_other_partitions(spark, tmp_dir):
+    docs = spark.range(1500).select(F.col("id").alias("doc_id"), (F.col("id") % 700).cast("string").alias("text"))
+    op2_exact.DigestIndex(spark, "outlives", f"{tmp_dir}/index", buckets=4).dedup(docs.repartition(3), "one").collect()
+    spark.sql("DROP TABLE outlives")  # as a new session, which knows no table
+    index = op2_exact.DigestIndex(spark, "outlives", f"{tmp_dir}/index", buckets=9)
+    assert index.buckets == 4 and index.rows().count() == 700
+    again = index.dedup(docs.repartition(7), "one")  # the same batch, dealt otherwise
+    assert sorted(r["doc_id"] for r in again.where("kept").collect()) == list(range(700))
+    assert {r["group_size"] for r in again.where("keep_id < 100").collect()} == {3}
+    other = index.dedup(docs.limit(50), "two")
+    assert other.where("kept").count() == 0 and index.rows().count() == 700
+
+
+RUN = """
+import sys
+from tidemark.llm.op2_exact import DigestIndex
+from tidemark.session import build_session
+spark = build_session("local[2]", shuffle_partitions=2, extra={"spark.checkpoint.dir": sys.argv[1]})
+docs = spark.createDataFrame([(k, f"text {k}") for k in range(50)], "doc_id long, text string")
+found = DigestIndex(spark, "kept_index").dedup(docs, sys.argv[2])
+print("KEPT", found.where("kept").count())
+"""
+
+
+def test_index_outlives_its_session(tmp_path):
+    kept = []
+    for batch in ("one", "two", "one"):
+        out = subprocess.run([sys.executable, "-c", RUN, f"file://{tmp_path}/shared", batch], capture_output=True, text=True, cwd=tmp_path,
+                             env={**os.environ, "PYTHONPATH": ":".join(sys.path)}, timeout=300)
+        kept.append(out.stdout.split("KEPT")[-1].strip())
+    assert kept == ["50", "0", "50"], out.stderr[-2000:]

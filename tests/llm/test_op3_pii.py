@@ -76,7 +76,7 @@ def test_disclosing_terms(spark):
             if s["kind"] == "term":
                 terms.setdefault(texts[r["doc_id"]][s["start"]:s["end"]], set()).add(r["doc_id"])
     assert terms == {"Zorbulax": {0, 10, 20, 30, 40, 50}}
-    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs, pii.find(docs)).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
     assert "Zorbulax" not in clean[10] and "[NAME]" in clean[10] and "[EMAIL]" in clean[10] and "common" in clean[10]
     assert clean[1] == texts[1] and len(clean) == len(texts)
 
@@ -91,3 +91,57 @@ def test_odd_rows(spark, odd, none):
     want = sorted(((i or -1, *columns(brute(t or ""))) for i, t in ODD))
     assert sorted((r["doc_id"] or -1, *tuple(r)[1:6]) for r in rows) == want
     assert pii.digest_columns(pii.find(none)).collect() == []
+
+
+def brute_terms(rows):
+    """Disclosing terms from the definition, by sets."""
+    import math
+    spans = [pii.base_spans(t) for t in rows]
+    near = [set(pii.contexts(t, s)) for t, s in zip(rows, spans)]
+    docs_of, contexts_of, of_entity, of_term = {}, {}, {}, {}
+    for k, (t, found) in enumerate(zip(rows, near)):
+        for w in set(pii._WORD.findall(t.lower())):
+            of_term.setdefault(w, set()).add(k)
+        for entity, term, _, _, context in found:
+            docs_of.setdefault((entity, term), set()).add(k)
+            contexts_of.setdefault((entity, term), set()).add(context)
+            of_entity.setdefault(entity, set()).add(k)
+    n, telling = len(rows), set()
+    for (e, w), held in docs_of.items():
+        ic = math.log(n / len(of_entity[e]))
+        pmi = math.log(n * len(held) / (len(of_term[w]) * len(of_entity[e])))
+        if len(contexts_of[e, w]) >= pii.SUPPORT and ic > 0 and pmi >= pii.DISCLOSED * ic:
+            telling.add((e, w))
+    return [sorted({(x, y) for e, w, x, y, _ in found if (e, w) in telling}) for found in near]
+
+
+def terms_of(found):
+    return sorted([sorted((s["start"], s["end"]) for s in r["spans"] if s["kind"] == "term") for r in found], key=str)
+
+
+def test_terms_equal_brute_force(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    texts = [t or "" for t in pq.read_table(path)["text"].to_pylist()]
+    assert terms_of(pii.find(spark.read.parquet(path)).collect()) == sorted(brute_terms(texts), key=str)
+
+
+def test_contexts_of_one_document_are_one_document(spark):
+    # five contexts in one text: PMI / IC is that of one document, not of five
+    many = " . ".join(f"alpha{k} beta{k} gamma zed a@example.com delta{k} " + " ".join(f"f{k}x{j}" for j in range(40)) for k in range(5))
+    texts = [many] + [f"zed nothing {k}" for k in range(4)] + [f"plain text {k}" for k in range(95)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert terms_of(pii.find(docs).collect()) == sorted(brute_terms(texts), key=str)
+    first = next(r for r in pii.find(docs).collect() if r["doc_id"] == 0)
+    assert "zed" not in {many[s["start"]:s["end"]] for s in first["spans"] if s["kind"] == "term"}
+
+
+def test_sanitise_by_row_and_keeps_columns(spark):
+    text = "write to someone@example.com today"
+    rows = [(1, text, "a", 1), (1, text, "a", 1), (1, "complete other text", "b", 2), (None, text, "c", 3), (2, None, "d", 4), (3, "", "e", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, `a.b c` int")
+    out = pii.sanitise(docs)
+    assert out.columns == docs.columns
+    clean = text.replace("someone@example.com", "[EMAIL]")
+    due = [(i, clean if t == text else t, r, n) for i, t, r, n in rows]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(due, key=str)
+    assert pii.sanitise(docs.limit(0)).collect() == []

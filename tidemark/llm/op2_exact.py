@@ -1,18 +1,23 @@
 """Exact dedup against a persistent digest index, bucketed and sorted by hash.
 
 The index is a bucketed table with one row per distinct normalised text:
-``(digest, keep_id, keep_uid, group_size, batch_id)``.  A batch of new
-documents is reduced to one row per digest (pre-aggregated on the map side),
-anti-joined to the index by sort-merge (the index side is neither shuffled
-nor sorted again) and the digests not seen before are appended to their
-buckets.
+``(digest, keep_id, group_size, batch_id)``.  A batch of new documents is
+reduced to one row per digest (pre-aggregated on the map side), anti-joined to
+the index by sort-merge and the digests not seen before are appended to their
+buckets.  The index side is never shuffled; the files of a bucket, one sorted
+file a batch, are sorted together in the task that reads the bucket.
+
+The files are the index: a small record beside them tells the buckets, and a
+session that does not know the table registers the files that are there.  So
+an index outlives its session and its catalog.
 
 Defined results: null text counts as empty, so all null and empty texts form
 one group; a null id loses every tie against an id; rows that repeat an id
 and a text are members of one group of which a single row is kept; an empty
 batch gives no rows and appends nothing; columns other than the id and the
-text are ignored.  A batch may be run again after a crash: digests that its
-own ``batch_id`` put into the index still count as new.
+text are ignored.  A batch may be run again, after a crash and in other
+partitions: digests that its own ``batch_id`` put into the index still count
+as new, and the same rows (or, of rows equal in id and length, one) stay.
 """
 
 from __future__ import annotations
@@ -23,11 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import c, join_spreading_hot, materialize, shuffle_width, text_of
-from tidemark.session import scratch_path
+from tidemark.session import shared_root
+from tidemark.sources import files
 
 #: deleted before texts are compared
 WHITE = " \t\n\x0b\x0c\r"
-SCHEMA = "digest binary, keep_id long, keep_uid long, group_size long, batch_id string"
+SCHEMA = "digest binary, keep_id long, group_size long, batch_id string"
+#: beside the files: how many buckets they are in
+RECORD = "_buckets"
 
 
 def digest_of(text: Column) -> Column:
@@ -36,21 +44,25 @@ def digest_of(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A digest table in the session catalog, stored under the shared folder."""
+    """A digest table stored at ``path``, by default under the shared folder and its name."""
 
     def __init__(self, spark: SparkSession, name: str | None = None,
                  path: str | None = None, buckets: int | None = None):
-        self.spark, self.buckets = spark, buckets or shuffle_width(spark)
-        self.name = name or f"digest_index_{uuid.uuid4().hex[:12]}"
-        if not spark.catalog.tableExists(self.name):
-            self._write(spark.createDataFrame([], SCHEMA), path or scratch_path(spark, self.name))
-
-    def _write(self, rows: DataFrame, path: str | None = None) -> None:
+        self.spark, self.name = spark, name or f"digest_index_{uuid.uuid4().hex[:12]}"
+        self.path = path or f"{shared_root(spark)}/tidemark/digest-index/{self.name}"
+        known = files.read_text(spark, f"{self.path}/{RECORD}")
+        self.buckets = int(known) if known else buckets or shuffle_width(spark)
+        if not known:
+            files.write_text(spark, f"{self.path}/{RECORD}", str(self.buckets))
+        # registers the files that are there, or none yet; never writes over them
+        spark.sql(f"""CREATE TABLE IF NOT EXISTS {self.name} ({SCHEMA}) USING parquet
+                      CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'""")
+
+    def _write(self, rows: DataFrame) -> None:
         # one task per bucket: the write's hash is the bucket hash, so each
         # batch adds one sorted file to each bucket
-        w = (rows.repartition(self.buckets, "digest").write.format("parquet").mode("append")
-             .bucketBy(self.buckets, "digest").sortBy("digest"))
-        (w.option("path", path) if path else w).saveAsTable(self.name)
+        (rows.repartition(self.buckets, "digest").write.format("parquet").mode("append")
+         .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -75,18 +87,22 @@ class DigestIndex:
                          F.col("doc_id").alias("i"), F.col("uid").alias("u"))
         groups = materialize(
             slim.groupBy("digest").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n"))
-            .select("digest", F.col("best.i").alias("keep_id"), F.col("best.u").alias("keep_uid"), "n"),
+            .select("digest", F.col("best.i").alias("best_id"), F.col("best.u").alias("best_uid"), "n"),
             "digest_groups")
         known = self.rows().select("digest")
         self._write(groups.join(known.hint("merge"), "digest", "left_anti").select(
-            "digest", "keep_id", "keep_uid", F.col("n").alias("group_size"),
+            "digest", F.col("best_id").alias("keep_id"), F.col("n").alias("group_size"),
             F.lit(batch_id).alias("batch_id")))
-        found = groups.select("digest", "n").join(self.rows().hint("merge"), "digest")
+        # which row stays is decided by this run's own rows: ids within Spark's
+        # partitions are not the same when a batch runs again
         own = F.col("batch_id") == F.lit(batch_id)
+        found = groups.join(self.rows().hint("merge"), "digest").select(
+            "digest", "n", "batch_id", "best_uid", F.when(own, F.col("best_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+            F.when(own, F.col("n")).otherwise(F.col("group_size")).alias("group_size"))
         joined = join_spreading_hot(slim, found, "digest", "n", slim.count())
         return joined.select(
             "doc_id", "keep_id", "group_size",
-            (own & (F.col("uid") == F.col("keep_uid"))).alias("kept"),
+            (own & (F.col("uid") == F.col("best_uid"))).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"), "uid")
 
 

@@ -155,20 +155,21 @@ def _scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         disclosed: float = DISCLOSED, support: int = SUPPORT) -> DataFrame:
+         disclosed: float = DISCLOSED, support: int = SUPPORT, row_col: str | None = None) -> DataFrame:
     """``(doc_id, uid, spans array<struct<start, kind, end>>)`` of every row:
-    base spans and disclosing terms, by start, then kind as listed."""
+    base spans and disclosing terms, by start, then kind as listed.  ``uid``
+    tells the rows apart; it is ``row_col`` (a stored, unique long) if given."""
+    row = c(row_col) if row_col else F.monotonically_increasing_id()
     scan = materialize(
-        docs.select(c(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("uid"),
+        docs.select(c(id_col).cast("long").alias("doc_id"), row.alias("uid"),
                     text_of(text_col).alias("text")).mapInPandas(_scan, SCAN), "pii_scan")
     rows = scan.where("uid IS NOT NULL")
     total = rows.count()
     near = rows.where(F.size("near") > 0).select("uid", F.explode("near").alias("x")).select("uid", "x.*")
-    # documents and contexts of each pair; both distinct, both pre-aggregated
-    joint = (near.groupBy("entity", "term", "uid", "context").agg(F.lit(1).alias("one"))
-             .groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("contexts"))
-             .where(F.col("contexts") >= support))
+    # documents and contexts of each pair, each distinct by itself, pre-aggregated
+    def distinct(what: str, name: str) -> DataFrame:
+        return near.select("entity", "term", what).distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias(name))
+    joint = distinct("uid", "n_te").join(distinct("context", "contexts").where(F.col("contexts") >= support), ["entity", "term"])
     of_entity = (rows.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
                  .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
     of_term = scan.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n_t"))
@@ -213,13 +214,25 @@ def replace(text: str, spans: Iterable) -> str:
     return "".join(out) + text[at:]
 
 
-def sanitise(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text)`` with the spans of ``found`` taken out; ids are taken as unique."""
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pieces_of(batches, "text"):
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": [
-                t if s is None else replace(t, s) for t, s in zip(pdf["text"], pdf["spans"])]}, dtype=object)
-    src = docs.select(c(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    spans = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), "spans")
-    return (src.join(spans, src["doc_id"].eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "spans")
-            .mapInPandas(run, "doc_id long, text string"))
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             disclosed: float = DISCLOSED, support: int = SUPPORT) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, with the spans of ``find``
+    taken out of the texts (null stays null).
+
+    The rows are written with an id of their own first, so ids that repeat or
+    are null do not matter.
+    """
+    own = "row"
+    while own in docs.columns:
+        own += "_"
+    # plain names on the way: a column's name may hold dots
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    rows = materialize(docs.toDF(*names).withColumn(own, F.monotonically_increasing_id()), "pii_rows")
+    text = names[docs.columns.index(text_col)]
+    found = find(rows, names[docs.columns.index(id_col)], text, disclosed, support, own)
+    spans = found.where(F.size("spans") > 0).select(F.col("uid").alias(own), F.col("spans").alias("spans_"))
+    met = rows.join(spans, own, "left").drop(own)
+
+    clean = F.pandas_udf(lambda t, s: pd.Series([x if y is None else replace(x, y) for x, y in zip(t, s)], dtype=object), "string")
+    return met.withColumn(text, F.when(F.col("spans_").isNull(), F.col(text)).otherwise(clean(F.col(text), F.col("spans_")))
+                          ).select(*names).toDF(*docs.columns)

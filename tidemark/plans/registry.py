@@ -12,9 +12,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.operators.ordinal import write_ordered
 from tidemark.plans import gold, oracle, silver
-from tidemark.session import input_fingerprint
+from tidemark.session import input_fingerprint, scratch_path
 from tidemark.sources import adapter
 
 AS_OF = "2002-01-01 00:00:00"
@@ -129,6 +131,38 @@ def q_users(spark, d):
     return gold.user_performance(s_users(spark, d), s_posts(spark, d), AS_OF)
 
 
+# ---- O7: marts in their order, with the place of each row ------------------------
+
+def _ordered(order, sql_order: str, mart: str):
+    def deco(fn):
+        def build(spark, d):
+            return write_ordered(fn(spark, d), scratch_path(spark, mart), order())
+        register(f"{mart}_ordered", oracle.sql(
+            f"SELECT *, row_number() OVER (ORDER BY {sql_order}) AS ordinal FROM {fn.__doc__}"))(build)
+        return fn
+    return deco
+
+
+@_ordered(lambda: [F.col("date").desc()], "date DESC", "mart_daily_engagement")
+def _daily(spark, d):
+    """g_daily"""
+    return gold.daily_engagement(s_posts(spark, d), AS_OF, ordered=False)
+
+
+@_ordered(lambda: [F.col("trending_score").desc_nulls_last(), F.col("hashtag")],
+          "trending_score DESC NULLS LAST, hashtag", "mart_hashtag_performance")
+def _hashtags(spark, d):
+    """g_hashtags"""
+    return gold.hashtag_performance(s_posts(spark, d), AS_OF, ordered=False)
+
+
+@_ordered(lambda: [F.col("total_likes_received").desc_nulls_last(), F.col("user_id"), F.col("username")],
+          "total_likes_received DESC NULLS LAST, user_id, username", "mart_user_performance")
+def _users(spark, d):
+    """g_users"""
+    return gold.user_performance(s_users(spark, d), s_posts(spark, d), AS_OF)
+
+
 def _load_extensions() -> None:
     # Further query groups register themselves on import.
     from tidemark.plans import registry_more, registry_sources, registry_stream  # noqa: F401

@@ -261,6 +261,23 @@ def q_stream_totals(spark, d):
     return jobs.stream_totals(spark, root).select("entity", "rows", (F.col("batches") > 1).alias("several_batches"))
 
 
+@register("raw_variant_fields", sql("""
+    SELECT entity, event_id, CASE WHEN _seq % 3 = 0 THEN 'c' || (_seq % 7) END AS campaign,
+           CASE WHEN _seq % 3 = 0 THEN CAST(_seq AS BIGINT) END AS rank FROM feed"""))
+def q_raw_variant(spark, d):
+    """Messages with fields that no schema knows, landed by the bronze writer and asked for them."""
+    more = F.concat(F.lit(',"more":{"campaign":"c'), F.col("_seq") % 7, F.lit('","rank":'), F.col("_seq"), F.lit("}}"))
+    plain = EV.encode_events(feed(spark, d)).withColumn("_id", F.get_json_object("value", "$.event_id"))
+    named = feed(spark, d).select(F.col("event_id").alias("_id"), F.when(F.col("_seq") % 3 == 0, more).otherwise("}").alias("_more"))
+    path = scratch_path(spark, "feed")
+    (plain.join(named, "_id").select("key", F.concat(F.expr("left(value, length(value) - 1)"), "_more").alias("value"), "topic")
+     .write.json(path))
+    root = jobs.stream_to_bronze_lake(jobs.read_messages(spark, path), scratch_path(spark, "bronze"), scratch_path(spark, "ckpt"))
+    get = lambda path, kind: F.try_variant_get("event", path, kind)
+    return jobs.raw_events(spark, root).select("entity", get("$.event_id", "string").alias("event_id"),
+                                               get("$.more.campaign", "string").alias("campaign"), get("$.more.rank", "long").alias("rank"))
+
+
 @register("stream_quarantine", sql(f"""
     SELECT 'social.stories' AS topic, value AS raw, 'unknown topic' AS reason
     FROM ({_encode_sql()}) m WHERE value LIKE '%0"}}'

@@ -117,7 +117,10 @@ def stage_posts(posts: DataFrame, as_of: str | Column | None = None,
 
 
 def stage_comments(comments: DataFrame, as_of: str | Column | None = None,
-                   tie_break: Sequence[str] = ()) -> DataFrame:
+                   tie_break: Sequence[str] = ("content", "is_deleted", "post_id", "user_id", "sentiment", "like_count",
+                                               "commented_at")) -> DataFrame:
+    """stg_comments.  Of rows with one id and ingest time the largest by
+    ``tie_break`` stays, so the result does not depend on partitions."""
     now = as_of_col(as_of)
     newest = latest_by_key(comments, "comment_id", "ingested_at", tie_break)
     kept = newest.filter(F.col("comment_id").isNotNull() & F.col("post_id").isNotNull()
@@ -138,8 +141,9 @@ def stage_comments(comments: DataFrame, as_of: str | Column | None = None,
 
 
 def stage_likes(likes: DataFrame, as_of: str | Column | None = None,
-                tie_break: Sequence[str] = ()) -> DataFrame:
-    """stg_likes: no delete filter and no user_id filter (as the reference)."""
+                tie_break: Sequence[str] = ("reaction_type", "post_id", "user_id", "liked_at")) -> DataFrame:
+    """stg_likes: no delete filter and no user_id filter (as the reference);
+    ties as in ``stage_comments``."""
     now = as_of_col(as_of)
     newest = latest_by_key(likes, "like_id", "ingested_at", tie_break)
     kept = newest.filter(F.col("like_id").isNotNull() & F.col("post_id").isNotNull())

@@ -228,6 +228,15 @@ def stream_to_bronze_lake(messages: DataFrame, root: str, checkpoint: str,
     return q if every else root
 
 
+def raw_events(spark: SparkSession, root: str) -> DataFrame:
+    """The raw record of all bronze writers on ``root``, each message as a VARIANT
+    too: ``(entity, raw, consumed_at, batch_id, event)``.  Fields that no
+    schema knows can be asked for, ``try_variant_get(event, '$.name', 'string')``;
+    a message that is no JSON has a null ``event``."""
+    rows = read_or_empty(spark, f"{root}/_raw", RAW_SCHEMA + ", batch_id bigint", "json")
+    return rows.withColumn("event", F.try_parse_json("raw"))
+
+
 def stream_totals(spark: SparkSession, root: str) -> DataFrame:
     """Running totals of all bronze writers on ``root``: ``(entity, batches, rows)``.
     Written batch by batch, so they are complete over any number of batches

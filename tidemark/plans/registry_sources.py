@@ -14,6 +14,8 @@ from tidemark.plans.registry_more import report_sql
 from tidemark.session import scratch_path
 from tidemark.sources import adapter, bronze, publish
 from tidemark.operators import sample
+from tidemark.operators.upsert import KeyedTable
+from tidemark.plans.silver import stage_likes, stage_posts
 from tidemark.sources.lake import build_lake
 from tidemark.sources.sinks import (
     append_partitioned, publish_layout, published_files, snapshot_replace,
@@ -190,6 +192,27 @@ for _e, _oracle in (("comments", _landed_sql("comments")), ("likes", _landed_sql
     register(f"publish_{_e}", sql(_oracle))(_mk_published(_e))
 
 
+# ---- W1, batch by batch -------------------------------------------------------------
+
+def _kept_up(spark, d, entity, key, ties, stage):
+    """The newest rows kept up over the landed batches (the second one twice), staged."""
+    bronze_of = {"posts": adapter.bronze_posts, "likes": adapter.bronze_likes}[entity]
+    table = KeyedTable(spark, scratch_path(spark, f"newest-{entity}"), key, tie_break=ties, buckets=8)
+    for batch in (1, 2, 2):
+        table.merge(bronze_of(spark, d, versions=(batch,)))
+    return stage(table.rows(), AS_OF)
+
+
+@register("incremental_posts", sql("SELECT * FROM s_posts"))
+def q_incremental_posts(spark, d):
+    return _kept_up(spark, d, "posts", "post_id", ["content"], stage_posts)
+
+
+@register("incremental_likes", sql("SELECT * FROM s_likes"))
+def q_incremental_likes(spark, d):
+    return _kept_up(spark, d, "likes", "like_id", ["reaction_type", "post_id", "user_id", "liked_at"], stage_likes)
+
+
 @register("evolving_schema", sql(_landed_sql("likes", """,
     CASE WHEN _v = 1 THEN CAST(len(post_id) AS DOUBLE) ELSE len(post_id) + 0.5 END AS weight, CASE WHEN _v = 2 THEN user_id || '!' END AS note""")))
 def q_evolving(spark, d):

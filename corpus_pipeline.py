@@ -22,8 +22,16 @@ TOKENS = "byte_bpe_50k.tiktoken"
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is among ``ids``.  Always a sort-merge join:
     the ids grow with the documents."""
-    ids = ids.select(F.col("doc_id").alias("_id")).hint("merge")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+    own = _free("_id", docs)
+    ids = ids.select(F.col("doc_id").alias(own)).hint("merge")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids[own]), "left_semi")
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in {x.lower() for x in docs.columns}:
+        name += "_"
+    return name
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +48,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         .where("n > 1").select("doc_id").distinct(), "again")
     if again.isEmpty():
         return kept
-    once = (_only(kept, again).withColumn("_digest", op2_exact.digest_of(text_of("text")))
-            .dropDuplicates(["doc_id", "_digest"]).drop("_digest"))
-    others = found.select("doc_id").distinct().join(again.withColumnRenamed("doc_id", "_id"),
+    digest = _free("digest", docs)
+    once = (_only(kept, again).withColumn(digest, op2_exact.digest_of(text_of("text")))
+            .dropDuplicates(["doc_id", digest]).drop(digest))
+    others = found.select("doc_id").distinct().join(again.withColumnRenamed("doc_id", "_id"),  # ids alone: no clash
                                                     F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
     return _only(kept, others).unionByName(once)
 

@@ -56,6 +56,6 @@ def test_each_stage_on_odd_rows(spark, odd, none):
 def test_exact_stage_with_clashing_columns_and_repeated_ids(spark):
     rows = [(1, "a b", "x", 1), (1, "a b", "x", 1), (1, "ab", "y", 2), (None, "c", "z", 3), (2, "ab  ", "w", 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _digest string, _id int")
-    out = corpus_pipeline.exact_dedup(spark, docs, "")
+    out = cp.exact_dedup(spark, docs, "")
     assert out.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, "c"), (2, "ab  ")]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import bloom
+
 SALT = "__salt"
 
 
@@ -66,6 +68,28 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str | Non
             .join(keys, F.col(key) == F.col("__pk"), "left_anti"))
 
 
+def orphans_prefiltered(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None,
+                        expected: int | None = None) -> DataFrame:
+    """``orphans`` where many child rows may have no parent: these never reach the shuffle.
+
+    A Bloom filter of the parent keys (sized for ``expected`` keys, by
+    default the parent's row count; 8 MB at most, see ``bloom``) settles the
+    child rows whose key it does not hold: they are orphans for sure and stay
+    in the task that read them.  Only the others go through the exact anti
+    join, so the rows are those of ``orphans`` whatever the filter's size.
+    The child is read twice and the parent's keys two times (three to count
+    them), which pays when a good part of the child has no parent.
+    """
+    pk = parent_key or key
+    words = bloom.words_for(parent.count() if expected is None else expected)
+    # a scalar subquery: evaluated once, then a constant of the scan's filter
+    held = bloom.build(parent, pk, words).scalar()
+    rows = child.where(F.col(key).isNotNull())
+    sure = rows.where(~bloom.maybe(held, F.col(key), words))
+    unsure = rows.where(bloom.maybe(held, F.col(key), words))
+    return sure.unionByName(orphans(unsure, key, parent, pk))
+
+
 def temporal_consistency(events: DataFrame, event_ts: str, posts: DataFrame,
                          kind: str, max_days: int | None,
                          as_of: str | None = None, hot: list | None = None) -> DataFrame:

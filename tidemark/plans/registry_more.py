@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import functions as TF
 from tidemark.operators.dedup import latest_by_key
-from tidemark.operators.joins import hot_keys, orphans, temporal_consistency
+from tidemark.operators.joins import hot_keys, orphans, orphans_prefiltered, temporal_consistency
 from tidemark.operators.unnest import (
     explode_json_tags, explode_split_tags, explode_tags_lenient,
 )
@@ -20,6 +20,7 @@ from tidemark.plans.registry import (
     s_users, shared_frame,
 )
 from tidemark.session import scratch_path
+from tidemark.sources import adapter
 from tidemark.sources.lake import build_lake
 from tidemark.sources.sinks import materialize_all
 
@@ -156,6 +157,16 @@ def q_orphan_likes(spark, d):
     return orphans(s_likes(spark, d), "post_id", s_posts(spark, d)).select("like_id", "post_id")
 
 
+@register("orphan_events_prefiltered", sql("""
+    SELECT event_id, post_id FROM feed f
+    WHERE f.entity <> 'posts' AND f.post_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM s_posts p WHERE p.post_id = f.post_id)"""))
+def q_orphan_events(spark, d):
+    """Streamed reactions whose post is not in silver, few or most of them."""
+    ids = materialize_all({"post_ids": s_posts(spark, d).select("post_id")}, scratch_path(spark, "keys"))["post_ids"]
+    events = adapter.feed_events(spark, d).where(F.col("entity") != "posts")
+    return orphans_prefiltered(events, "post_id", ids).select("event_id", "post_id")
+
+
 _FUT = f"TIMESTAMP '{FUTURE_AS_OF}'"
 
 

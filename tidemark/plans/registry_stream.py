@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import reports
 from tidemark.plans.oracle import CTES, sliding, sql
-from tidemark.plans.registry import AS_OF, b_comments, b_likes, b_posts, register, shared_frame
+from tidemark.plans.registry import AS_OF, b_comments, b_likes, b_posts, register, s_comments, s_likes, s_posts, shared_frame
 from tidemark.session import scratch_path
 from tidemark.sources import adapter, bronze, schemas
 from tidemark.sources.sinks import append_partitioned, materialize, write_batch_tables
 from tidemark.plans.silver import stage_posts
 from tidemark.functions.tags import lenient_tags
 from tidemark.streaming import events as EV
-from tidemark.streaming import jobs
+from tidemark.streaming import intervals, jobs
 from tidemark.streaming.windows import (
     latest_window_top, latest_window_top_events, windowed_counts,
 )
@@ -318,3 +318,49 @@ def q_stream_and_batch(spark, d):
     run = F.floor(-(F.col("batch_id") + 1) / F.lit(1 << 31))
     return posts.groupBy(F.when(F.col("batch_id") >= 0, "batch").when(run == ids[0], "stream")
                          .otherwise("second stream").alias("origin")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---- J4 on streams ------------------------------------------------------------
+
+def _dropped(spark, rows, ts, slices):
+    """``rows`` as a stream whose files come in ``slices`` of time, and last a row
+    100 years on, so that the watermark passes all others.  Returns the stream
+    and the seconds that a slice takes."""
+    path, whole = scratch_path(spark, "drops"), materialize(rows, scratch_path(spark, "rows"))
+    at = F.unix_seconds(ts)
+    b = whole.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    lo, hi = b["lo"] or 0, b["hi"] or 0
+    width = (hi - lo) // slices + 1
+    names = [c for c in whole.columns if c != ts]
+    close = spark.range(1).select(*(F.lit("closing row").alias(c) for c in names), F.timestamp_seconds(F.lit(hi + 100 * 365 * 86400)).alias(ts))
+    for k in range(slices):
+        whole.where(at.between(lo + k * width, lo + (k + 1) * width - 1)).write.mode("append").parquet(path)
+    close.select(whole.columns).write.mode("append").parquet(path)
+    return spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", "8").parquet(path), width
+
+
+def _interval_sql(events: str, event_id: str, ts: str, days: int) -> str:
+    return sql(f"""
+    SELECT {event_id} AS event_id, post_id, EXISTS (
+             SELECT 1 FROM s_posts p WHERE p.post_id = e.post_id AND p.post_date <= e.{ts}
+             AND p.post_date + INTERVAL {days} DAY >= e.{ts}) AS in_time
+    FROM {events} e WHERE post_id IS NOT NULL AND {ts} IS NOT NULL""")
+
+
+def _interval_check(spark, d, events, event_id, ts, days):
+    left, width = _dropped(spark, intervals.judged(events, event_id, ts), "event_time", 4)
+    right, other = _dropped(spark, intervals.dated(s_posts(spark, d)), "post_date", 4)
+    # files of two neighbouring slices may share a trigger: none of their rows is late
+    found = intervals.stream_interval_check(left, right, scratch_path(spark, "sink"), scratch_path(spark, "ckpt"),
+                                            f"{days} days", f"{2 * max(width, other)} seconds")
+    return found.select("event_id", "post_id", F.col("post_date").isNotNull().alias("in_time"))
+
+
+@register("stream_interval_likes", _interval_sql("s_likes", "like_id", "liked_at", 30))
+def q_interval_likes(spark, d):
+    return _interval_check(spark, d, s_likes(spark, d), "like_id", "liked_at", 30)
+
+
+@register("stream_interval_comments", _interval_sql("s_comments", "comment_id", "commented_at", 7))
+def q_interval_comments(spark, d):
+    return _interval_check(spark, d, s_comments(spark, d), "comment_id", "commented_at", 7)

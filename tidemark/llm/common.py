@@ -32,6 +32,11 @@ def text_of(name: str) -> Column:
     return F.coalesce(c(name).cast("string"), F.lit(""))
 
 
+def text_key(text: Column) -> Column:
+    """128 bits that tell a text from others with the same id, when it is read again."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 

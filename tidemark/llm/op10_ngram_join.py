@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.census import RANGE_HASHES, census, totals
 from tidemark.llm.common import (c, join_spreading_hot, materialize, pieces_of, shingle_sets,
-                                 shuffle_width, text_of)
+                                 shuffle_width, text_key, text_of)
 from tidemark.llm.graph import components
 
 #: link at 100 * intersection >= PERCENT * union
@@ -75,7 +75,8 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-BATCH = "batch string, node array<long>, uid array<long>, n array<int>, digest array<binary>, sizes array<int>, hashes binary"
+SETS = "batch string, uid array<long>, n array<int>, sizes array<int>, hashes binary"
+BATCH = f"{SETS}, node array<long>, key array<binary>, digest array<binary>"
 
 
 def _first_sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,25 +84,25 @@ def _first_sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets = shingle_sets([t.encode() for t in pdf["text"]], WIDTH)
         some = [s[s % np.uint64(UNIVERSE) == 0] for s in sets]
         yield pd.DataFrame({
-            "batch": [uuid.uuid4().hex], "node": [[None if pd.isna(x) else int(x) for x in pdf["doc_id"]]],
+            "batch": [uuid.uuid4().hex],
             "uid": [pdf["uid"].to_numpy()], "n": [np.array([len(s) for s in sets], dtype=np.int32)],
-            "digest": [[set_digest(s) for s in sets]],
             "sizes": [np.array([len(s) for s in some], dtype=np.int32)],
-            "hashes": [np.concatenate(some).tobytes()]})
+            "hashes": [np.concatenate(some).tobytes()],
+            "node": [[None if pd.isna(x) else int(x) for x in pdf["doc_id"]]], "key": [pdf["key"].tolist()],
+            "digest": [[set_digest(s) for s in sets]]})
 
 
 def _class_sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    seen: set[int] = set()  # rows that repeat an id and a text bring one class more than once
     for pdf in pieces_of(batches, "text", BATCH_CHARS):
-        sets = shingle_sets([t.encode() for t in pdf["text"]], WIDTH)
-        # a repeated id may have brought another text along
-        own = [(k, s) for k, (s, d) in enumerate(zip(sets, pdf["digest"])) if set_digest(s) == bytes(d)]
-        if not own:
+        pdf = pdf[~pdf["uid"].duplicated() & ~pdf["uid"].isin(seen)]
+        if not len(pdf):
             continue
-        sizes = np.array([len(s) for _, s in own], dtype=np.int32)
-        uid = pdf["uid"].to_numpy()[[k for k, _ in own]]
-        yield pd.DataFrame({
-            "batch": [uuid.uuid4().hex], "node": [uid], "uid": [uid], "n": [sizes], "digest": [[]],
-            "sizes": [sizes], "hashes": [np.concatenate([s for _, s in own]).tobytes()]})
+        seen.update(pdf["uid"])
+        sets = shingle_sets([t.encode() for t in pdf["text"]], WIDTH)
+        sizes = np.array([len(s) for s in sets], dtype=np.int32)
+        yield pd.DataFrame({"batch": [uuid.uuid4().hex], "uid": [pdf["uid"].to_numpy()], "n": [sizes],
+                            "sizes": [sizes], "hashes": [np.concatenate(sets).tobytes()]})
 
 
 def _frequencies(row, replies: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,8 +116,8 @@ def _maybe_linked(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         _, df, of = _frequencies(row, right)
         n = np.asarray(row.n)
         lone = np.bincount(of[df < 2], minlength=len(n))
-        out += [(row.node[k], row.uid[k], row.digest[k]) for k in np.flatnonzero((n > 0) & (lone <= n - needed(n)))]
-    return pd.DataFrame(out, columns=["doc_id", "uid", "digest"], dtype=object)
+        out += [(row.node[k], row.key[k], row.uid[k], row.digest[k]) for k in np.flatnonzero((n > 0) & (lone <= n - needed(n)))]
+    return pd.DataFrame(out, columns=["doc_id", "key", "uid", "digest"], dtype=object)
 
 
 def _rarest_first(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -130,7 +131,7 @@ def _rarest_first(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
                 continue
             order = np.lexsort((h, d))[:n - needed(n) + 1]
             prefix = h[order][d[order] > 1]
-            out.append((row.node[k], n, h.view(np.int64), prefix.view(np.int64), int(d.sum(dtype=np.int64))))
+            out.append((row.uid[k], n, h.view(np.int64), prefix.view(np.int64), int(d.sum(dtype=np.int64))))
     return pd.DataFrame(out, columns=["node", "n", "shingles", "prefix", "weight"], dtype=object)
 
 
@@ -383,23 +384,27 @@ def _ranges(sets: DataFrame, column: str) -> int:
     return max(shuffle_width(sets.sparkSession), -(-total // RANGE_HASHES))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       bound: int = BLOCK_SHINGLES) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` of every row: the smallest id that
-    links lead to."""
-    src = docs.select(c(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   bound: int = BLOCK_SHINGLES) -> DataFrame:
+    """``(doc_id, text_key, n_shingles, component_id, first)`` of every row: the
+    smallest id that links lead to, and whether the row is the first of those
+    linked (smallest id, null last, then smallest ``text_key``).  Rows that
+    repeat an id and a text are first together."""
+    src = docs.select(c(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn(
+        "key", text_key(F.col("text")))
     sets = materialize(src.withColumn("uid", F.monotonically_increasing_id()).mapInPandas(_first_sets, BATCH), "shingles")
-    members = sets.select(F.explode(F.arrays_zip("node", "uid", "n", "digest")).alias("m")).select(
-        F.col("m.node").alias("doc_id"), "m.uid", "m.n", "m.digest")
+    members = sets.select(F.explode(F.arrays_zip("node", "key", "n", "digest")).alias("m")).select(
+        F.col("m.node").alias("doc_id"), "m.key", "m.n", "m.digest")
 
     heads = census(sets, _ranges(sets, "sizes"))
     maybe = (sets.groupBy("batch").cogroup(heads.groupBy("batch"))
-             .applyInPandas(_maybe_linked, "doc_id long, uid long, digest binary"))
-    reps = materialize(maybe.groupBy("digest").agg(F.min(F.struct("uid", "doc_id")).alias("r"))
-                       .select("digest", "r.uid", "r.doc_id"), "classes")
-    texts = src.join(reps.select("digest", "uid", F.col("doc_id").alias("_id")).hint("merge"),  # grows with the input
-                     src["doc_id"].eqNullSafe(F.col("_id"))).select("uid", "digest", "text")
-    again = materialize(texts.mapInPandas(_class_sets, BATCH), "class_shingles")
+             .applyInPandas(_maybe_linked, "doc_id long, key binary, uid long, digest binary"))
+    reps = materialize(maybe.groupBy("digest").agg(F.min(F.struct("uid", "doc_id", "key")).alias("r"))
+                       .select("digest", "r.uid", "r.doc_id", "r.key"), "classes")
+    # by id and text: rows that share an id, or have none, spread by their texts
+    texts = src.join(reps.select("uid", F.col("doc_id").alias("_id"), F.col("key").alias("_key")).hint("merge"),  # grows with the input
+                     src["doc_id"].eqNullSafe(F.col("_id")) & (src["key"] == F.col("_key"))).select("uid", "text")
+    again = materialize(texts.mapInPandas(_class_sets, SETS), "class_shingles")
     counts = census(again, _ranges(again, "sizes"))
     near = materialize(again.groupBy("batch").cogroup(counts.groupBy("batch")).applyInPandas(
         _rarest_first, "node long, n int, shingles array<long>, prefix array<long>, weight long"), "near")
@@ -412,16 +417,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = materialize(search_blocks(near, blocks, bound), "links")
     trees = components(links)
 
-    # classes by digest, the smallest id of each, then of each tree
+    # classes by digest, the first row of each, then of each tree
+    order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("key").alias("k"))
     classes = materialize(members.where("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")), "class_ids")
+        F.min(order).alias("least"), F.count(F.lit(1)).alias("size")), "class_ids")
     node_of = reps.select("digest", F.col("uid").alias("node")).join(trees, "node").select("digest", "component")
     whole = classes.join(node_of, "digest", "left")
     best = whole.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("best"))
     labels = materialize(whole.join(best, "component", "left")
-                         .select("digest", "size", F.coalesce("best", "least").alias("component_id")), "labels")
+                         .select("digest", "size", F.coalesce("best", "least").alias("of")), "labels")
     total = members.count()
     out = join_spreading_hot(members.where("n > 0"), labels, "digest", "size", total)
-    alone = members.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return (out.select("doc_id", "n", "component_id").unionByName(alone)
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"))
+    found = out.select("doc_id", "key", "n", F.col("of.i").alias("component_id"),
+                       (F.col("doc_id").eqNullSafe(F.col("of.i")) & (F.col("key") == F.col("of.k"))).alias("first"))
+    alone = members.where("n = 0").select("doc_id", "key", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return found.unionByName(alone).select("doc_id", F.col("key").alias("text_key"), F.col("n").cast("long").alias("n_shingles"),
+                                           "component_id", "first")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       bound: int = BLOCK_SHINGLES) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` of every row: the smallest id that
+    links lead to."""
+    return jaccard_groups(docs, id_col, text_col, bound).select("doc_id", "n_shingles", "component_id")

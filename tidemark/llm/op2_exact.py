@@ -27,7 +27,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import c, join_spreading_hot, materialize, shuffle_width, text_of
+from tidemark.llm.common import c, join_spreading_hot, materialize, shuffle_width, text_key, text_of
 from tidemark.session import shared_root
 from tidemark.sources import files
 
@@ -75,13 +75,13 @@ class DigestIndex:
         (code points), then the smallest id, stays; of a group that an
         earlier batch brought, no row does and ``keep_id`` names that
         batch's document.  Returns ``(doc_id, keep_id, group_size, kept,
-        text_sha256, uid)``; ``group_size`` counts the rows of the batch
+        text_sha256, text_key, uid)``; ``group_size`` counts the rows of the batch
         that first brought the text.
         """
         text = text_of(text_col)
         slim = materialize(docs.select(
             c(id_col).cast("long").alias("doc_id"), digest_of(text).alias("digest"),
-            F.length(text).alias("len"), F.monotonically_increasing_id().alias("uid")),
+            text_key(text).alias("text_key"), F.length(text).alias("len"), F.monotonically_increasing_id().alias("uid")),
             "digests")
         order = F.struct((-F.col("len")).alias("l"), F.col("doc_id").isNull().alias("z"),
                          F.col("doc_id").alias("i"), F.col("uid").alias("u"))
@@ -103,7 +103,7 @@ class DigestIndex:
         return joined.select(
             "doc_id", "keep_id", "group_size",
             (own & (F.col("uid") == F.col("best_uid"))).alias("kept"),
-            F.lower(F.hex("digest")).alias("text_sha256"), "uid")
+            F.lower(F.hex("digest")).alias("text_sha256"), "text_key", "uid")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -45,7 +45,7 @@ SELECT d.doc_id, g.keep AS keep_id, g.n AS group_size, d.doc_id = g.keep AS kept
 FROM d JOIN g USING (h)
 """)
 def op2_exact_dedup(spark, d):
-    return op2_exact.exact_dedup(table(spark, d, "documents")).drop("uid")
+    return op2_exact.exact_dedup(table(spark, d, "documents")).drop("text_key", "uid")
 
 
 @register("op1_url_filters", r"""

@@ -2,9 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns what it keeps, with the
 columns of its input (the last one returns the tokens).  Toxicity and
-decontamination judge row by row.  The dedup stages match rows by ``doc_id``,
-null ids among themselves: rows that repeat an id share its fate, and of rows
-that repeat an id and a text the exact dedup keeps one.
+decontamination judge row by row.  The dedup stages match rows by id and text
+(null ids among themselves), so rows that share an id have a fate of their own;
+of linked rows that repeat an id and a text one stays, any one.
 """
 
 from __future__ import annotations
@@ -14,19 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import op2_exact, op5_toxicity, op6_bpe, op7_decontaminate, op10_ngram_join
-from tidemark.llm.common import materialize, table, text_of
+from tidemark.llm.common import materialize, table, text_key, text_of
 
 TOKENS = "byte_bpe_50k.tiktoken"
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is among ``ids``.  Always a sort-merge join:
-    the ids grow with the documents."""
-    own = _free("_id", docs)
-    ids = ids.select(F.col("doc_id").alias(own)).hint("merge")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids[own]), "left_semi")
-
-
 def _free(name: str, docs: DataFrame) -> str:
     """A column name that ``docs`` does not have."""
     while name.lower() in {x.lower() for x in docs.columns}:
@@ -34,6 +26,23 @@ def _free(name: str, docs: DataFrame) -> str:
     return name
 
 
+def _staying(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named in ``rows(doc_id, text_key, n)``; where ``n``
+    is above 1, one of the rows alike in id and text.  Always sort-merge joins:
+    the names grow with the documents."""
+    key, own = _free("_key", docs), _free("_id", docs)
+    other = _free(key + "_", docs)
+    marked = docs.withColumn(key, text_key(text_of("text")))
+
+    def named(names: DataFrame) -> DataFrame:
+        names = names.select(F.col("doc_id").alias(own), F.col("text_key").alias(other)).hint("merge")
+        return marked.join(names, marked["doc_id"].eqNullSafe(names[own]) & (marked[key] == names[other]), "left_semi")
+    alike = materialize(rows.where("n > 1"), "alike")  # seldom any
+    if alike.isEmpty():
+        return named(rows).drop(key)
+    return named(rows.where("n = 1")).unionByName(named(alike).dropDuplicates(["doc_id", key])).drop(key)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the toxicity operator rejects."""
     return op5_toxicity.clean(docs, op5_toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -41,26 +50,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of equal texts."""
-    found = materialize(op2_exact.exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "exact")
-    kept = _only(docs, found.where("kept").select("doc_id").distinct())
-    # ids that come with one text more than once: seldom any
-    again = materialize(found.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
-                        .where("n > 1").select("doc_id").distinct(), "again")
-    if again.isEmpty():
-        return kept
-    digest = _free("digest", docs)
-    once = (_only(kept, again).withColumn(digest, op2_exact.digest_of(text_of("text")))
-            .dropDuplicates(["doc_id", digest]).drop(digest))
-    others = found.select("doc_id").distinct().join(again.withColumnRenamed("doc_id", "_id"),  # ids alone: no clash
-                                                    F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    return _only(kept, others).unionByName(once)
+    found = op2_exact.exact_dedup(docs).groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+    return _staying(docs, materialize(found.where("kept"), "exact"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the smallest id, of each group that n-gram links connect."""
-    found = op10_ngram_join.jaccard_components(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return _only(docs, materialize(first, "first"))
+    """Keep one document, the smallest id, of each group that n-gram links
+    connect; texts without words link with nothing and all stay."""
+    found = op10_ngram_join.jaccard_groups(docs).where("first")
+    linked = found.where("n_shingles > 0").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    alone = found.where("n_shingles = 0").select("doc_id", "text_key", F.lit(1).cast("long").alias("n")).distinct()
+    return _staying(docs, materialize(linked.unionByName(alone), "first"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

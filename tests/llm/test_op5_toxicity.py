@@ -51,6 +51,8 @@ def test_accuracy_on_held_out_labels(spark):
     known = dict(zip(*pq.read_table(f"{d}/labels.parquet").select(["doc_id", "toxic"]).to_pydict().values()))
     out = [(rows[i], y) for i, y in known.items() if rows[i]["held_out"]]
     assert np.mean([r["predicted"] == y for r, y in out]) >= 0.93
+    hits = sum(r["predicted"] and y for r, y in out)
+    assert hits >= 0.8 * sum(r["predicted"] for r, _ in out) and hits >= 0.8 * sum(y for _, y in out) > 0
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows.values())
     text = dict(zip(*pq.read_table(f"{d}/documents.parquet").select(["doc_id", "text"]).to_pydict().values()))
     words = [text[i][s["start"]:s["end"]].lower() for i, r in rows.items() for s in r["spans"]]
@@ -73,3 +75,23 @@ def test_odd_rows(spark, odd, none):
     flat = tox.classify(odd, labels.limit(0)).collect()
     assert len({r["score"] for r in flat}) == 1 and not any(r["predicted"] for r in flat)
     assert tox.classify(none, labels).collect() == []
+
+
+def test_only_near_copies_with_one_label_leave_the_sample():
+    rnd = np.random.default_rng(1)
+    foot = " ".join(f"f{k}" for k in range(100))
+    own = [" ".join(f"w{x}" for x in rnd.integers(0, 5000, 60)) + " " + foot for _ in range(200)]
+    assert tox._first_of_copies(own, [k % 2 == 0 for k in range(200)]) == list(range(200))
+    near = own[:3] + [t + " end" for t in own[:3]] + ["", ""]
+    assert tox._first_of_copies(near, [False] * 8) == [0, 1, 2, 6, 7]
+    assert tox._first_of_copies(near, [False] * 3 + [True] * 5) == list(range(8))
+    assert tox._first_of_copies([], []) == []
+    some = [rnd.choice(60, size=rnd.integers(1, 40), replace=False) for _ in range(150)]
+    some += [np.where(rnd.random(len(s)) < .08, 99, s) for s in some]
+    texts = [" ".join(f"q{x} a b c d" for x in np.sort(s)) for s in some]
+    sets = [set(map(int, s)) for s in tox.shingle_sets([t.encode() for t in texts])]
+    kept = []
+    for k, s in enumerate(sets):
+        if not any(4 * len(s & sets[j]) >= 3 * len(s | sets[j]) for j in kept):
+            kept.append(k)
+    assert tox._first_of_copies(texts, [True] * len(texts)) == kept and len(kept) < len(texts)

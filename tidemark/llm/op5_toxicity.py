@@ -175,16 +175,36 @@ def _token_labels(docs: list[list[list[str]]], toxic: list[bool]) -> list[list[n
     return [[np.array([y and w in picked for w in line], dtype=float) for line in doc] for doc, y in zip(docs, toxic)]
 
 
-def _first_of_copies(texts: list[str]) -> list[int]:
-    """One text of each group that shares any of its three least shingle hashes:
-    else a copied document's words would all look like signs of its label."""
-    seen: set[int] = set()
+def _near(a: np.ndarray, b: np.ndarray) -> bool:
+    if 4 * min(len(a), len(b)) < 3 * max(len(a), len(b)):
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 4 * shared >= 3 * (len(a) + len(b) - shared)
+
+
+def _first_of_copies(texts: list[str], toxic: list[bool]) -> list[int]:
+    """One text of each group of near copies with the same label (shingle sets
+    of Jaccard similarity 0.75 or more to one kept before): else a copied
+    document's words would all look like signs of its label.  Texts that only
+    share a passage all stay.
+
+    The sample is bounded, and so is this.  Of two near copies, the rarest
+    quarter of either's shingles (and one more) holds a shared one, so only
+    texts that meet there are compared.
+    """
+    sets = shingle_sets([t.encode() for t in texts])
+    every, count = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
+    met: dict[tuple[bool, int], list[int]] = {}
     out = []
-    for k, s in enumerate(shingle_sets([t.encode() for t in texts])):
-        least = set(s[:3].tolist())
-        if not least & seen:
-            out.append(k)
-        seen |= least
+    for k, (s, y) in enumerate(zip(sets, toxic)):
+        n = len(s)
+        rarest = s[np.lexsort((s, count[np.searchsorted(every, s)]))][:n - -(-3 * n // 4) + 1].tolist()
+        near = {j for x in rarest for j in met.get((y, x), ())}
+        if any(_near(s, sets[j]) for j in near):
+            continue
+        out.append(k)
+        for x in rarest:
+            met.setdefault((y, x), []).append(k)
     return out
 
 
@@ -193,7 +213,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
     rows = sorted(((t or "", bool(y)) for t, y in rows), key=lambda r: (r[1], zlib.crc32(r[0].encode()), r[0]))
     toxic = [y for _, y in rows]
     base = (sum(toxic) + 1) / (len(rows) + 10)
-    first = _first_of_copies([t for t, _ in rows])
+    first = _first_of_copies([t for t, _ in rows], toxic)
     rows, toxic = [rows[k] for k in first], [toxic[k] for k in first]
     model = Model(np.zeros(1 << BITS), np.zeros((2, 2)), None, base)
     if len(set(toxic)) < 2:

@@ -57,7 +57,7 @@ def make(seed=1):
         docs += [(f"{k}-whole", filler[:90] + it + filler[90:], [k]), (f"{k}-turned", filler[:5] + half + filler[5:], [k]),
                  (f"{k}-part", filler + it[:12], []), (f"{k}-upper", [w.upper() + "," for w in it], [k])]
     docs += [("clean", [word() for _ in range(5000)], []), ("two", items[0] + ["x"] * 50 + items[1], [0, 1]),
-             ("again", (items[2] + ["y"]) * 300, [2]), ("short", ["too", "short"], [])]
+             ("again", (items[2] + ["y"]) * 300, [2]), ("short", ["too", "short"], [8]), ("apart", ["too", "very", "short"], [])]
     return items, docs
 
 
@@ -67,10 +67,69 @@ def test_planted_passages(spark):
                                   "item_id long, text string, doc_id int")
     frame = spark.createDataFrame([(k, " ".join(ws)) for k, (_, ws, _) in enumerate(docs)], "doc_id long, text string")
     want = sorted((k, i) for k, (_, _, found) in enumerate(docs) for i in found)
-    for limit in (dc.BLOCK_WORDS, 50):
-        rows = dc.contained(frame, bench, block_words=limit).collect()
+    for least in (dc.SPREAD_FROM, 1):  # 1: every key on two rows or more is spread
+        rows = dc.contained(frame, bench, spread_from=least).collect()
         assert sorted((r["doc_id"], r["item_id"]) for r in rows) == want
         assert all(r["covered"] >= 0.9 * r["item_words"] for r in rows)
+    short = len(docs) - 2
+    assert [r["item_id"] for r in dc.contained(frame, bench, shortest=3).where(f"doc_id = {short}").collect()] == []
+
+
+def brute(docs, items, coverage=dc.COVERAGE, least=dc.MATCH):
+    """(document place, item place) by tiling every document with every item."""
+    out = []
+    for k, text in enumerate(docs):
+        for i, item in enumerate(items):
+            ws, ids = dc.words_of(item or ""), {}
+            if ws:
+                a, b = ([ids.setdefault(w, len(ids)) for w in x] for x in (ws, dc.words_of(text or "")))
+                if sum(n for _, _, n in dc.tile(a, b, min(least, len(a)))) >= coverage * len(ws):
+                    out.append((k, i))
+    return out
+
+
+def test_few_words_many_common_seeds(spark):
+    """Items made of few words share most of their seeds, with each other and with
+    all documents; equal texts, equal items and items of few words among them."""
+    rnd = random.Random(5)
+    words = ["ab", "cd", "Ef", "gh"]
+    say = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    opening = "which of the following is "
+    items = [say(rnd.randrange(1, 30)) for _ in range(15)] + [opening + say(20) for _ in range(8)] + ["", None, "solo"]
+    items.append(items[3])
+    docs = [say(rnd.randrange(0, 40)) for _ in range(30)] + [opening + say(30) for _ in range(10)] + [None, "", "Solo, too"]
+    docs += [docs[2]] * 4 + [" ".join(x for x in items if x)]
+    want = brute(docs, items)
+    assert 50 < len(want) < len(docs) * len(items)
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for least in (dc.SPREAD_FROM, 1):
+        assert sorted((r["doc_id"], r["item_id"]) for r in dc.contained(frame, bench, spread_from=least).collect()) == want
+    dirty = {k for k, _ in want}
+    assert sorted(r["doc_id"] for r in dc.clean(frame, bench).collect()) == [k for k in range(len(docs)) if k not in dirty]
+
+
+def test_scripts_without_spaces(spark):
+    han = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed\u6563\u6b65\u5427\u597d\u5417"
+    thai = "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35\u0e04\u0e23\u0e31\u0e1a\u0e1c\u0e21\u0e0a\u0e37\u0e48\u0e2d"
+    items = [han, thai, "one two three four"]
+    docs = [f"prefix {han}\uff0csuffix", han[8:] + "\u3002" + han[:8], f"a{thai}b", "so ONE two, three four five", "one two three", han[:6]]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = sorted((r["doc_id"], r["item_id"]) for r in dc.contained(frame, bench).collect())
+    assert rows == brute(docs, items) == [(0, 0), (1, 0), (2, 1), (3, 2)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=20), max_size=4))
+def test_words_in_arrays_are_the_words(texts):
+    words = dc.Words(texts)
+    got = [[] for _ in texts]
+    for a, n, k in zip(words.start, words.length, words.of):
+        got[k].append(words.text[a:a + n])
+    assert got == [dc.words_of(t) for t in texts]
+    flat = [w for ws in got for w in ws]
+    assert len(set(zip(flat, words.hash.tolist()))) == len(set(flat)) == len(set(words.hash.tolist()))
 
 
 def test_given_table(spark):
@@ -91,5 +150,8 @@ def test_odd_rows(spark, odd, none):
                                   "item_id long, text string")
     rows = dc.contained(odd, bench).collect()
     assert [(r["doc_id"], r["item_id"]) for r in rows] == [(6, None)]
+    left = dc.clean(odd, bench)
+    assert left.columns == odd.columns and left.count() == len(ODD) - 1
+    assert dc.contained(odd.union(odd), bench).count() == 2 and dc.clean(none, bench).count() == 0
     assert dc.contained(none, bench).collect() == []
     assert dc.contained(odd, bench.limit(0)).collect() == [] and len(ODD) == 9

@@ -8,9 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources import publish, schema_log, schemas
+from tidemark.sources import files, publish, schema_log, schemas
 from tidemark.sources.schemas import PARTITIONS
 
+#: marks staged rows that are whole and not yet swapped in; holds the root they belong to
+READY = "_ready"
+
 
 def with_ingest_partitions(df: DataFrame, ingest_col: str = "ingested_at") -> DataFrame:
     """Partition columns follow the *ingest* date, not the event date."""
@@ -135,8 +138,14 @@ def compact(spark: SparkSession, root: str, staging: str,
     partition folder its own writer task (AQE splits a hot day into
     several), the result lands in ``staging`` and is then swapped in with
     a dynamic partition overwrite (reading and overwriting one folder in a
-    single job is unsafe).  Returns the row count moved.
+    single job is unsafe).  Returns the row count moved.  A run that stops in
+    the swap may leave ``root`` without some partitions; the next run with the
+    same ``staging`` finishes that swap first (nothing else may write the
+    partitions until then).
     """
+    ready = f"{staging}/{READY}"
+    if files.read_text(spark, ready) == root:
+        _swap_in(spark, staging, root)  # an earlier run stopped in its swap: the staged rows are the whole ones
     # maintenance reads every footer: a column that only some files carry
     # must survive, whether it is declared or not
     src = spark.read.option("mergeSchema", "true").option("basePath", root).parquet(root)
@@ -148,6 +157,15 @@ def compact(spark: SparkSession, root: str, staging: str,
     if lost:
         raise ValueError(f"compaction of {root} would lose columns: {sorted(lost)}")
     n = staged.count()
+    files.write_text(spark, ready, root)
+    _swap_in(spark, staging, root)
+    return n
+
+
+def _swap_in(spark: SparkSession, staging: str, root: str) -> None:
+    """Replace the partitions of ``root`` that ``staging`` holds; safe to repeat until it ends."""
+    staged = spark.read.option("mergeSchema", "true").option("basePath", staging).parquet(staging)
+    parts = [c for c in (*PARTITIONS, "batch_id") if c in staged.columns]
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(root))
-    return n
+    files.remove(spark, f"{staging}/{READY}")

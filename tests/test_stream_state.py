@@ -136,3 +136,21 @@ def test_no_message_stops_a_stream(spark):
     bad = jobs.stream_quarantine(jobs.read_messages(spark, path), scratch_path(spark, "q"), scratch_path(spark, "c"))
     assert jobs.stream_totals(spark, root).agg(F.sum("rows")).first()[0] == 5
     assert sorted(r["reason"] for r in bad.collect()) == ["malformed", "no time", "no time", "unknown topic", "unknown topic", "unknown topic", "unknown topic"]
+
+
+def test_windows_in_a_session_of_another_state_store(spark):
+    other = spark.newSession()
+    name = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    other.conf.set(name, default)
+    rows = [(f"2024-01-01T{h:02d}:{m:02d}:00", m % 2) for h in range(3) for m in range(0, 60, 4)]
+    likes = other.createDataFrame(
+        [("p1", f'{{"event_type":"post_liked","event_id":"e{k}","like_id":"l{k}","reaction_type":"{["sad", "wow"][r]}","timestamp":"{t}"}}',
+          "social.likes") for k, (t, r) in enumerate(rows)], "key string, value string, topic string")
+    src = scratch_path(spark, "feed")
+    likes.coalesce(1).write.json(src)
+    out = jobs.stream_window_counts(jobs.read_messages(other, src), scratch_path(spark, "s"), scratch_path(spark, "c"),
+                                    "likes", "reaction_type", size="1 hour", slide="1 hour")
+    got = sorted((r["window_start"].hour, r["reaction_type"], r["n"]) for r in out.collect())
+    assert got == [(h, r, n) for h in range(2) for r, n in (("sad", 15),)]
+    assert other.conf.get(name) == default

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.tags import lenient_tags
+from tidemark.session import rocksdb_state
 from tidemark.sources import schema_log
 from tidemark.sources.bronze import read_or_empty
 from tidemark.sources.schemas import PARTITIONS
@@ -113,8 +114,9 @@ def stream_window_counts(messages: DataFrame, sink: str, checkpoint: str,
     else:
         ev = ev.select("event_time", key)
     counts = ring_window_counts(ev, "event_time", key, size, slide, watermark)
-    _run(counts.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).option("path", sink))
+    with rocksdb_state(messages.sparkSession):  # custom state works with no other store
+        _run(counts.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).option("path", sink))
     return messages.sparkSession.read.schema(f"window_start timestamp, window_end timestamp, {key} string, n long").parquet(sink)
 
 

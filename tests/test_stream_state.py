@@ -154,3 +154,18 @@ def test_windows_in_a_session_of_another_state_store(spark):
     got = sorted((r["window_start"].hour, r["reaction_type"], r["n"]) for r in out.collect())
     assert got == [(h, r, n) for h in range(2) for r, n in (("sad", 15),)]
     assert other.conf.get(name) == default
+
+
+@pytest.mark.parametrize("replay, drops", [(None, 3), ("late", 4)])
+def test_a_trigger_takes_a_whole_drop(spark, monkeypatch, replay, drops):
+    monkeypatch.setattr(jobs, "FILE_EVENTS", 20)
+    feed = adapter.feed_events(spark, SF_SMALL).where("_seq < 60 OR _seq >= 900 OR _seq = 450")  # a drop of one event
+    src = jobs.write_feed(feed, scratch_path(spark, "feed"), parts=3, replay=replay)
+    assert spark.read.schema(jobs.MESSAGE_SCHEMA).json(src).count() >= feed.count()
+    files = jobs.files_a_drop(spark, src, drops)
+    assert files > 1
+    root = scratch_path(spark, "split")
+    on_time, behind = jobs.stream_late_split(jobs.read_messages(spark, src, files), root, scratch_path(spark, "c"))
+    assert late.watermarks(spark, root).count() == drops
+    assert on_time.count() == feed.count()
+    assert behind.count() == (feed.where("_seq < 60 AND _seq % 20 = 0").count() if replay else 0)

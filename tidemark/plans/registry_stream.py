@@ -186,12 +186,12 @@ def q_batch_tables(spark, d):
 
 
 # ---- Structured Streaming jobs ----------------------------------------------
-# The feed's files are read one per trigger, so that watermarks and state
+# The feed's drops are read one per trigger, so that watermarks and state
 # pass through several micro-batches.
 
 def _messages(spark, d, replay=None):
     path = jobs.write_feed(feed(spark, d), scratch_path(spark, "feed"), parts=4, replay=replay)
-    return jobs.read_messages(spark, path, files_per_trigger=1)
+    return jobs.read_messages(spark, path, files_per_trigger=jobs.files_a_drop(spark, path, 5 if replay else 4))
 
 
 def _closed(windows: str, events: str) -> str:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.tags import lenient_tags
 from tidemark.session import rocksdb_state
-from tidemark.sources import schema_log
+from tidemark.sources import files, schema_log
 from tidemark.sources.bronze import read_or_empty
 from tidemark.sources.schemas import PARTITIONS
 from tidemark.streaming.events import (
@@ -42,6 +42,10 @@ MESSAGE_SCHEMA = T.StructType([
 
 # ---- feed files (scaffolding for the file-stream source) ------------------
 
+#: events that a file of a drop holds, about
+FILE_EVENTS = 250_000
+
+
 def write_feed(feed: DataFrame, path: str, parts: int = 4,
                replay: str | None = None, replay_every: int = 20) -> str:
     """Write encoded messages as ``parts`` JSON drops in event-time order,
@@ -51,23 +55,43 @@ def write_feed(feed: DataFrame, path: str, parts: int = 4,
     ``replay_every``-th event of the first drop (old event time: late);
     ``replay='dup'`` re-sends events of the last drop (duplicates well
     inside the watermark).
+
+    The events of a drop are dealt evenly to its files, and every drop has the
+    same number of files (``files_a_drop``), so a trigger can take a whole
+    drop: there are as many micro-batches whatever the size of the feed.
     """
-    bounds = feed.agg(F.min("_seq").alias("lo"), F.max("_seq").alias("hi")).first()
+    spark = feed.sparkSession
+    bounds = feed.agg(F.min("_seq").alias("lo"), F.max("_seq").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     width = max(1, (hi - lo + parts) // parts)
+    each = max(1, -(-bounds["n"] // (parts * FILE_EVENTS)))
     bucket = ((F.col("_seq") - F.lit(lo)) / F.lit(width)).cast("long")
     tagged = feed.withColumn("__b", bucket)
-    for b in range(parts):
-        (encode_events(tagged.where(F.col("__b") == b).orderBy("_seq"))
-         .write.mode("append").json(path))
+    there = len(_drop_files(spark, path))
+
+    def drop(events: DataFrame, number: int) -> None:
+        encode_events(events.repartition(each).sortWithinPartitions("_seq")).write.mode("append").json(path)
+        for k in range(there + (number + 1) * each - len(_drop_files(spark, path))):
+            files.write_text(spark, f"{path}/none-{number}-{k}.json", "")  # a task without events writes no file
         time.sleep(0.02)
+
+    for b in range(parts):
+        drop(tagged.where(F.col("__b") == b), b)
     if replay:
         pick = 0 if replay == "late" else parts - 1
-        again = tagged.where((F.col("__b") == pick) & (F.col("_seq") % replay_every == 0))
-        encode_events(again.orderBy("_seq")).write.mode("append").json(path)
+        drop(tagged.where((F.col("__b") == pick) & (F.col("_seq") % replay_every == 0)), parts)
     return path
 
 
+def _drop_files(spark: SparkSession, path: str) -> list[str]:
+    return [f for f in files.names(spark, path) if f.endswith(".json")]
+
+
+def files_a_drop(spark: SparkSession, path: str, drops: int) -> int:
+    """Files in each of the ``drops`` that ``write_feed`` wrote (the one sent again counts)."""
+    return len(_drop_files(spark, path)) // drops
+
+
 def read_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """JSON message files as a stream; by default a trigger takes all that is there."""
     r = spark.readStream.schema(MESSAGE_SCHEMA)

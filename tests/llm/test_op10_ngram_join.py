@@ -175,3 +175,19 @@ def test_tile_with_a_large_tree_links_it_once():
     links = [link for k, s in enumerate(sets[300:], 301) for link in tile.links(9, k, s)]
     assert len(links) == 1 and tile.links(8, 900, np.arange(5, dtype=np.uint64)) == []
     assert tile.links(10, 901, np.arange(5, dtype=np.uint64)) == [(901, 300)]
+
+
+def test_hashing_a_batch_holds_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    from tidemark.llm.common import HASHED_BYTES, shingle_sets
+    texts = [b" ".join(b"%d-%d-%s" % (k, j, b"x" * 40) for j in range(300)) for k in range(200)] + [b"", b"a B", b" \n"]
+    tracemalloc.start()
+    sets = shingle_sets(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 10 * HASHED_BYTES and peak < 30 << 20
+    assert len(sets) == len(texts) and [len(s) for s in sets[-3:]] == [0, 1, 0]
+    assert all(np.array_equal(a, shingle_sets([t])[0]) for a, t in zip(sets, texts))

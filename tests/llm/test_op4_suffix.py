@@ -74,6 +74,17 @@ def test_remaining_bytes(spark):
     assert bytes(got[1]) == b"AB" and bytes(got[2]) == b"C" and got[3] is None
 
 
+def test_bytes_decide_and_not_words(spark):
+    """57 words that two documents share stay at 399 bytes and go at 400."""
+    rnd = random.Random(4)
+    passage = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(57)).ljust(n, ".")
+    short, long = passage(399), passage(400)
+    rows = [(1, f"A{short}B"), (2, f"C{short}D"), (3, f"E{long}F"), (4, f"G{long}H")]
+    got = run(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows, sx.SPAN)
+    assert [r[2] for r in got] == [0, 0, 400, 400]
+
+
 def test_suffix_order_and_extensions():
     rng = np.random.default_rng(1)
     for _ in range(40):
